@@ -1,19 +1,76 @@
-"""A corpus pipeline of the training-data operators, counted as part of quirelake.llm."""
+"""A corpus pipeline of the training-data operators, counted as part of quirelake.llm.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and reread as the next stage's docs. All stages but the last return the
+columns of documents; the last returns a row a training position, encoded.
+"""
 
 from __future__ import annotations
 
-import os
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quirelake.llm import exact_dedup, quality
+from quirelake.llm import bpe, exact_dedup, mixing, ngram_join, quality
+from quirelake.llm.common import shared_folder
 
-STAGES: list = []
-ORACLE_SQL = None
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError(os.path.basename(sf_dir))
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.7 at least."""
+    return quality.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*COLUMNS)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
+    return exact_dedup.drop_duplicates(docs).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the least id."""
+    return ngram_join.drop_near_duplicates(docs).select(*COLUMNS)
+
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each copy of a document that the mix takes, in training order.
 
-_ = (exact_dedup, quality)
+    Documents that the mix doesn't take go; one that it takes twice has two rows."""
+    names, safe = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*safe)
+    at = {n: c for n, c in zip(names, safe, strict=True)}
+    key = F.xxhash64(*[F.col(at[c]) for c in ("doc_id", "source", "text")])  # ids may be null or repeat
+    rows = rows.withColumn("row_key", key)
+    plan = mixing.plan_mix(rows, id_col="row_key", text_col=at["text"], source_col=at["source"]).dropDuplicates(["row_key"])
+    order = plan.select(F.col("row_key").alias("k"), F.explode("positions").alias("position"))
+    out = rows.join(order, F.col("row_key") == F.col("k")).repartitionByRange("position").sortWithinPartitions("position")
+    return out.select(*[F.col(at[c]).alias(c) for c in COLUMNS])
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and whether the ids decode to its text."""
+    return bpe.encode_checked(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("exact_dedup", exact_duplicates),
+    ("ngram_jaccard_join", near_duplicates),
+    ("source_mixing", source_mixing),
+    ("bpe_encoding", bpe_encoding),
+]
+#: Trees, MinHash and BPE can't be expressed in SQL; tests/llm holds the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents. What a stage returns is written to the shared folder and read again."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{k}_{name}")
+            docs = spark.read.parquet(f"{folder}/{k}_{name}")
+    return docs

@@ -152,5 +152,24 @@ def round_trip_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return out.withColumnRenamed("id", id_col)
 
 
+def encode_checked(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rank_path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Id, n_tokens, ids and round_trip (the ids decode to the text's bytes) of every row."""
+    shared, pattern = _share(docs.sparkSession, rank_path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(shared, pattern)
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                texts = part.column(1).to_pylist()
+                ids = [codec.encode(t) for t in texts]
+                same = [codec.decode(x) == t.encode() for x, t in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same)], names=["id", "n_tokens", "ids", "round_trip"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids array<int>, round_trip boolean")
+    return out.withColumnRenamed("id", id_col)
+
+
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

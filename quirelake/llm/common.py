@@ -25,6 +25,12 @@ def ensure_shared_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="quirelake-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for tables that driver and executors share."""
+    ensure_shared_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a checkpoint in the folder that driver and executors share."""
     ensure_shared_dir(df.sparkSession)
