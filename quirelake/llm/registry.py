@@ -1,6 +1,6 @@
 """Queries and SQL of the training-data operators."""
 
-from quirelake.llm import bpe, exact_dedup, mixing, ngram_join, quality
+from quirelake.llm import bpe, exact_dedup, mixing, ngram_join, quality, suffix_dedup
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -8,5 +8,6 @@ QUERIES = {
     "op3_bpe": bpe.op3_bpe_codec,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_ngram_jaccard": ngram_join.op9_ngram_jaccard,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 ORACLE_SQL = {"op8_exact_dedup": exact_dedup.OP8_SQL}
