@@ -1,6 +1,6 @@
 """Queries of the document operators and their SQL."""
 
-from quirelake.plans import normalize_queries, text_queries  # noqa: F401
+from quirelake.plans import layout_queries, normalize_queries, text_queries  # noqa: F401
 from quirelake.plans.base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
