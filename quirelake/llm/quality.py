@@ -64,7 +64,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     size = np.fromiter(map(len, texts), np.int64, n)
     start = np.concatenate([[0], np.cumsum(size + 1)[:-1]]).astype(np.int64)
-    doc = np.repeat(np.arange(n), size + 1)
+    doc = np.repeat(np.arange(n, dtype=np.int32), size + 1)  # at most 4096 texts: its products fit
     kind = np.bincount(doc * 8 + _CLASS[data], minlength=8 * n).reshape(n, 8).astype(float)
     kind[:, 7] -= 1
     chars = np.maximum(size, 1)
@@ -189,7 +189,7 @@ def _scores(docs: DataFrame, model: Forest, id_col: str, text_col: str) -> DataF
     return docs.select(F.col(id_col), score(text_of(text_col)).alias("score"))
 
 
-def _batches(texts: list[bytes], most: int = 4 << 20) -> Iterator[list[bytes]]:
+def _batches(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
