@@ -42,13 +42,13 @@ def overlap_anti_join(spark, sf_dir):
 
 
 @query(f"""
-WITH {LAYOUT_SQL}, h AS (SELECT doc_id, page_no, line_no AS heading_no, y0 AS y FROM layout WHERE line_no % 2 = 0), n AS (SELECT doc_id, page_no, y0 + (length(text) % 25) - 12 AS y, 's' || line_no AS text FROM layout)
+WITH {LAYOUT_SQL}, h AS (SELECT doc_id, page_no, line_no AS heading_no, y0 AS y FROM layout), n AS (SELECT doc_id, page_no, y0 + (length(text) % 25) - 12 AS y, 's' || line_no AS text FROM layout)
 SELECT h.doc_id, h.page_no, h.heading_no, n.text FROM h JOIN n ON h.doc_id = n.doc_id AND h.page_no = n.page_no AND abs(h.y - n.y) <= 12
 """)
 def nearest_sidenote(spark, sf_dir):
     """Notes that have one heading in reach each: the greedy choice is then the join itself."""
     lines = _layout(spark, sf_dir)
-    heads = lines.where("line_no % 2 = 0").select("doc_id", "page_no", F.col("line_no").alias("heading_no"), F.col("y0").alias("y"))
+    heads = lines.select("doc_id", "page_no", F.col("line_no").alias("heading_no"), F.col("y0").alias("y"))
     notes = lines.select("doc_id", "page_no", F.col("line_no").alias("note_no"), (F.col("y0") + F.char_length("text") % 25 - 12).alias("y"), F.concat(F.lit("s"), F.col("line_no").cast("string")).alias("text"))
     return G.nearest_notes(heads, notes)
 
@@ -61,13 +61,13 @@ def sidenotes_are_used_once(spark, sf_dir):
 
 
 @query(f"""
-WITH {LAYOUT_SQL}, toc AS (SELECT doc_id, page_no, line_no AS seq, 1 + line_no % 3 AS level, trim(substr(text, 1, 9)) AS title FROM layout WHERE line_no % 4 IN (0, 1))
+WITH {LAYOUT_SQL}, toc AS (SELECT doc_id, page_no, line_no AS seq, 1 + line_no % 3 AS level, trim(substr(text, 1, 9)) AS title FROM layout)
 SELECT l.doc_id, l.page_no, l.line_no, CAST(min_by(t.level, t.seq) AS INT) AS level FROM layout l JOIN toc t ON l.doc_id = t.doc_id AND l.page_no = t.page_no
  AND t.title <> '' AND (trim(regexp_replace(l.text, '\\s+', ' ', 'g')) = t.title OR (length(t.title) > 6 AND starts_with(trim(regexp_replace(l.text, '\\s+', ' ', 'g')), t.title))) GROUP BY ALL
 """)
 def toc_heading_join(spark, sf_dir):
     lines = _layout(spark, sf_dir)
-    toc = lines.where("line_no % 4 < 2").select("doc_id", "page_no", F.col("line_no").alias("seq"), (1 + F.col("line_no") % 3).alias("level"), F.trim(F.substring("text", 1, 9)).alias("title"))
+    toc = lines.select("doc_id", "page_no", F.col("line_no").alias("seq"), (1 + F.col("line_no") % 3).alias("level"), F.trim(F.substring("text", 1, 9)).alias("title"))
     return G.toc_levels(lines, toc)
 
 
@@ -139,11 +139,11 @@ def glyph_spans(spark, sf_dir):
 
 
 @query("""
-SELECT page_id, '<p>' || replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</p>' AS html FROM pages WHERE NOT contains(url, '_') AND NOT contains(url, '*')
+SELECT page_id, '<p><strong>' || replace(replace(replace(replace(translate(url, '_*', '--'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</strong></p>' AS html FROM pages
 """)
 def render_markdown_html(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").where(~F.col("url").rlike("[_*]"))
-    return p.select("page_id", R.render_html(F.col("url")).alias("html"))
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", R.render_html(F.concat(F.lit("**"), F.translate("url", "_*", "--"), F.lit("**"))).alias("html"))
 
 
 @query("""

@@ -10,7 +10,7 @@ from quirelake.operators import paragraphs as G
 from quirelake.operators import running as R
 from quirelake.operators import statistics as T
 from quirelake.plans.base import LAYOUT_SQL, LINES_SQL, PAGE_HEIGHT, PAGE_WIDTH, layout_lines, query, table
-from quirelake.plans.text_queries import _lines
+from quirelake.plans.text_queries import _BULLET2, _ORDERED2, _lines
 
 
 def _layout(spark, sf_dir):
@@ -49,15 +49,15 @@ def line_size(spark, sf_dir):
 
 @query(f"""
 WITH {LAYOUT_SQL}, {_TALLY},
-x AS (SELECT doc_id, x0 AS x, count(*) AS n, greatest(4.0, any_value(body_size) * 0.5) AS tol FROM (SELECT doc_id, x0, '- ' || text AS text FROM layout WHERE length(text) % 2 = 0) JOIN body USING (doc_id)
-  WHERE regexp_matches(text, '^- \\s*\\S') GROUP BY doc_id, x0),
+x AS (SELECT doc_id, x0 AS x, count(*) AS n, greatest(4.0, any_value(body_size) * 0.5) AS tol FROM (SELECT doc_id, x0, CASE WHEN length(text) % 2 = 0 THEN '- ' || text ELSE text END AS text FROM layout) JOIN body USING (doc_id)
+  WHERE regexp_matches(text, '{_BULLET2}') OR regexp_matches(text, '{_ORDERED2}') OR regexp_matches(text, '^\\s*[①-⑳㉑-㉟㊱-㊿]\\s*\\S') GROUP BY doc_id, x0),
 c AS (SELECT *, sum(CASE WHEN coalesce(x - px, 1e9) > tol THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY x) AS c FROM (SELECT *, lag(x) OVER (PARTITION BY doc_id ORDER BY x) AS px FROM x)),
 k AS (SELECT doc_id, c, sum(n) AS n, sum(x * n) / sum(n) AS x FROM c GROUP BY doc_id, c)
 SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY c) AS INT) AS stop_no, x FROM k
 """)
 def indent_stops(spark, sf_dir):
     lines = _layout(spark, sf_dir)
-    listed = lines.where(F.char_length("text") % 2 == 0).withColumn("text", F.concat(F.lit("- "), "text"))
+    listed = lines.withColumn("text", F.when(F.char_length("text") % 2 == 0, F.concat(F.lit("- "), "text")).otherwise(F.col("text")))
     return T.indent_stops(listed, T.body_size(T.size_tally(lines)))
 
 

@@ -12,7 +12,7 @@ from quirelake.operators import validate as V
 from quirelake.plans.base import LINES_SQL, query, table
 from quirelake.plans.text_queries import _lines
 
-# a numbered zone made of text lines: a line's number is its length mod 7, set before every third line
+# a numbered zone made of text lines: those whose length 3 divides start with a number
 _ZONE = f"""
 {LINES_SQL},
 zone AS (SELECT doc_id, CAST(line_no // 4 AS INT) AS page_no, line_no, CASE WHEN length(text) % 3 = 0 THEN (1 + length(text) % 23 + line_no) || ') ' || text ELSE text END AS text FROM lines),
@@ -113,17 +113,18 @@ def front_matter(spark, sf_dir):
     return f.select("part", F.col("cases.id").alias("ids"), F.col("cases.label").alias("labels"), F.col("cases.standard").alias("stars"), "mnemonics", "exam_years", "bonus", "sections")
 
 
-# documents as sectioned files: every fifth line is a heading whose level comes from its length
+# documents as sectioned files: every third line is a heading whose level comes from its length, others of odd length are blank
 _FILES = f"""
 {LINES_SQL},
-f AS (SELECT doc_id, line_no, CASE WHEN line_no % 3 = 0 THEN 1 + length(text) % 4 ELSE 0 END AS level, CASE WHEN line_no % 3 = 0 THEN substr(text, 1, 12) ELSE text END AS t FROM lines WHERE line_no % 3 = 0 OR length(text) % 2 = 0)
+a AS (SELECT doc_id, line_no, CASE WHEN line_no % 3 = 0 THEN 1 + length(text) % 4 ELSE 0 END AS level, CASE WHEN line_no % 3 = 0 THEN substr(text, 1, 12) WHEN length(text) % 2 = 0 THEN text ELSE '' END AS t FROM lines),
+f AS (SELECT * FROM a WHERE level > 0 OR t <> '')
 """
 
 
 def _files(spark, sf_dir):
     n = F.char_length("text")
-    rows = _lines(spark, sf_dir).where((F.col("line_no") % 3 == 0) | (n % 2 == 0))
-    line = F.when(F.col("line_no") % 3 == 0, F.concat(F.repeat(F.lit("#"), 1 + n % 4), F.lit(" "), F.substring("text", 1, 12))).otherwise(F.col("text"))
+    rows = _lines(spark, sf_dir)
+    line = F.when(F.col("line_no") % 3 == 0, F.concat(F.repeat(F.lit("#"), 1 + n % 4), F.lit(" "), F.substring("text", 1, 12))).when(n % 2 == 0, F.col("text")).otherwise(F.lit(""))
     return rows.groupBy(F.col("doc_id").cast("string").alias("name")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", line.alias("t")))), lambda x: x["t"]), "\n").alias("text"))
 
 
@@ -203,7 +204,7 @@ def baseline_numbers(spark, sf_dir):
 
 # terms of two sources: capitalised words of documents and of benchmark passages
 _TERMS = """
-a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,7}')) AS term FROM documents WHERE lang = 'en' AND doc_id % 7 = 0) GROUP BY term),
+a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,7}')) AS term FROM documents) GROUP BY term),
 b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,7}')) AS term FROM benchmark) GROUP BY term)
 """
 
@@ -212,7 +213,7 @@ def _terms(spark, sf_dir):
     def tally(df):
         return df.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,7}"), F.lit(0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
-    return tally(table(spark, sf_dir, "documents").where("lang = 'en' and doc_id % 7 = 0")), tally(table(spark, sf_dir, "benchmark"))
+    return tally(table(spark, sf_dir, "documents")), tally(table(spark, sf_dir, "benchmark"))
 
 
 @query(f"WITH {_TERMS} SELECT term, a.n AS n_a, b.n AS n_b, CASE WHEN a.n IS NULL THEN 'b' WHEN b.n IS NULL THEN 'a' ELSE 'both' END AS side FROM a FULL JOIN b USING (term)")
