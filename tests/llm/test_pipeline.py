@@ -45,3 +45,21 @@ def test_ranks_are_bounded(tmp_path, monkeypatch):
     (tmp_path / "r").write_bytes(b"x" * 11)
     with pytest.raises(ValueError):
         bpe.read_ranks(str(tmp_path / "r"))
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, repeated rows, empty texts, further columns with clashing names, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, k string, maybe boolean, row_key long, position double"
+    good = " ".join(f"word{i} tells{i * 7 % 13}" for i in range(60)) + "."
+    rows = [(1, good, "en", "a", 5, "x", True, 1, 0.5), (1, good, "en", "a", 5, "x", True, 1, 0.5), (None, good, None, None, None, None, None, None, None), (2, None, "en", None, None, "x", True, 1, 0.5), (3, "", "en", "b", 0, "x", True, 1, 0.5), (4, good + " more", "en", "b", 9, "x", True, 1, 0.5)]
+    labels = spark.createDataFrame([(None, 1, 0), (1, None, 0), (4, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for part, name in ((rows, "rows"), ([], "none")):
+        docs = spark.createDataFrame(part, schema)
+        for k, (stage_name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}{k}")
+            docs = spark.read.parquet(f"{tmp_path}/{name}{k}")
+            if k == 1 and part:
+                assert sorted((r.text or "") for r in docs.collect()) == sorted({"", good, good + " more"}), stage_name
+        if not part:
+            assert docs.count() == 0
