@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quirelake.operators import geometry as G
 from quirelake.operators import render as R
+from quirelake.operators import spans as L
 from quirelake.plans.base import LAYOUT_SQL, layout_lines, query, table
 
 
@@ -71,11 +72,6 @@ def toc_heading_join(spark, sf_dir):
     return G.toc_levels(lines, toc)
 
 
-_CELLS = """
-g AS (SELECT n_nationkey, n_regionkey, n_name FROM nation)
-"""
-
-
 def _grid(spark, sf_dir):
     """Nations laid out in a grid: a row a region, a column for each fifth of the keys."""
     n = table(spark, sf_dir, "nation")
@@ -98,9 +94,6 @@ def grid_cells(spark, sf_dir):
     return G.grid_cells(G.inside(spans, G.find_grids(rules))).select("r", "c", "text")
 
 
-_ROWS = "[[r_name, '', 'a|b*'], ['', '  ', ''], [n_name, n_regionkey::VARCHAR, ' x  y <z> ']]"
-
-
 def _nations(spark, sf_dir):
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     rows = F.array(F.array("r_name", F.lit(""), F.lit("a|b*")), F.array(F.lit(""), F.lit("  "), F.lit("")), F.array("n_name", F.col("n_regionkey").cast("string"), F.lit(" x  y <z> ")))
@@ -160,3 +153,45 @@ def zip_bundle(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     files = d.select(F.col("source").alias("bundle"), F.col("doc_id").alias("seq"), F.concat("lang", F.lit(".md")).alias("name"), F.col("text").cast("binary").alias("content"))
     return R.zip_bundles(files).select("bundle", F.octet_length("content").alias("n_bytes"), F.sha2("content", 256).alias("digest"))
+
+
+_SPANS = "doc_id string, page_no int, line_no int, span_no int, text string, x0 double, y0 double, x1 double, y1 double, size double, bold boolean, rgb int, origin_y double"
+
+
+def _span(line, span, text, x, size=10.0, bold=False, rgb=0, rise=0.0):
+    y = 100.0 + 14 * line
+    return ("d", 0, line, span, text, x, y, x + 5.0 * len(text), y + 10, size, bold, rgb, y + 8 - rise)
+
+
+def _spans(spark):
+    rows = [
+        _span(0, 0, "청", 55.0, rgb=0x1F4E9C), _span(0, 1, "구 ", 60.0, rgb=0x2050A0), _span(0, 2, "취지", 70.0), _span(0, 3, "264", 82.0, 6.5, rise=3.0), _span(0, 4, "sE-8", 520.0),
+        _span(1, 0, "굵게", 55.0, bold=True), _span(1, 1, " 회색", 70.0, rgb=0x808080), _span(1, 2, "빨강", 90.0, rgb=0xD02020), _span(2, 0, "sE-9", 520.0), _span(3, 0, "본문", 55.0),
+    ]
+    return spark.createDataFrame(rows, _SPANS)
+
+
+@query("SELECT * FROM (VALUES ('#1f4e9c', 2, 2), ('#d02020', 1, 2)) AS v(hex, spans, chars)")
+def palette_counts(spark, sf_dir):
+    return L.palette_counts(_spans(spark)).select("hex", "spans", "chars")
+
+
+@query("SELECT * FROM (VALUES (0, 'sE-8', 100.0::DOUBLE), (2, 'sE-9', 128.0::DOUBLE)) AS v(note_no, text, y)")
+def margin_notes(spark, sf_dir):
+    return L.margin_notes(_spans(spark), 595.0)[1].select("note_no", "text", "y")
+
+
+@query("SELECT * FROM (VALUES (0, '==청구== 취지[^264]', [264], false), (1, '**굵게** 회색==빨강==', CAST([] AS INT[]), false), (3, '본문', CAST([] AS INT[]), false)) AS v(line_no, text, sup_numbers, bold)")
+def marked_lines(spark, sf_dir):
+    kept, _ = L.margin_notes(_spans(spark), 595.0)
+    bodies = spark.createDataFrame([("d", 10.0)], "doc_id string, body_size double")
+    return L.marked_lines(kept, bodies).select("line_no", "text", "sup_numbers", "bold")
+
+
+@query(f"""
+WITH {LAYOUT_SQL}, z AS (SELECT doc_id, page_no, line_no, x0, y0, CASE WHEN line_no % 4 = 3 AND length(text) % 2 = 0 THEN 'footnote' ELSE 'body' END AS zone FROM layout)
+SELECT doc_id, page_no, line_no, CAST(row_number() OVER (PARTITION BY doc_id, page_no ORDER BY zone = 'footnote', y0, x0) - 1 AS INT) AS place FROM z
+""")
+def ordered_lines(spark, sf_dir):
+    lines = _layout(spark, sf_dir).withColumn("zone", F.when((F.col("line_no") % 4 == 3) & (F.char_length("text") % 2 == 0), "footnote").otherwise("body"))
+    return L.ordered_lines(lines, 595.0).select("doc_id", "page_no", "line_no", "place")

@@ -196,8 +196,6 @@ def qa_hits(spark, sf_dir):
 SELECT source, count(*) AS pages, sum(len(regexp_extract_all(text, '[0-9]{4}'))) AS numbers FROM documents GROUP BY source
 """)
 def baseline_numbers(spark, sf_dir):
-    from quirelake.functions.patterns import Rules  # noqa: F401
-
     d = table(spark, sf_dir, "documents")
     return d.groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.regexp_count("text", F.lit("[0-9]{4}"))).alias("numbers"))
 
