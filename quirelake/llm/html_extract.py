@@ -61,10 +61,10 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "key", "kids", "parts", "drop", "article", "end")
+    __slots__ = ("tag", "key", "kids", "parts", "drop", "soft", "article", "end")
 
-    def __init__(self, tag: str, key: str = "", drop: bool = False, article: bool = False):
-        self.tag, self.key, self.drop, self.article = tag, key, drop, article
+    def __init__(self, tag: str, key: str = "", drop: bool = False, soft: bool = False, article: bool = False):
+        self.tag, self.key, self.drop, self.soft, self.article = tag, key, drop, soft, article  # soft: dropped for a word of its class only
         self.kids: list[Node] = []
         self.parts: list = []  # strings and kids in page order
 
@@ -75,7 +75,7 @@ def _attributes(raw: str) -> dict[str, str]:
 
 def parse(html: str) -> Node:
     """The element tree of a page. Texts are decoded; scripts, styles and the like have none."""
-    root = Node("#root")
+    root = Node("#root", "#root")
     stack = [root]
     at, n = 0, len(html)
     while at < n:
@@ -96,9 +96,12 @@ def parse(html: str) -> Node:
             inside = any(x.article for x in stack)
             words = {w.lower() for w in _PARTS.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
             role = attrs.get("role", "").lower()
-            drop = tag in DROP_TAGS or role in DROP_ROLES or bool(words & DROP_WORDS and tag not in ("html", "body")) or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-            drop = drop or (not inside and (tag == "header" or bool(words & DROP_OUTSIDE) and tag not in ("html", "body")))
-            node = Node(tag, f"{tag}.{'.'.join(sorted(words))}", drop, (tag in ("article", "main") or role in ("article", "main")) and not drop)
+            drop = tag in DROP_TAGS or role in DROP_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or (tag == "header" and not inside)
+            bad = words & (DROP_WORDS if inside else DROP_WORDS | DROP_OUTSIDE)
+            if tag in ("article", "main"):  # "no-comments", "with-sidebar" and the like say nothing about the article itself
+                bad = words & {"comment", "comments", "reply", "replies"} if not words & {"no", "with", "has", "open", "closed"} else set()
+            soft = not drop and bool(bad) and tag not in ("html", "body")
+            node = Node(tag, f"{tag}.{'.'.join(sorted(words))}", drop or soft, soft, (tag in ("article", "main") or role in ("article", "main")) and not (drop or soft))
             if tag in BLOCK:  # a block ends an open paragraph and what is open in it
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == "p":
@@ -125,9 +128,28 @@ def parse(html: str) -> Node:
                 stack.append(node)
         elif html[m.start()] != "<" or m[0] == "<":
             stack[-1].parts.append(entities.unescape(m[0]))
+    _keep_holders(root)
+    todo = [root]
+    while todo:  # what is dropped anyway is neither aligned nor counted; parts keeps it
+        x = todo.pop()
+        x.kids = [k for k in x.kids if not k.drop]
+        todo += x.kids
     return root
 
 
+def _keep_holders(root: Node) -> None:
+    """A box that holds the article isn't dropped for a word of its class ("with-sidebar")."""
+    todo: list[tuple[Node, list[Node]]] = [(root, [])]
+    while todo:
+        x, above = todo.pop()
+        if x.article:
+            for y in above:
+                y.drop = False
+        if not x.drop or x.soft:
+            above = [*above, x] if x.soft else above
+            todo += [(k, above) for k in x.kids]
+
+
 def blocks(node: Node, skip=lambda node: node.drop) -> list[str]:
     """Texts of the blocks under a node, without what skip tells."""
     out: list[str] = []
@@ -157,8 +179,27 @@ def blocks(node: Node, skip=lambda node: node.drop) -> list[str]:
     return out
 
 
-def _digest(node: Node) -> int:
-    return zlib.crc32("\n".join(blocks(node, lambda x: False)).encode("utf-8", "replace"))
+def digests(root: Node) -> dict[int, int]:
+    """By id() of a node a checksum of its elements and texts, white space aside; one pass from the leaves up.
+    Dropped elements don't count."""
+    out: dict[int, int] = {}
+    todo = [root]
+    order = []
+    while todo:
+        x = todo.pop()
+        order.append(x)
+        todo += [p for p in x.parts if not isinstance(p, str) and not p.drop]
+    for x in reversed(order):
+        c = zlib.crc32(x.tag.encode())
+        for p in x.parts:
+            if not isinstance(p, str):
+                if p.drop:
+                    continue
+                c = zlib.crc32(out[id(p)].to_bytes(4, "little"), c)
+            elif t := p.split():
+                c = zlib.crc32(" ".join(t).encode("utf-8", "replace"), c)
+        out[id(x)] = c
+    return out
 
 
 def numbered(root: Node) -> list[Node]:
@@ -177,19 +218,16 @@ def match(page: Node, ref: Node, most_cells: int = 10_000) -> list[tuple[Node, N
     are matched at once; a table over most_cells is solved in parts of that many cells."""
     memo: dict = {}
 
-    def label(x: Node) -> str:
-        return x.key or x.tag
-
     def pairs(a: list[Node], b: list[Node]) -> tuple[int, list]:
         head: list = []
         i = 0
-        while i < min(len(a), len(b)) and label(a[i]) == label(b[i]) and not a[i].kids and not b[i].kids:
+        while i < min(len(a), len(b)) and a[i].key == b[i].key and not a[i].kids and not b[i].kids:
             head.append((a[i], b[i], 1))
             i += 1
         a, b = a[i:], b[i:]
         j = 0
         tail: list = []
-        while j < min(len(a), len(b)) and label(a[-1 - j]) == label(b[-1 - j]) and not a[-1 - j].kids and not b[-1 - j].kids:
+        while j < min(len(a), len(b)) and a[-1 - j].key == b[-1 - j].key and not a[-1 - j].kids and not b[-1 - j].kids:
             tail.append((a[-1 - j], b[-1 - j], 1))
             j += 1
         a, b = a[: len(a) - j], b[: len(b) - j]
@@ -203,7 +241,7 @@ def match(page: Node, ref: Node, most_cells: int = 10_000) -> list[tuple[Node, N
     def table(a: list[Node], b: list[Node]) -> list:
         m, n = len(a), len(b)
         best = [[0] * (n + 1) for _ in range(m + 1)]
-        w = [[weight(x, y) for y in b] for x in a]
+        w = [[(weight(x, y) if x.kids and y.kids else 1) if x.key == y.key else 0 for y in b] for x in a]
         for i in range(1, m + 1):
             for j in range(1, n + 1):
                 best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w[i - 1][j - 1])
@@ -218,8 +256,8 @@ def match(page: Node, ref: Node, most_cells: int = 10_000) -> list[tuple[Node, N
                 j -= 1
         return out[::-1]
 
-    def weight(x: Node, y: Node, depth: int = 0) -> int:
-        if label(x) != label(y):
+    def weight(x: Node, y: Node) -> int:
+        if x.key != y.key:
             return 0
         if (id(x), id(y)) not in memo:
             memo[id(x), id(y)] = pairs(x.kids, y.kids) if x.kids and y.kids else (0, [])
@@ -297,14 +335,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(trees) > 256:
                     trees.clear()
                 nodes = numbered(tree := trimmed(parse(ref.as_py() or "")))
-                trees[host] = tree, {id(x): (k, _digest(x)) for k, x in enumerate(nodes)}
+                sums = digests(tree)
+                trees[host] = tree, {id(x): (k, sums[id(x)]) for k, x in enumerate(nodes)}
             tree, numbers = trees[host]
             seen[host] += 1
-            for x, y in match(trimmed(parse(page.as_py())), tree):
+            root = trimmed(parse(page.as_py()))
+            sums = digests(root)
+            for x, y in match(root, tree):
                 k, digest = numbers[id(y)]
                 c = total[host, k]
                 c[0] += 1
-                c[1] += _digest(x) == digest
+                c[1] += sums[id(x)] == digest
     rows = [(h, k, m, e, seen[h]) for (h, k), (m, e) in total.items()]
     kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(5)], names=["host", "node", "met", "equal", "pages"])
@@ -326,11 +367,14 @@ def _extract(article_share: float, min_pages: int):
                                 trees.clear()
                             tree = trimmed(parse(ref.as_py() or ""))
                             share = {x["node"]: x["share"] for x in fixed.as_py()}
-                            trees[host] = tree, {id(x): (share[k], _digest(x)) for k, x in enumerate(numbered(tree)) if k in share}
+                            sums = digests(tree)
+                            frame = ("#root", "html", "body", "article", "main")
+                            trees[host] = tree, {id(x): (share[k], sums[id(x)]) for k, x in enumerate(numbered(tree)) if k in share and x.tag not in frame and blocks(x)}
                         tree, shares = trees[host]
-                        for x, y in match(root, tree):
+                        sums = digests(root) if shares else {}
+                        for x, y in match(root, tree) if shares else ():  # a template without text changes nothing
                             s = shares.get(id(y))
-                            if s and _digest(x) == s[1]:
+                            if s and sums[id(x)] == s[1]:
                                 constant[id(x)] = s[0]
                     out.append(main_text(root, constant, article_share))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(out, pa.string())], names=["id", "url", "text"])
@@ -344,6 +388,9 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host.alias("host"))
     least = rows.groupBy("host").agg(F.min(F.struct(F.xxhash64("id", "url").alias("h"), "id", "url")).alias("r"))
     least = least.select(F.col("host").alias("ref_host"), F.col("r.id").alias("rid"), F.col("r.url").alias("rurl"))
+    least = cut(least)  # a row a host, without texts
+    if least.count() * 256 <= max_broadcast_bytes:
+        least = F.broadcast(least)
     refs = rows.join(least, F.col("host").eqNullSafe(F.col("ref_host")) & F.col("id").eqNullSafe(F.col("rid")) & F.col("url").eqNullSafe(F.col("rurl")))
     refs = cut(refs.groupBy("ref_host").agg(F.max("html").alias("ref")))  # a row a host
     counts = _with_refs(rows, refs, max_broadcast_bytes, "ref").select("host", "html", "ref").mapInArrow(_count, "host string, node int, met long, equal long, pages long")

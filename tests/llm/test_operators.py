@@ -240,6 +240,12 @@ def test_html_article():
     assert text == "T & U\none two\nthree 4 5"
 
 
+def test_html_class_words():
+    html = "<body class='sidebar'><div class='layout with-sidebar'><article class='post no-comments'><p>text</p><p class='ad-box'>buy</p></article><div class='sidebar'>x</div></div><article class='comment'>no</article></body>"
+    assert html_extract.main_text(html_extract.parse(html), {}, 0.9) == "text"
+    assert html_extract.main_text(html_extract.parse("<div class='page-header'>x</div><div id='commentList'><p>y</div><p>z"), {}, 0.9) == "z"
+
+
 def test_html_induction_finds_the_template(spark):
     # no element tells the article here: only what varies over the host's pages is content
     html = "<html><body><div><p>Welcome to our site</p></div><div><p>{}</p><p>{}</p></div><div><p>All rights reserved</p></div></body></html>"
