@@ -114,29 +114,25 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.sha2(norm, 256).alias("sha"), F.xxhash64(norm).alias("h"))
 
 
-def _groups(hashed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with a flag of being possibly repeated, and a row for each group of those that are."""
+def _groups(hashed: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with a flag of being possibly repeated; of those that are, distinct rows and a row for each group."""
     maybe = repeated_filter(hashed.select("h"), hashed.count())
     rows = cut(hashed.withColumn("maybe", maybe("h")).drop("h"))
-    groups = (
-        rows.where("maybe").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("sha").agg(F.max(F.struct("id", "n")).alias("top"), F.sum("n").alias("size"))
-        .select("sha", F.col("top.id").alias("keep"), F.col("top.n").alias("ties"), "size")
-    )
-    return rows, groups
+    # rows equal in text and id are one row with a number from here on
+    some = rows.where("maybe").groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
+    # written, so that the join reads it by an exchange of its own and can split a hot group's rows
+    groups = cut(some.groupBy("sha").agg(F.max("id").alias("keep"), F.sum("n").alias("size")))
+    return rows, some, groups
 
 
 def duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a row of docs: id, keep_id, group_size, kept, text_sha256."""
-    rows, groups = _groups(_hashed(docs, id_col, text_col))
+    rows, some, groups = _groups(_hashed(docs, id_col, text_col))
     single = rows.where(~F.col("maybe")).select("id", F.col("id").alias("keep"), F.lit(1).cast("long").alias("size"), F.lit(True).alias("kept"), "sha")
-    joined = rows.where("maybe").join(groups, "sha")
-    top = F.col("id").eqNullSafe(F.col("keep"))
-    plain = joined.where(~top | (F.col("ties") == 1)).select("id", "keep", "size", top.alias("kept"), "sha")
-    # rows equal in text and id: one of them stays
-    tied = joined.where(top & (F.col("ties") > 1)).groupBy("id", "keep", "size", "sha").agg(F.first("ties").alias("ties"))
-    tied = tied.select("id", "keep", "size", F.explode(F.expr("transform(sequence(1L, ties), x -> x = 1L)")).alias("kept"), "sha")
-    return single.unionByName(plain).unionByName(tied).select(
+    # one side has one row a group, so that a hot group's rows can be split over tasks
+    joined = some.join(groups, "sha").withColumn("top", F.col("id").eqNullSafe(F.col("keep")))
+    repeated = joined.select("id", "keep", "size", F.explode(F.expr("transform(sequence(1L, n), x -> top and x = 1L)")).alias("kept"), "sha")
+    return single.unionByName(repeated).select(
         F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("size").cast("long").alias("group_size"), "kept", F.col("sha").alias("text_sha256")
     )
 
