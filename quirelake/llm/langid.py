@@ -128,7 +128,7 @@ def identify(records: DataFrame, names: list[str], table: np.ndarray, *, text_we
             if t is not None:
                 part.append(t.encode("utf-8", "replace"))
                 size += len(part[-1])
-            if part and (t is None or size > 2 << 20):
+            if part and (t is None or size > 1 << 20):
                 out += text_evidence(part, shared.value, text_weight).tolist()
                 part, size = [], 0
         return pd.Series(out)
