@@ -228,29 +228,36 @@ def repeated_ranges(lefts: list[bytes], rights: list[bytes], length: int, gram:
 
 # -- Spark ---------------------------------------------------------------------------
 
-ANCHOR = "tkey long, nb int, pos int, gram long, ctx long"
+ANCHOR = "tkey long, nb int, pos array<int>, gram long, ctx long"
 CONTEXT = "tkey long, nb int, pos int, gram long, alone boolean, lft binary, rgt binary"
 RANGE = "tkey long, nb int, lo int, hi int"
 
 
 def _emit_anchors(length: int, gram: int):
+    """A row for each distinct context of a text, with all its offsets: a text of one repeated word has few."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got, keys, sizes = [], [], []
-            for key, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = t.as_py().encode("utf-8", "replace")
-                x = anchors(data, length, gram)
+            got, texts = [], []
+            for k, t in enumerate(b.column(1)):
+                x = anchors(t.as_py().encode("utf-8", "replace"), length, gram)
                 got.append(x)
-                keys.append(np.full(len(x[0]), key, np.int64))
-                sizes.append(np.full(len(x[0]), len(data), np.int32))
-            if got:
-                at, grams, ctx = (np.concatenate([x[k] for x in got]) for k in range(3))
-                rows = pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes)), pa.array(at.astype(np.int32)), pa.array(grams.astype(np.int64)), pa.array(ctx.astype(np.int64))],
-                    names=["tkey", "nb", "pos", "gram", "ctx"],
-                )
-                for k in range(0, rows.num_rows, 50_000):
-                    yield rows.slice(k, 50_000)
+                texts.append(np.full(len(x[0]), k, np.int32))
+            if not got:
+                continue
+            at, grams, ctx = (np.concatenate([x[k] for x in got]).astype(np.int64) for k in range(3))
+            text = np.concatenate(texts)
+            order = np.lexsort((ctx, grams, text))
+            at, grams, ctx, text = at[order], grams[order], ctx[order], text[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (text[1:] != text[:-1]) | (grams[1:] != grams[:-1]) | (ctx[1:] != ctx[:-1])
+            first = np.flatnonzero(new)
+            pos = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(at.astype(np.int32)))
+            rows = pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(text[first])), b.column(2).take(pa.array(text[first])), pos, pa.array(grams[first]), pa.array(ctx[first])], names=["tkey", "nb", "pos", "gram", "ctx"]
+            )
+            for k in range(0, rows.num_rows, 50_000):
+                yield rows.slice(k, 50_000)
 
     return run
 
@@ -357,17 +364,17 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000) -> DataFrame:
     """tkey (xxhash64 of the text), nb (its bytes), ranges: array of (lo, hi), which may overlap."""
     keyed = _keyed(docs.select(text_col), text_col, text_col)
-    found = keyed.where(F.col("nb") >= length).select("tkey", "text").mapInArrow(_emit_anchors(length, gram), ANCHOR).repartition("gram")
+    found = keyed.where(F.col("nb") >= length).select("tkey", "text", "nb").mapInArrow(_emit_anchors(length, gram), ANCHOR).repartition("gram")
     by_gram, by_ctx = Window.partitionBy("gram"), Window.partitionBy("gram", "ctx")
-    found = found.withColumn("same", F.count(F.lit(1)).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy("tkey", "pos")))
-    found = found.withColumn("total", F.count(F.lit(1)).over(by_gram)).withColumn("mixed", F.min("ctx").over(by_gram) != F.max("ctx").over(by_gram))
+    found = found.withColumn("same", F.sum(F.size("pos")).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy("tkey", "nb")))
+    found = found.withColumn("mixed", F.min("ctx").over(by_gram) != F.max("ctx").over(by_gram))
     # whole contexts met twice; of the others one place for each distinct context
-    keep = found.where("total > 1 and (same > 1 or mixed)").select("tkey", "nb", "pos", "gram", (F.col("same") == 1).alias("alone"), (F.col("mixed") & (F.col("rn") == 1)).alias("asked"))
+    keep = found.where("same > 1 or mixed").select("tkey", "nb", "pos", "gram", (F.col("same") == 1).alias("alone"), (F.col("mixed") & (F.col("rn") == 1)).alias("asked"))
     keep = cut(keep.where("not alone or asked"))
-    lo, hi = F.greatest(F.lit(0), F.col("pos") - (length - gram)), F.least(F.col("nb"), F.col("pos") + length)
-    whole = keep.where("not alone").select("tkey", "nb", lo.alias("lo"), hi.alias("hi")).where(F.col("hi") - F.col("lo") >= length)
+    span = lambda p: F.struct(F.greatest(F.lit(0), p - (length - gram)).cast("int").alias("lo"), F.least(F.col("nb"), p + length).cast("int").alias("hi"))
+    whole = keep.where("not alone").select("tkey", "nb", F.filter(F.transform("pos", span), lambda r: r["hi"] - r["lo"] >= length).alias("r"))
 
-    asked = keep.where("asked").groupBy("tkey", "nb").agg(F.collect_set(F.struct("pos", "gram", "alone")).alias("wanted"))
+    asked = keep.where("asked").groupBy("tkey", "nb").agg(F.collect_set(F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone")).alias("wanted"))
     one = keyed.select("tkey", "nb", "text").join(asked, ["tkey", "nb"]).dropDuplicates(["tkey", "nb"]).select("tkey", "text", "wanted")
     contexts = one.mapInArrow(_emit_contexts(length, gram), CONTEXT)
     # grams one of whose contexts is met once are all that can bring something new
@@ -375,14 +382,16 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200
     hot = F.broadcast(width.where(F.col("n") > group_limit).select("gram").limit(10_000))  # a bounded list; what it leaves out is sorted in a task
     contexts = contexts.join(width.select("gram"), "gram", "left_semi").select("tkey", "nb", "pos", "gram", "alone", "lft", "rgt")
     cold = contexts.join(hot, "gram", "left_anti").select(*contexts.columns).repartition("gram").sortWithinPartitions("gram").mapInArrow(_ranges_of_groups(length, gram), RANGE)
-    ranges = whole.unionByName(cold)
+    one_range = F.array(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("r")
+    ranges = whole.unionByName(cold.select("tkey", "nb", one_range))
     if width.where(F.col("n") > group_limit).limit(1).count():
         windows = contexts.join(hot, "gram", "left_semi").select(*contexts.columns).mapInArrow(_window_hashes(length, gram), "tkey long, nb int, pos int, gram long, alone boolean, w array<struct<d int, h long>>")
         windows = windows.select("tkey", "nb", "pos", "gram", "alone", F.explode("w").alias("w"))
         often = windows.groupBy("gram", F.col("w.d").alias("d"), F.col("w.h").alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g"), "d", "h")
         met = windows.where("alone").join(often, (F.col("gram") == F.col("g")) & (F.col("w.d") == F.col("d")) & (F.col("w.h") == F.col("h")))
-        ranges = ranges.unionByName(met.select("tkey", "nb", (F.col("pos") - F.col("d")).alias("lo"), (F.col("pos") - F.col("d") + length).alias("hi")))
-    return ranges.groupBy("tkey", "nb").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+        met = met.select("tkey", "nb", (F.col("pos") - F.col("d")).alias("lo"), (F.col("pos") - F.col("d") + length).alias("hi"))
+        ranges = ranges.unionByName(met.select("tkey", "nb", one_range))
+    return ranges.groupBy("tkey", "nb").agg(F.flatten(F.collect_set("r")).alias("ranges"))
 
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000) -> DataFrame:
