@@ -13,7 +13,7 @@
 
 The running sum is exact and needs no task that holds a source: rows are dealt by
 (source, slice of the hash), summed within the slice, and the slices' totals, some
-4,000 rows to one, are summed over the source.
+2,000 rows to one, are summed over the source.
 
 The driver holds a row for each source, as it holds the weights that the caller
 gives; `max_sources` guards that.
@@ -31,7 +31,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quirelake.llm.common import WORD, text_of
+from quirelake.llm.common import WORD, cut, text_of
 
 Schedule = Sequence[tuple[float, float]]
 #: Shape of the schedules of sources with weights 3, 1, 2: early, steady, late.
@@ -87,7 +87,7 @@ def plan_mix(
     budget: float = 1.5,
     max_repeats: float = 2.0,
     seed: int = 17,
-    rows_per_slice: int = 4096,
+    rows_per_slice: int = 2048,
     max_sources: int = 100_000,
 ) -> DataFrame:
     """One row a document: id, source, size, source_size, target, taken, copies, and
@@ -96,20 +96,23 @@ def plan_mix(
     weight_of and schedule_of get the rank of the source by code point (null last) and its name;
     budget is the share of all sizes that the mix takes."""
     spark = docs.sparkSession
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"))
+    # narrow and read three times: written once, so that texts are read once
+    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size")))
     sums = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(max_sources + 1).collect()
     if len(sums) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
     sums.sort(key=lambda r: (r.source is None, r.source or ""))
     targets = share_targets([r["size"] for r in sums], [weight_of(i, r.source) for i, r in enumerate(sums)], budget * sum(r["size"] for r in sums), max_repeats)
-    table = [(r.source, int(r["size"]), float(t), [list(map(float, x)) for x in cumulative(schedule_of(i, r.source))]) for i, (r, t) in enumerate(zip(sums, targets, strict=True))]
-    sources = spark.createDataFrame(table, "source string, source_size long, target double, demand array<array<double>>")
-    n = sum(r.n for r in sums)
-    slices = max(1, -(-n // rows_per_slice))
-
-    # at most max_sources rows, so that the broadcast has a bound
-    named = sized.withColumn("order", F.xxhash64(F.lit(seed), "id", "size")).withColumn("slice", F.pmod(F.shiftrightunsigned("order", 20), F.lit(slices)))
-    keyed = F.broadcast(sources)
+    table = [
+        (r.source, int(r["size"]), float(t), max(1, -(-r.n // rows_per_slice)), [list(map(float, x)) for x in cumulative(schedule_of(i, r.source))]) for i, (r, t) in enumerate(zip(sums, targets, strict=True))
+    ]
+    sources = spark.createDataFrame(table, "source string, source_size long, target double, slices int, demand array<array<double>>")
+
+    # at most max_sources rows, so that the broadcast has a bound; a source has as many slices as its rows need
+    keyed = sources.withColumnRenamed("source", "s")
+    of = F.col("source").eqNullSafe(F.col("s"))
+    named = sized.withColumn("order", F.xxhash64(F.lit(seed), "id", "size")).join(F.broadcast(keyed.select("s", "slices")), of).drop("s")
+    named = named.withColumn("slice", F.pmod(F.shiftrightunsigned("order", 20), F.col("slices"))).drop("slices")
     within = Window.partitionBy("source", "slice").orderBy("order", "id", "size")
     rows = named.withColumn("before", F.sum("size").over(within) - F.col("size"))
     totals = named.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
@@ -117,8 +120,7 @@ def plan_mix(
         F.col("source").alias("s"), F.col("slice").alias("k"), "offset"
     )
     rows = rows.join(totals, rows["source"].eqNullSafe(totals["s"]) & (rows["slice"] == totals["k"])).drop("s", "k")
-    rows = rows.withColumn("at", F.col("before") + F.col("offset"))
-    rows = rows.join(keyed.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rows = rows.withColumn("at", F.col("before") + F.col("offset")).join(F.broadcast(keyed.drop("slices")), of).drop("s")
     # whole passes, and one more for those whose middle lies in the rest
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)
     rest = F.col("target") - whole * F.col("source_size")
