@@ -10,6 +10,8 @@ gives the text of a left-to-right scan, but for two numbers that are glued toget
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,32 +30,50 @@ def widths(t: Column) -> Column:
     return F.translate(t, _FULL + "　［］", _HALF + " []")
 
 
+def _where(t: Column, hint: str, fix: Callable[[Column], Column]) -> Column:
+    """fix(t) where t has a match of hint, a cheap test that most lines fail; else t. t is computed once."""
+    return F.get(F.transform(F.array(t), lambda x: F.when(x.rlike(hint), fix(x)).otherwise(x)), F.lit(0))
+
+
 def mnemonic_brackets(t: Column, rules: Rules) -> Column:
     """Other brackets around a valid mnemonic to square ones; what is inside stays."""
-    for a, b in P.MNEMONIC_PAIRS:
-        t = F.regexp_replace(t, f"(?U){P.literal(a)}({rules.valid_body}){P.literal(b)}(?![(:])", "[$1]")
-    return t
+
+    def fix(t: Column) -> Column:
+        for a, b in P.MNEMONIC_PAIRS:
+            t = F.regexp_replace(t, f"(?U){P.literal(a)}({rules.valid_body}){P.literal(b)}(?![(:])", "[$1]")
+        return t
+
+    return _where(t, P.char_class([a for a, _ in P.MNEMONIC_PAIRS]), fix)
 
 
 def noise(t: Column) -> Column:
     """Strings that are never text, then single characters that stand alone between spaces."""
-    for s in sorted(P.NOISE_STRINGS, key=lambda s: -len(s)):
-        t = F.replace(t, F.lit(s), F.lit(""))
-    for s in sorted(P.NOISE_TOKENS):
-        t = F.regexp_replace(t, rf"(?U)(?<=\s){P.literal(s)}(?=\s)", "")
-    return t
+
+    def fix(t: Column) -> Column:
+        for s in sorted(P.NOISE_STRINGS, key=lambda s: -len(s)):
+            t = F.replace(t, F.lit(s), F.lit(""))
+        for s in sorted(P.NOISE_TOKENS):
+            # the token comes first, so that only where it stands anything else is looked at
+            t = F.regexp_replace(t, rf"(?U){P.literal(s)}(?<=\s{P.literal(s)})(?=\s)", "")
+        return t
+
+    return _where(t, P.char_class(sorted({c for s in (*P.NOISE_STRINGS, *P.NOISE_TOKENS) for c in s})), fix)
 
 
 def case_numbers(t: Column, rules: Rules) -> Column:
     number = f"(?<![0-9A-Za-z])([0-9]{{2,4}}(?:{rules.suffixes})[0-9]+)(?![0-9])"
-    t = F.regexp_replace(t, rules.case_loose, "$1$2$3")
-    t = F.regexp_replace(t, rf"(?U){number}\s*{P.char_class(rules.stars)}", "$1*")
-    t = F.regexp_replace(t, rf"(?U){number}(\*?)\s*{P.char_class(P.CLOSE_BRACKETS)}", "$1$2)")
-    return F.regexp_replace(t, rf"{P.char_class(P.OPEN_BRACKETS)}( *)(?=[0-9]{{2,4}}(?:{rules.suffixes})[0-9]+(?![0-9]))", "($1")
+
+    def fix(t: Column) -> Column:
+        t = F.regexp_replace(t, rules.case_loose, "$1$2$3")
+        t = F.regexp_replace(t, rf"(?U){number}\s*{P.char_class(rules.stars)}", "$1*")
+        t = F.regexp_replace(t, rf"(?U){number}(\*?)\s*{P.char_class(P.CLOSE_BRACKETS)}", "$1$2)")
+        return F.regexp_replace(t, rf"{P.char_class(P.OPEN_BRACKETS)}( *)(?=[0-9]{{2,4}}(?:{rules.suffixes})[0-9]+(?![0-9]))", "($1")
+
+    return _where(t, f"(?U)[0-9]\\s*(?:{rules.suffixes})\\s*[0-9]", fix)
 
 
 def articles(t: Column) -> Column:
-    return F.regexp_replace(t, P.ARTICLE, "제$1$2")
+    return _where(t, "제", lambda t: F.regexp_replace(t, P.ARTICLE, "제$1$2"))
 
 
 def dates(t: Column, rules: Rules) -> Column:
@@ -61,9 +81,13 @@ def dates(t: Column, rules: Rules) -> Column:
     unless the rules say strip."""
     junk = f"(?:[{''.join(P.literal(c) for c in P.NOISE_TOKENS)}\\]°｣¤]|{P.NOISE_CLASS})*"
     date = "(?<![0-9])([0-9]{4})\\.\\s*0*([0-9]{1,2})\\.\\s*0*([0-9]{1,2})"
-    if rules.date_hangul == "strip":
-        t = F.regexp_replace(t, f"(?U){date}{junk}[{P.HANGUL}]+", "$1. $2. $3.")
-    return F.regexp_replace(t, f"(?U){date}\\.?{junk}", "$1. $2. $3.")
+
+    def fix(t: Column) -> Column:
+        if rules.date_hangul == "strip":
+            t = F.regexp_replace(t, f"(?U){date}{junk}[{P.HANGUL}]+", "$1. $2. $3.")
+        return F.regexp_replace(t, f"(?U){date}\\.?{junk}", "$1. $2. $3.")
+
+    return _where(t, "[0-9]{4}\\.", fix)
 
 
 def collapse(t: Column) -> Column:
@@ -86,7 +110,9 @@ def normalize_lines(lines: DataFrame, rules: Rules = P.TEXTBOOK, *, text_col: st
     out = out.withColumn(text_col, collapse(t))
     if log:
         out = out.withColumn("changes", F.col("__c"))
-    return out.drop("__t", "__n", "__c").where(F.trim(text_col) != "")
+    # a filter is pushed below what makes the text, which would then be made twice; a column that isn't deterministic keeps it here
+    out = out.drop("__t", "__n", "__c").withColumn("__keep", F.rand(0))
+    return out.where((F.trim(text_col) != "") & (F.col("__keep") >= 0)).drop("__keep")
 
 
 def _change(kind: str, before: Column, after: Column) -> Column:
