@@ -125,7 +125,7 @@ def gutter_split(spark, sf_dir):
     return G.reading_order(df, 595.0).select("elem_no", "place")
 
 
-@query("SELECT * FROM (VALUES (0, 'AB ', 'r'), (1, 'C', 'b'), (2, 'D', 'b')) AS v(span_no, text, style)")
+@query("SELECT span_no::BIGINT AS span_no, text, style FROM (VALUES (0, 'AB ', 'r'), (1, 'C', 'b'), (2, 'D', 'b')) AS v(span_no, text, style)")
 def glyph_spans(spark, sf_dir):
     rows = [("d", 0, 0, k, ch, x, x + 5.0, 10.0, st) for k, (ch, x, st) in enumerate([("A", 0.0, "r"), ("B", 5.0, "r"), (" ", 10.0, "r"), ("C", 15.0, "b"), ("D", 40.0, "b")])]
     return G.spans_to_lines(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, seq int, ch string, x0 double, x1 double, size double, style string")).select("span_no", "text", "style")
@@ -171,7 +171,7 @@ def _spans(spark):
     return spark.createDataFrame(rows, _SPANS)
 
 
-@query("SELECT * FROM (VALUES ('#1f4e9c', 2, 2), ('#d02020', 1, 2)) AS v(hex, spans, chars)")
+@query("SELECT hex, spans::BIGINT AS spans, chars::BIGINT AS chars FROM (VALUES ('#1f4e9c', 2, 2), ('#d02020', 1, 2)) AS v(hex, spans, chars)")
 def palette_counts(spark, sf_dir):
     return L.palette_counts(_spans(spark)).select("hex", "spans", "chars")
 

@@ -82,7 +82,7 @@ def column_vote(spark, sf_dir):
 
 
 @query("""
-SELECT conv_id AS doc_id, count(*) AS pages, sum(length(text)) AS chars, CASE WHEN sum((trim(text) <> '')::INT) = 0 OR sum(length(text)) / count(*) < 40 THEN 'scanned' ELSE 'text' END AS layer
+SELECT conv_id AS doc_id, count(*) AS pages, sum(length(text))::BIGINT AS chars, CASE WHEN sum((trim(text) <> '')::INT) = 0 OR sum(length(text)) / count(*) < 40 THEN 'scanned' ELSE 'text' END AS layer
 FROM conversations GROUP BY conv_id
 """)
 def text_layer_class(spark, sf_dir):
@@ -197,7 +197,7 @@ def rendered_paragraphs(spark, sf_dir):
     return G.render_blocks(doc_paragraphs(spark, sf_dir), ["doc_id"], "para")
 
 
-@query(f"WITH {_PARA} SELECT doc_id, count(*) AS paragraphs, sum(n_lines) AS n_lines, sum(length(text)) AS chars, max(length(text)) AS longest FROM para GROUP BY doc_id")
+@query(f"WITH {_PARA} SELECT doc_id, count(*) AS paragraphs, sum(n_lines)::BIGINT AS n_lines, sum(length(text))::BIGINT AS chars, max(length(text)) AS longest FROM para GROUP BY doc_id")
 def doc_stats(spark, sf_dir):
     p = doc_paragraphs(spark, sf_dir)
     return p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("paragraphs"), F.sum("n_lines").alias("n_lines"), F.sum(F.char_length("text")).alias("chars"), F.max(F.char_length("text")).cast("long").alias("longest"))

@@ -148,7 +148,7 @@ def empty_sections(spark, sf_dir):
 _NOTES = """SELECT * FROM (VALUES ('a.md', '본문[^1] 그리고 [^2]' || chr(10) || '[^1]: 첫째'), ('b.md', '[^4]: 넷째' || chr(10) || '[^4]: 또' || chr(10) || '[^7] [^1]')) AS v(name, text)"""
 
 
-@query("SELECT * FROM (VALUES (1, 2, 1), (2, 1, 0), (4, 0, 2), (7, 1, 0)) AS v(number, refs, defs)")
+@query("SELECT number, refs::BIGINT AS refs, defs::BIGINT AS defs FROM (VALUES (1, 2, 1), (2, 1, 0), (4, 0, 2), (7, 1, 0)) AS v(number, refs, defs)")
 def footnote_audit(spark, sf_dir):
     return N.references_and_definitions(spark.sql(_NOTES))
 
@@ -193,7 +193,7 @@ def qa_hits(spark, sf_dir):
 
 
 @query("""
-SELECT source, count(*) AS pages, sum(len(regexp_extract_all(text, '[0-9]{4}'))) AS numbers FROM documents GROUP BY source
+SELECT source, count(*) AS pages, sum(len(regexp_extract_all(text, '[0-9]{4}')))::BIGINT AS numbers FROM documents GROUP BY source
 """)
 def baseline_numbers(spark, sf_dir):
     d = table(spark, sf_dir, "documents")

@@ -34,7 +34,7 @@ def page_range_filter(spark, sf_dir):
 
 
 @query("""
-SELECT doc_id, count(*) AS n_pages, sum(length(body)) AS n_chars FROM (
+SELECT doc_id, count(*) AS n_pages, sum(length(body))::BIGINT AS n_chars FROM (
   SELECT doc_id, unnest(string_split(regexp_replace(text, '\\n', chr(12), 'g'), chr(12))) AS body FROM documents) GROUP BY doc_id
 """)
 def form_feed_pages(spark, sf_dir):
