@@ -11,6 +11,7 @@ from quirelake.operators import structure as B
 from quirelake.operators import validate as V
 from quirelake.plans.base import LINES_SQL, query, table
 from quirelake.plans.text_queries import _lines
+from quirelake.sources import text as S_
 
 # a numbered zone made of text lines: those whose length 3 divides start with a number
 _ZONE = f"""
@@ -225,3 +226,19 @@ SELECT x, y, CAST(levenshtein(x, y) AS INT) AS distance FROM x, y WHERE levensht
 """)
 def crosscheck_pairs(spark, sf_dir):
     return V.near_misses(*_terms(spark, sf_dir))
+
+
+@query("SELECT name, sidenote, n::BIGINT AS n FROM (VALUES ('a.md', 'sE-812', 2), ('b.md', 'sF-100', 1)) AS v(name, sidenote, n)")
+def large_sidenotes(spark, sf_dir):
+    return V.large_sidenotes(spark.createDataFrame([("a.md", "sE-8 sE-812 sE-812"), ("b.md", "sF-99 sF-100"), ("c.md", "")], "name string, text string"))
+
+
+@query("""
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, count(*) AS pages, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY conv_id
+""")
+def stored_pages(spark, sf_dir):
+    """Conversations as page rows of nested lines, the schema of stored pages, and back."""
+    lines = S_.page_lines(S_.conversation_pages(table(spark, sf_dir, "conversations")))
+    pages = lines.groupBy(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").alias("number")).agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: F.struct(x["text"].alias("text"))).alias("lines"))
+    back = pages.withColumn("chars", F.char_length(F.array_join("lines.text", "\n")).cast("long"))
+    return back.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
