@@ -268,3 +268,37 @@ def test_operators_without_the_training_subpackage():
     for path in root.rglob("*.py"):
         if "llm" not in path.relative_to(root).parts:
             assert "quirelake.llm" not in path.read_text()
+
+
+def test_profiles_from_yaml(tmp_path):
+    yaml = pytest.importorskip("yaml")
+    from quirelake.functions import config
+
+    path = tmp_path / "c.yaml"
+    path.write_text(yaml.safe_dump({"preserve": {"mnemonic": {"max_total_len": 5}, "case_suffixes": ["다"]}, "profiles": {"casebook": {"score_max": 70}, "own": {"headings": [{"level": 1, "pattern": "^# "}]}}}))
+    tree = config.load(str(path))
+    rules = config.rules_of(tree, "casebook")
+    assert (rules.mnemonic_max, rules.score_max, rules.split, rules.case_suffixes) == (5, 70.0, "group", ("다",))
+    assert config.rules_of(tree, "own").headings == ((1, "^# "),)
+    with pytest.raises(KeyError):
+        config.rules_of(tree, "none")
+
+
+def test_sampled_pages(spark):
+    df = spark.createDataFrame([(0,), (3,), (100,)], "n int").select(T.sampled_pages(F.col("n"), 4).alias("p"))
+    assert [r.p for r in df.collect()] == [[], [0, 1, 2], [5, 27, 49, 71]]
+
+
+def test_ties_and_nulls_in_statistics(spark):
+    from quirelake.operators import statistics as Q
+
+    rows = [("d", 0, 0, "aaaa", 12.0), ("d", 0, 1, "bbbb", 10.0), ("d", 0, 2, None, 9.0), ("e", 0, 0, "  ", 10.0)]
+    tally = Q.size_tally(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string, size double"))
+    assert [(r.doc_id, r.body_size) for r in Q.body_size(tally).collect()] == [("d", 12.0)]  # of equals the first met
+
+
+def test_empty_tables(spark):
+    lines = spark.createDataFrame([], LINE)
+    assert N.layout_footnotes(lines).count() == N.plain_footnotes(lines).count() == B.outline_documents(lines).count() == 0
+    files = spark.createDataFrame([], "name string, text string")
+    assert [(r.level, r.check) for r in V.validate(files).collect() if r.level == "FAIL"] == [("FAIL", "input")]
