@@ -148,7 +148,7 @@ def drop_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     maybe = repeated_filter(hashed.select("h"), hashed.count())
     norm = normalised(text_c)
     flagged = rows.withColumn("h", F.xxhash64(norm)).withColumn("maybe", maybe("h")).drop("h")
-    groups = (
+    groups = cut(
         flagged.where("maybe").select(F.col(id_c).alias("id"), F.sha2(norm, 256).alias("sha")).groupBy("sha", "id").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("sha").agg(F.max(F.struct("id", "n")).alias("top"))
         .select("sha", F.col("top.id").alias("keep"), F.col("top.n").alias("ties"))
