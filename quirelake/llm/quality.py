@@ -18,7 +18,7 @@ aren't read; `keep_quality` returns exactly the columns that it was given.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -189,7 +189,7 @@ def _scores(docs: DataFrame, model: Forest, id_col: str, text_col: str) -> DataF
     return docs.select(F.col(id_col), score(text_of(text_col)).alias("score"))
 
 
-def _batches(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
+def _batches(texts: Iterable[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
@@ -201,8 +201,8 @@ def _batches(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[bytes]]:
         yield part
 
 
-def _as_bytes(texts) -> list[bytes]:
-    return [(t or "").encode("utf-8", "replace") for t in texts]
+def _as_bytes(texts) -> Iterator[bytes]:
+    return ((t or "").encode("utf-8", "replace") for t in texts)
 
 
 def _score_udf(shared):
