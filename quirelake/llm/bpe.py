@@ -88,10 +88,12 @@ def read_ranks(path: str) -> bytes:
 
 
 def codec_of(shared, pattern: str) -> Codec:
-    """One codec a Python worker."""
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
+    """The codec of a broadcast rank file; a Python worker keeps the last one, told by its content."""
+    data = shared.value
+    key = (hashlib.blake2b(data).digest(), pattern)
     if key not in _encodings:
-        _encodings[key] = Codec(shared.value, pattern)
+        _encodings.clear()
+        _encodings[key] = Codec(data, pattern)
     return _encodings[key]
 
 

@@ -63,3 +63,17 @@ def test_stages_on_odd_rows(spark, tmp_path):
                 assert sorted((r.text or "") for r in docs.collect()) == sorted({"", good, good + " more"}), stage_name
         if not part:
             assert docs.count() == 0
+
+
+def test_codec_is_kept_by_content():
+    import public_tokenizers
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    data = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    one = bpe.codec_of(Shared(data), public_tokenizers.PATTERN)
+    assert bpe.codec_of(Shared(bytes(bytearray(data))), public_tokenizers.PATTERN) is one
+    other = bpe.codec_of(Shared(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))), public_tokenizers.PATTERN)
+    assert other is not one and len(bpe._encodings) == 1
