@@ -32,6 +32,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "key", "kids", "parts", "drop", "soft", "article", "end")
+    __slots__ = ("tag", "key", "kids", "parts", "drop", "soft", "article", "end", "shape")
 
     def __init__(self, tag: str, key: str = "", drop: bool = False, soft: bool = False, article: bool = False):
         self.tag, self.key, self.drop, self.soft, self.article = tag, key, drop, soft, article  # soft: dropped for a word of its class only
@@ -212,67 +213,125 @@ def numbered(root: Node) -> list[Node]:
     return out
 
 
-def match(page: Node, ref: Node, most_cells: int = 10_000) -> list[tuple[Node, Node]]:
+def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node, Node]]:
     """Matched pairs of the two trees by simple tree matching: roots must have the same label, children are
-    matched in order so that most nodes match. Equal leaves at both ends of two lists of children
-    are matched at once; a table over most_cells is solved in parts of that many cells."""
+    matched in order so that most nodes match. Lists of children are aligned whole, however long they are:
+    a table of more than most_cells is made again in halves of its rows as its way back is followed, so that about
+    that many cells and a row for each halving are held. Equal subtrees at the end of both lists and equal leaves at
+    their start are matched at once, which loses nothing."""
+    ids: dict = {}
+    tags: list[str] = []
+    kids: list[tuple] = []  # of each shape: labels of a subtree, without texts
+    size: list[int] = []
     memo: dict = {}
 
-    def pairs(a: list[Node], b: list[Node]) -> tuple[int, list]:
-        head: list = []
-        i = 0
-        while i < min(len(a), len(b)) and a[i].key == b[i].key and not a[i].kids and not b[i].kids:
-            head.append((a[i], b[i], 1))
+    def shape(root: Node) -> None:
+        for x in reversed(numbered(root)):
+            key = x.key, tuple(k.shape for k in x.kids)
+            if key not in ids:
+                ids[key] = len(ids)
+                tags.append(x.key)
+                kids.append(key[1])
+                size.append(1 + sum(size[k] for k in key[1]))
+            x.shape = ids[key]
+
+    def ends(a: tuple, b: tuple) -> tuple[int, int]:
+        n = min(len(a), len(b))
+        i = j = 0
+        while i < n and a[i] == b[i] and not kids[a[i]]:
             i += 1
-        a, b = a[i:], b[i:]
-        j = 0
-        tail: list = []
-        while j < min(len(a), len(b)) and a[-1 - j].key == b[-1 - j].key and not a[-1 - j].kids and not b[-1 - j].kids:
-            tail.append((a[-1 - j], b[-1 - j], 1))
+        while j < n - i and a[-1 - j] == b[-1 - j]:
             j += 1
-        a, b = a[: len(a) - j], b[: len(b) - j]
-        mid: list = []
-        step = max(1, int(most_cells**0.5))
-        for k in range(0, max(len(a), len(b)) if a and b else 0, step):
-            mid += table(a[k : k + step], b[k : k + step])
-        found = head + mid + tail[::-1]
-        return sum(x[2] for x in found), found
-
-    def table(a: list[Node], b: list[Node]) -> list:
-        m, n = len(a), len(b)
-        best = [[0] * (n + 1) for _ in range(m + 1)]
-        w = [[(weight(x, y) if x.kids and y.kids else 1) if x.key == y.key else 0 for y in b] for x in a]
-        for i in range(1, m + 1):
-            for j in range(1, n + 1):
-                best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + w[i - 1][j - 1])
-        out, i, j = [], m, n
-        while i and j:
-            if w[i - 1][j - 1] and best[i][j] == best[i - 1][j - 1] + w[i - 1][j - 1]:
-                out.append((a[i - 1], b[j - 1], w[i - 1][j - 1]))
-                i, j = i - 1, j - 1
-            elif best[i][j] == best[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-        return out[::-1]
-
-    def weight(x: Node, y: Node) -> int:
-        if x.key != y.key:
+        return i, j
+
+    def weights(b: tuple):
+        """By shape its weights against all of b."""
+        kinds, at = np.unique(np.array(b, np.int64), return_inverse=True)
+        rows: dict = {}
+
+        def row(s: int) -> np.ndarray:
+            if s not in rows:
+                if (len(rows) + 1) * len(b) > most_cells:
+                    rows.clear()
+                rows[s] = np.array([weight(s, t) for t in kinds.tolist()], np.int64)[at]
+            return rows[s]
+
+        return row
+
+    def below(best: np.ndarray, w: np.ndarray) -> np.ndarray:
+        out = best.copy()
+        np.maximum(out[1:], best[:-1] + w, out=out[1:])
+        return np.maximum.accumulate(out)
+
+    def total(a: tuple, b: tuple) -> int:
+        i, j = ends(a, b)
+        out = i + sum(size[s] for s in a[len(a) - j :])
+        a, b = a[i : len(a) - j], b[i : len(b) - j]
+        if a and b:
+            row, best = weights(b), np.zeros(len(b) + 1, np.int64)
+            for s in a:
+                best = below(best, row(s))
+            out += int(best[-1])
+        return out
+
+    def weight(s: int, t: int) -> int:
+        if tags[s] != tags[t]:
             return 0
-        if (id(x), id(y)) not in memo:
-            memo[id(x), id(y)] = pairs(x.kids, y.kids) if x.kids and y.kids else (0, [])
-        return 1 + memo[id(x), id(y)][0]
-
-    if not weight(page, ref):
+        if s == t:
+            return size[s]
+        if not kids[s] or not kids[t]:
+            return 1
+        if (found := memo.get((s, t))) is None:
+            found = 1 + total(kids[s], kids[t])
+            if len(memo) >= most_cells:
+                memo.clear()
+            memo[s, t] = found
+        return found
+
+    def aligned(a: tuple, b: tuple) -> list[tuple[int, int]]:
+        i, j = ends(a, b)
+        out = [(k, k) for k in range(i)] + [(len(a) - k, len(b) - k) for k in range(1, j + 1)]
+        a, b = a[i : len(a) - j], b[i : len(b) - j]
+        if not a or not b:
+            return out
+        row, n = weights(b), len(b)
+        todo = [(0, len(a), np.zeros(n + 1, np.int64))]  # rows from, to, the best of the row before them
+        while todo and n:
+            lo, hi, best = todo.pop()
+            best = best[: n + 1]
+            if hi - lo > 1 and (hi - lo) * (n + 1) > most_cells:
+                mid, first = (lo + hi) // 2, best
+                for k in range(lo, mid):
+                    best = below(best, row(a[k])[:n])
+                todo += [(lo, mid, first), (mid, hi, best)]
+                continue
+            table = [best]
+            for k in range(lo, hi):
+                table.append(below(table[-1], row(a[k])[:n]))
+            k = hi
+            while k > lo and n:
+                w = row(a[k - 1])[n - 1]
+                if w and table[k - lo][n] == table[k - lo - 1][n - 1] + w:
+                    out.append((i + k - 1, i + n - 1))
+                    k, n = k - 1, n - 1
+                elif table[k - lo][n] == table[k - lo - 1][n]:
+                    k -= 1
+                else:
+                    n -= 1
+        return out
+
+    if page.key != ref.key:
         return []
+    shape(page)
+    shape(ref)
     out, todo = [], [(page, ref)]
     while todo:
         x, y = todo.pop()
         out.append((x, y))
-        todo += [(a, b) for a, b, _ in memo.get((id(x), id(y)), (0, []))[1]]
-        for a, b, _ in memo.get((id(x), id(y)), (0, []))[1]:
-            if a.kids and b.kids and (id(a), id(b)) not in memo:
-                weight(a, b)
+        if x.shape == y.shape:
+            todo += zip(x.kids, y.kids, strict=True)
+        elif x.kids and y.kids:
+            todo += [(x.kids[i], y.kids[j]) for i, j in aligned(kids[x.shape], kids[y.shape])]
     return out
 
 

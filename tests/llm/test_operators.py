@@ -279,6 +279,46 @@ def test_tree_matching_is_maximal():
     assert len(html_extract.match(a, b)) == 5
 
 
+def plain_matching(x, y):
+    if x.key != y.key:
+        return 0
+    best = [[0] * (len(y.kids) + 1) for _ in range(len(x.kids) + 1)]
+    for i, a in enumerate(x.kids, 1):
+        for j, b in enumerate(y.kids, 1):
+            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + plain_matching(a, b))
+    return 1 + best[-1][-1]
+
+
+def random_tree(rng, depth, most):
+    x = html_extract.Node("p", rng.choice("abc"))
+    x.kids = [random_tree(rng, depth - 1, most) for _ in range(rng.randrange(most) if depth else 0)]
+    return x
+
+
+def test_tree_matching_equals_the_plain_table():
+    rng = random.Random(3)
+    for _ in range(150):
+        a, b = (random_tree(rng, 3, 6) for _ in range(2))
+        a.key = b.key = "r"
+        for cells in (1, 12, 1 << 20):
+            found = html_extract.match(a, b, cells)
+            assert len(found) == plain_matching(a, b)
+            assert all(x.key == y.key for x, y in found) and len({id(x) for x, _ in found}) == len({id(y) for _, y in found}) == len(found)
+            assert {(id(x), id(y)) for x, y in found} == {(id(x), id(y)) for x, y in html_extract.match(a, b)}
+
+
+def test_long_lists_are_aligned_whole():
+    def tree(n):
+        kinds = ("<p>one <b>{}</b></p>", "<p><i>{}</i> two <a>x</a></p>", "<p>three</p>")
+        return html_extract.parse(f"<body>{''.join(kinds[k % 3].format(k) for k in range(n))}<div><span>All rights</span><h5>reserved {n}</h5></div><h6>end<b>x</b><i>{'y' * n}</i></h6>{'<ul><li>z</ul>' * (n > 100)}</body>")
+
+    for n, m in ((160, 60), (60, 160), (101, 20), (230, 231)):
+        a, b = tree(n), tree(m)
+        found = html_extract.match(a, b)
+        assert {"div", "span", "h5", "h6"} <= {x.tag for x, _ in found}
+        assert len(found) == plain_matching(a, b) == len(html_extract.match(a, b, 50))
+
+
 # -- token counts ---------------------------------------------------------------------
 
 
