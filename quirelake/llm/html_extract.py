@@ -3,8 +3,9 @@
 1. Every page becomes a tree of its elements. A host's reference page is the one with the
    least hash of its id.
 2. Each page's tree is aligned with its host's reference tree by simple tree matching. For each
-   reference node it is counted, over all pages of the host, how often a node of a page was
-   matched to it and how often the two had the same text. Counts are summed by task first.
+   reference node it is counted how many pages of the host have a node that is matched to it
+   and has the same text. Pages of one host whose texts are equal before a template is applied
+   (copies, mirrors, one article under many urls) count once.
 3. Nodes that stay constant over a host's pages are its template; nodes that vary, and those
    that the reference lacks, are slots. Slots make the text, but for those whose role isn't the article's:
    navigation, headers and footers of the page, sidebars, forms, notices, adverts, comments,
@@ -26,10 +27,10 @@ long pages are read whole. An empty table gives an empty result. Other columns a
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,7 @@ DROP_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments disqus reply replies discussion sidebar side aside nav navbar navigation menu breadcrumb breadcrumbs footer "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget toc pagination pager skip".split()
 )
+FRAME = frozenset("#root html body article main".split())
 DROP_OUTSIDE = frozenset(["header", "masthead", "topbar", "toolbar"])
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -358,7 +360,7 @@ def main_text(root: Node, constant: dict[int, float], article_share: float) -> s
     def skip(x: Node) -> bool:
         if x.drop:
             return True
-        return constant.get(id(x), 0.0) >= (article_share if x.end else 0.5) and x.tag not in ("#root", "html", "body", "article", "main")
+        return constant.get(id(x), 0.0) >= (article_share if x.end else 0.5) and x.tag not in FRAME
 
     articles: list[Node] = []
     todo: list[tuple[Node, bool, bool]] = [(root, False, False)]
@@ -384,30 +386,42 @@ def _with_refs(pages: DataFrame, refs: DataFrame, max_broadcast_bytes: int, size
     return pages.join(side, F.col("host").eqNullSafe(F.col("ref_host")), "left")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict = defaultdict(lambda: [0, 0])
-    seen: dict = defaultdict(int)
-    trees: dict = {}
-    for b in batches:
-        for host, page, ref in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-            if host not in trees:
-                if len(trees) > 256:
-                    trees.clear()
-                nodes = numbered(tree := trimmed(parse(ref.as_py() or "")))
-                sums = digests(tree)
-                trees[host] = tree, {id(x): (k, sums[id(x)]) for k, x in enumerate(nodes)}
-            tree, numbers = trees[host]
-            seen[host] += 1
-            root = trimmed(parse(page.as_py()))
-            sums = digests(root)
-            for x, y in match(root, tree):
-                k, digest = numbers[id(y)]
-                c = total[host, k]
-                c[0] += 1
-                c[1] += sums[id(x)] == digest
-    rows = [(h, k, m, e, seen[h]) for (h, k), (m, e) in total.items()]
-    kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-    yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(5)], names=["host", "node", "met", "equal", "pages"])
+def _template_nodes(tree: Node) -> list[tuple[int, Node]]:
+    """Nodes that can be template, with their numbers: those with text, the page's frame aside."""
+    return [(k, x) for k, x in enumerate(numbered(tree)) if x.tag not in FRAME and blocks(x)]
+
+
+def _equal(article_share: float, most_seen: int = 1 << 18):
+    """A row for each page: its host, a hash of its text without a template, the reference nodes it has and -1 for the page.
+    Repeated texts of a host that a task still remembers with as many nodes are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict = {}
+        seen: dict = {}
+        for b in batches:
+            rows = []
+            for host, page, ref in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if host not in trees:
+                    if len(trees) > 256:
+                        trees.clear()
+                    tree = trimmed(parse(ref.as_py() or ""))
+                    sums = digests(tree)
+                    trees[host] = tree, {id(x): (k, sums[id(x)]) for k, x in _template_nodes(tree)}
+                tree, numbers = trees[host]
+                root = trimmed(parse(page.as_py()))
+                text = main_text(root, {}, article_share).encode("utf-8", "replace")
+                key = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+                sums = digests(root)
+                nodes = sorted(numbers[id(y)][0] for x, y in match(root, tree) if id(y) in numbers and sums[id(x)] == numbers[id(y)][1])
+                if seen.get((host, key)) != nodes:
+                    if len(seen) >= most_seen:
+                        seen.clear()
+                    seen[host, key] = nodes
+                    rows.append((host, key, [-1, *nodes]))
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["host", "content", "nodes"])
+
+    return run
 
 
 def _extract(article_share: float, min_pages: int):
@@ -427,8 +441,7 @@ def _extract(article_share: float, min_pages: int):
                             tree = trimmed(parse(ref.as_py() or ""))
                             share = {x["node"]: x["share"] for x in fixed.as_py()}
                             sums = digests(tree)
-                            frame = ("#root", "html", "body", "article", "main")
-                            trees[host] = tree, {id(x): (share[k], sums[id(x)]) for k, x in enumerate(numbered(tree)) if k in share and x.tag not in frame and blocks(x)}
+                            trees[host] = tree, {id(x): (share[k], sums[id(x)]) for k, x in _template_nodes(tree) if k in share}
                         tree, shares = trees[host]
                         sums = digests(root) if shares else {}
                         for x, y in match(root, tree) if shares else ():  # a template without text changes nothing
@@ -452,12 +465,14 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
         least = F.broadcast(least)
     refs = rows.join(least, F.col("host").eqNullSafe(F.col("ref_host")) & F.col("id").eqNullSafe(F.col("rid")) & F.col("url").eqNullSafe(F.col("rurl")))
     refs = cut(refs.groupBy("ref_host").agg(F.max("html").alias("ref")))  # a row a host
-    counts = _with_refs(rows, refs, max_broadcast_bytes, "ref").select("host", "html", "ref").mapInArrow(_count, "host string, node int, met long, equal long, pages long")
+    equal = _with_refs(rows, refs, max_broadcast_bytes, "ref").select("host", "html", "ref").mapInArrow(_equal(article_share), "host string, content long, nodes array<int>")
+    # copies of a text are one piece of evidence; of their nodes the most are taken, for the reference all of its own
+    different = equal.groupBy("host", "content").agg(F.max(F.struct(F.size("nodes"), "nodes")).getField("nodes").alias("nodes"))
+    tally = different.select("host", F.explode("nodes").alias("node")).groupBy("host", "node").agg(F.count(F.lit(1)).alias("equal"))
+    tally = tally.groupBy("host").agg(F.max(F.when(F.col("node") < 0, F.col("equal"))).alias("pages"), F.collect_list(F.when(F.col("node") >= 0, F.struct("node", "equal"))).alias("tally"))
     # a constant node is the same in that share of the other pages of the host
-    shares = counts.groupBy("host", "node").agg(F.sum("equal").alias("equal"))
-    totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    fixed = shares.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where("pages > 1").withColumn("share", (F.col("equal") - 1) / (F.col("pages") - 1)).where("share >= 0.5")
-    fixed = fixed.groupBy("host").agg(F.collect_list(F.struct("node", "share")).alias("fixed"), F.first("pages").alias("pages"))
+    share = F.transform("tally", lambda x: F.struct(x["node"].alias("node"), ((x["equal"] - 1) / (F.col("pages") - 1)).alias("share")))
+    fixed = tally.where("pages > 1").select("host", "pages", F.filter(share, lambda x: x["share"] >= 0.5).alias("fixed"))
     template = cut(refs.join(fixed, F.col("ref_host").eqNullSafe(F.col("host")), "left").select("ref_host", "ref", "fixed", "pages"))
     joined = _with_refs(rows, template, max_broadcast_bytes, "ref").select("id", "url", "host", "html", "ref", "fixed", "pages")
     kind = pages.schema[id_col].dataType.simpleString()

@@ -262,6 +262,18 @@ def test_html_induction_finds_the_template(spark):
     assert html_extract.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_html_copies_are_one_page(spark):
+    # copies of one story make nine tenths of a host; only what other stories have too is its template
+    html = "<html><head><link href='{0}'></head><body><div><p>Welcome</p></div><{3}><p>{1}</p><p>{2}</p></{3}><div class='ad'>{0}</div></body></html>"
+    for tag, copies in (("div", 90), ("article", 180)):
+        pages = [(i, f"https://h.example.org/{i}", html.format(i, "Copied story", "Its body", tag)) for i in range(copies)]
+        pages += [(1000 + i, f"https://h.example.org/{1000 + i}", html.format(i, f"Story {i}", f"Body {i}", tag)) for i in range(10)]
+        text = {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
+        assert len(text) == len(pages)
+        assert {text[i] for i in range(copies)} == {"Copied story\nIts body"}
+        assert all(text[1000 + i] == f"Story {i}\nBody {i}" for i in range(10))
+
+
 def test_html_odd_markup():
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     root = html_extract.trimmed(html_extract.parse(deep))
