@@ -11,6 +11,9 @@
    navigation, headers and footers of the page, sidebars, forms, notices, adverts, comments,
    told by element, role or class. Where a page marks its article, only the article counts,
    and a constant node in it is dropped only if `article_share` of the host's pages have it.
+   A host has a template from two different pages on (min_pages). Shares are of the pages other than the
+   reference, to which half a page without the node is added, so that few pages prove less: outside articles the
+   half is reached by 1 of 1, 2 of 2 and 2 of 3 other pages; in one, 0.9 by 5 of 5 and 9 of 9, but not by 4 of 4.
 
 Reference pages and templates are one row a host. They are broadcast if their measured
 size is at most `max_broadcast_bytes`, else joined by host, where a hot host is split
@@ -454,7 +457,7 @@ def _extract(article_share: float, min_pages: int):
     return run
 
 
-def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", article_share: float = 0.9, min_pages: int = 8, max_broadcast_bytes: int = 16 << 20) -> DataFrame:
+def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", article_share: float = 0.9, min_pages: int = 2, max_broadcast_bytes: int = 16 << 20) -> DataFrame:
     """id, url, text of every page."""
     host = F.lower(F.nullif(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host.alias("host"))
@@ -470,8 +473,8 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     different = equal.groupBy("host", "content").agg(F.max(F.struct(F.size("nodes"), "nodes")).getField("nodes").alias("nodes"))
     tally = different.select("host", F.explode("nodes").alias("node")).groupBy("host", "node").agg(F.count(F.lit(1)).alias("equal"))
     tally = tally.groupBy("host").agg(F.max(F.when(F.col("node") < 0, F.col("equal"))).alias("pages"), F.collect_list(F.when(F.col("node") >= 0, F.struct("node", "equal"))).alias("tally"))
-    # a constant node is the same in that share of the other pages of the host
-    share = F.transform("tally", lambda x: F.struct(x["node"].alias("node"), ((x["equal"] - 1) / (F.col("pages") - 1)).alias("share")))
+    # a constant node is the same in that share of the other pages of the host, with half a page more that lacks it
+    share = F.transform("tally", lambda x: F.struct(x["node"].alias("node"), ((x["equal"] - 1) / (F.col("pages") - 0.5)).alias("share")))
     fixed = tally.where("pages > 1").select("host", "pages", F.filter(share, lambda x: x["share"] >= 0.5).alias("fixed"))
     template = cut(refs.join(fixed, F.col("ref_host").eqNullSafe(F.col("host")), "left").select("ref_host", "ref", "fixed", "pages"))
     joined = _with_refs(rows, template, max_broadcast_bytes, "ref").select("id", "url", "host", "html", "ref", "fixed", "pages")

@@ -274,6 +274,22 @@ def test_html_copies_are_one_page(spark):
         assert all(text[1000 + i] == f"Story {i}\nBody {i}" for i in range(10))
 
 
+def test_html_small_hosts_have_templates(spark):
+    html = "<html><body><div><p>Welcome {0}</p></div><{3}><p>{1}</p><p>{2}</p><p>Share this</p></{3}></body></html>"
+    pages = []
+    for n in (1, 2, 3, 5, 6, 7, 8, 12):
+        for tag in ("div", "article"):
+            pages += [(1000 * n + 100 * (tag == "div") + i, f"https://{tag}{n}.example.org/{i}", html.format(n, f"Story {i}", f"Body {i}", tag)) for i in range(n)]
+    pages += [(20 + i, f"https://odd.example.org/{i}", html.format(0, "Same" if i < 2 else "Other", f"Body {i}", "div")) for i in range(3)]
+    text = {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
+    for n in (2, 3, 5, 6, 7, 8, 12):
+        for i in range(n):
+            assert text[1000 * n + 100 + i] == f"Story {i}\nBody {i}"
+            assert text[1000 * n + i] == f"Story {i}\nBody {i}" + "\nShare this" * (n < 6)  # few pages don't prove it in an article
+    assert text[1100] == "Welcome 1\nStory 0\nBody 0\nShare this"
+    assert [text[20 + i] for i in range(3)] == ["Same\nBody 0", "Same\nBody 1", "Other\nBody 2"]  # one of two other pages isn't enough
+
+
 def test_html_odd_markup():
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     root = html_extract.trimmed(html_extract.parse(deep))
