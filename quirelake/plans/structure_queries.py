@@ -208,9 +208,9 @@ b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[
 """
 
 
-def _terms(spark, sf_dir):
+def _terms(spark, sf_dir, pattern="[A-Z][a-z]{5,7}"):
     def tally(df):
-        return df.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{5,7}"), F.lit(0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        return df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
     return tally(table(spark, sf_dir, "documents")), tally(table(spark, sf_dir, "benchmark"))
 
@@ -228,6 +228,24 @@ def crosscheck_pairs(spark, sf_dir):
     return V.near_misses(*_terms(spark, sf_dir))
 
 
+# the two above keep six to eight letters, for the cross product of the SQL; these take whole words, as top_terms does
+_WHOLE = "[A-Z][a-z]+"
+_WHOLE_TERMS = f"""
+a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{_WHOLE}')) AS term FROM documents) GROUP BY term),
+b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{_WHOLE}')) AS term FROM benchmark) GROUP BY term)
+"""
+
+
+@query(f"WITH {_WHOLE_TERMS} SELECT term, a.n AS n_a, b.n AS n_b, CASE WHEN a.n IS NULL THEN 'b' WHEN b.n IS NULL THEN 'a' ELSE 'both' END AS side FROM a FULL JOIN b USING (term)")
+def crosscheck_whole_terms(spark, sf_dir):
+    return V.crosscheck_terms(*_terms(spark, sf_dir, _WHOLE))
+
+
+@query()
+def crosscheck_whole_pairs(spark, sf_dir):
+    return V.near_misses(*_terms(spark, sf_dir, _WHOLE))
+
+
 @query("SELECT name, sidenote, n::BIGINT AS n FROM (VALUES ('a.md', 'sE-812', 2), ('b.md', 'sF-100', 1)) AS v(name, sidenote, n)")
 def large_sidenotes(spark, sf_dir):
     return V.large_sidenotes(spark.createDataFrame([("a.md", "sE-8 sE-812 sE-812"), ("b.md", "sF-99 sF-100"), ("c.md", "")], "name string, text string"))

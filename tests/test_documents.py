@@ -302,3 +302,14 @@ def test_empty_tables(spark):
     assert N.layout_footnotes(lines).count() == N.plain_footnotes(lines).count() == B.outline_documents(lines).count() == 0
     files = spark.createDataFrame([], "name string, text string")
     assert [(r.level, r.check) for r in V.validate(files).collect() if r.level == "FAIL"] == [("FAIL", "input")]
+
+
+def test_terms_are_whole_words(spark, tmp_path):
+    from quirelake.plans.registry import QUERIES
+
+    for name, text in (("documents", "Ab Constitution Constitutional Internationally Jurisdiction"), ("benchmark", "Abc Constitution Internationale Jurisdictiom")):
+        spark.createDataFrame([(1, text)], "id int, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    terms = {(r.term, r.side) for r in QUERIES["crosscheck_whole_terms"](spark, str(tmp_path)).collect()}
+    assert terms == {("Ab", "a"), ("Abc", "b"), ("Constitution", "both"), ("Constitutional", "a"), ("Internationally", "a"), ("Internationale", "b"), ("Jurisdiction", "a"), ("Jurisdictiom", "b")}
+    pairs = {tuple(r) for r in QUERIES["crosscheck_whole_pairs"](spark, str(tmp_path)).collect()}
+    assert pairs == {("Ab", "Abc", 1), ("Internationally", "Internationale", 2), ("Jurisdiction", "Jurisdictiom", 1)}
