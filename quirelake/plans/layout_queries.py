@@ -149,10 +149,10 @@ def notice_trim(spark, sf_dir):
     return R.trim_notice(lines).select("doc_id", "line_no")
 
 
-def _images(spark, sf_dir):
-    """Pages as images: a document is a host, the content a page's first letters."""
+def _images(spark, sf_dir, data=None):
+    """Pages as images: a document is a host, the content a page's first letters, or what data says."""
     p = table(spark, sf_dir, "pages")
-    data = F.substring("html", 23, 60).cast("binary")
+    data = F.substring("html", 23, 60).cast("binary") if data is None else data.cast("binary")
     return p.select(F.regexp_extract("url", "//([^/?#]+)", 1).alias("doc_id"), F.col("page_id").cast("int").alias("page_no"), F.lit(0).alias("img_no"), F.lit(10.0).alias("y0"), F.lit(40.0).alias("y1"), content_hash(data).alias("hash"))
 
 
@@ -179,6 +179,30 @@ def running_images(spark, sf_dir):
     return R.running_images(images, counts, PAGE_HEIGHT)
 
 
+# the two above hash a slice of each page, so that some repeat; these hash whole pages
+_WHOLE_IMG = """
+img AS (SELECT regexp_extract(url, '//([^/?#]+)', 1) AS doc_id, CAST(page_id AS INT) AS page_no, 0 AS img_no, octet_length(encode(html)) || '-' || sha256(html) AS hash FROM pages)
+"""
+
+
+@query(f"""
+WITH {_WHOLE_IMG}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS n FROM img), f AS (SELECT doc_id, hash, min(n) AS k, min(page_no) AS p FROM n GROUP BY doc_id, hash)
+SELECT doc_id, hash, page_no, CAST(n AS INT) AS n, 'document.assets/document-p' || (p + 1) || '-' || k || '.png' AS path FROM n JOIN f USING (doc_id, hash)
+""")
+def image_dedupe_whole(spark, sf_dir):
+    return R.dedupe_images(_images(spark, sf_dir, F.col("html"))).select("doc_id", "hash", "page_no", "n", "path")
+
+
+@query(f"""
+WITH {_WHOLE_IMG}, c AS (SELECT doc_id, count(*) AS pages FROM img GROUP BY doc_id)
+SELECT doc_id, hash FROM img JOIN c USING (doc_id) WHERE pages >= 2 GROUP BY doc_id, hash HAVING count(DISTINCT page_no) >= greatest(2, ceil(any_value(pages) / 2.0))
+""")
+def running_images_whole(spark, sf_dir):
+    images = _images(spark, sf_dir, F.col("html"))
+    counts = images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"))
+    return R.running_images(images, counts, PAGE_HEIGHT)
+
+
 _PARA = f"""
 {LINES_SQL},
 b AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS last FROM lines),

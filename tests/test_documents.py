@@ -313,3 +313,14 @@ def test_terms_are_whole_words(spark, tmp_path):
     assert terms == {("Ab", "a"), ("Abc", "b"), ("Constitution", "both"), ("Constitutional", "a"), ("Internationally", "a"), ("Internationale", "b"), ("Jurisdiction", "a"), ("Jurisdictiom", "b")}
     pairs = {tuple(r) for r in QUERIES["crosscheck_whole_pairs"](spark, str(tmp_path)).collect()}
     assert pairs == {("Ab", "Abc", 1), ("Internationally", "Internationale", 2), ("Jurisdiction", "Jurisdictiom", 1)}
+
+
+def test_images_are_whole_pages(spark, tmp_path):
+    from quirelake.plans.registry import QUERIES
+
+    head = "<!DOCTYPE html><html><head><title>" + "same " * 20
+    rows = [(0, head + "a"), (1, head + "b"), (2, head + "a"), (3, head + "a"), (4, head + "c")]
+    spark.createDataFrame([(i, f"https://h.example.org/{i}", html) for i, html in rows], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_no: r.path for r in QUERIES["image_dedupe_whole"](spark, str(tmp_path)).collect()}
+    assert got[0] == got[2] == got[3] and len(set(got.values())) == 3
+    assert QUERIES["running_images_whole"](spark, str(tmp_path)).count() == 1
