@@ -260,3 +260,31 @@ def stored_pages(spark, sf_dir):
     pages = lines.groupBy(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").alias("number")).agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: F.struct(x["text"].alias("text"))).alias("lines"))
     back = pages.withColumn("chars", F.char_length(F.array_join("lines.text", "\n")).cast("long"))
     return back.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
+
+
+# the operators of the checks over all documents, each with two lines of marks made from its number, in union with the literal files
+_TALLY = """
+t AS (SELECT 1 + doc_id % 50 AS number, 1 AS r, 0 AS d FROM documents UNION ALL SELECT 1 + doc_id % 40, 0, 1 FROM documents UNION ALL SELECT * FROM (VALUES (1, 2, 1), (2, 1, 0), (4, 0, 2), (7, 1, 0)))
+"""
+
+
+def _marked_documents(spark, sf_dir):
+    n = F.col("doc_id")
+    marks = F.concat(F.lit("\n정구 sE-"), (n % 300).cast("string"), F.lit(" 74다"), (n % 900 + 1).cast("string"), F.lit("[^"), (n % 50 + 1).cast("string"), F.lit("]\n[^"), (n % 40 + 1).cast("string"), F.lit("]: 각주"))
+    return table(spark, sf_dir, "documents").select(n.cast("string").alias("name"), F.concat(F.coalesce("text", F.lit("")), marks).alias("text"))
+
+
+@query(f"WITH {_TALLY} SELECT CAST(number AS INT) AS number, sum(r)::BIGINT AS refs, sum(d)::BIGINT AS defs FROM t GROUP BY number")
+def footnote_audit_documents(spark, sf_dir):
+    return N.references_and_definitions(_marked_documents(spark, sf_dir).unionByName(spark.sql(_NOTES)))
+
+
+@query()
+def frontmatter_diff_documents(spark, sf_dir):
+    return V.front_matter_difference(_marked_documents(spark, sf_dir).unionByName(_md(spark)))
+
+
+@query()
+def validation_findings_documents(spark, sf_dir):
+    baseline = spark.createDataFrame([("a", 1, 2)], "source string, pages int, stars int")
+    return V.validate(_marked_documents(spark, sf_dir).unionByName(_md(spark)), baseline=baseline).groupBy("level", "check").agg(F.count(F.lit(1)).alias("n"))

@@ -324,3 +324,16 @@ def test_images_are_whole_pages(spark, tmp_path):
     got = {r.page_no: r.path for r in QUERIES["image_dedupe_whole"](spark, str(tmp_path)).collect()}
     assert got[0] == got[2] == got[3] and len(set(got.values())) == 3
     assert QUERIES["running_images_whole"](spark, str(tmp_path)).count() == 1
+
+
+def test_checks_run_over_documents(spark, tmp_path):
+    from quirelake.plans.registry import QUERIES
+
+    for n in (10, 60):
+        spark.createDataFrame([(k, f"text {k}") for k in range(n)], "doc_id long, text string").write.parquet(f"{tmp_path}/{n}/documents.parquet")
+        audit = {r.number: (r.refs, r.defs) for r in QUERIES["footnote_audit_documents"](spark, f"{tmp_path}/{n}").collect()}
+        assert sum(r for r, _ in audit.values()) == n + 4 and sum(d for _, d in audit.values()) == n + 3
+        diff = {r.name: (r.has_front, r.missing) for r in QUERIES["frontmatter_diff_documents"](spark, f"{tmp_path}/{n}").collect()}
+        assert len(diff) == n + 2 and diff["9"] == (False, ["74다10"])
+        found = {(r.level, r.check): r.n for r in QUERIES["validation_findings_documents"](spark, f"{tmp_path}/{n}").collect()}
+        assert found["WARN", "front matter"] >= n
