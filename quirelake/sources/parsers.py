@@ -101,8 +101,8 @@ def ocr_lines(boxes: DataFrame) -> DataFrame:
 
 
 register(Parser("textfile", "markdown", S.text_pages))
-register(Parser("marker", "markdown", rule_pages))
-register(Parser("mineru", "markdown", rule_pages))
+register(Parser("marker", "markdown", rule_pages, "marker"))
+register(Parser("mineru", "markdown", rule_pages, "mineru"))
 register(Parser("pymupdf", "layout", pdf_spans, "pymupdf"))
 register(Parser("pymupdf4llm", "markdown", rule_pages, "pymupdf4llm"))
 register(Parser("paddleocr", "markdown", ocr_lines, "paddleocr"))

@@ -337,3 +337,11 @@ def test_checks_run_over_documents(spark, tmp_path):
         assert len(diff) == n + 2 and diff["9"] == (False, ["74다10"])
         found = {(r.level, r.check): r.n for r in QUERIES["validation_findings_documents"](spark, f"{tmp_path}/{n}").collect()}
         assert found["WARN", "front matter"] >= n
+
+
+def test_pdf_parsers_need_their_libraries(monkeypatch):
+    monkeypatch.setattr(parsers.importlib.util, "find_spec", lambda name: None)
+    for name in ("marker", "mineru", "pymupdf", "pymupdf4llm", "paddleocr"):
+        assert parsers.availability()[name] == (False, f"{name} is not installed")
+    with pytest.raises(LookupError):
+        parsers.pick_parser(["pymupdf", "marker", "mineru"])
