@@ -1,31 +1,40 @@
 """Main text of web pages by wrapper induction.
 
-1. Every page becomes a tree of its elements. A host's reference page is the one with the
-   least hash of its id.
-2. Each page's tree is aligned with its host's reference tree by simple tree matching. For each
-   reference node it is counted how many pages of the host have a node that is matched to it
-   and has the same text. Pages of one host whose texts are equal before a template is applied
-   (copies, mirrors, one article under many urls) count once.
-3. Nodes that stay constant over a host's pages are its template; nodes that vary, and those
-   that the reference lacks, are slots. Slots make the text, but for those whose role isn't the article's:
-   navigation, headers and footers of the page, sidebars, forms, notices, adverts, comments,
-   told by element, role or class. Where a page marks its article, only the article counts,
-   and a constant node in it is dropped only if `article_share` of the host's pages have it.
-   A host has a template from two different pages on (min_pages). Shares are of the pages other than the
-   reference, to which half a page without the node is added, so that few pages prove less: outside articles the
-   half is reached by 1 of 1, 2 of 2 and 2 of 3 other pages; in one, 0.9 by 5 of 5 and 9 of 9, but not by 4 of 4.
-
-Reference pages and templates are one row a host. They are broadcast if their measured
-size is at most `max_broadcast_bytes`, else joined by host, where a hot host is split
-by the adaptive skew join, its other side being a single row.
+1. Every page becomes a tree of its elements. Pages are grouped by host; the pages of hosts with one
+   distinct page are grouped by the last two labels of their host, those that are still alone by
+   nothing. The reference page of a group is the one with the least hash of its id.
+2. Each page's tree is aligned with the reference tree of its group by simple tree matching. For each
+   reference node it is counted how many pages have a node that is matched to it and has the
+   same text (digits aside), and how much text the nodes matched to it hold. Pages of a group whose texts are
+   equal before a template is applied (copies, mirrors, one article under many urls) count once.
+3. Nodes that stay constant are template; nodes that vary, and those that the reference lacks, are slots.
+4. The group's content slot is found by descending the reference tree from its root: while a node holds
+   nothing but boxes, and one of them has at least half of the varying text that all pages have in the node,
+   that box is next. A node that holds headings, paragraphs, lists or bare text that vary is the slot.
+5. A page's text is what its node that is matched to the slot holds, without the template nodes in it (headings, cells, list items
+   and inline elements are no such nodes by themselves: they belong to what varies around them), without
+   elements that HTML itself gives another role (navigation, asides, footers, forms, scripts and the like, ARIA
+   roles, hidden ones), and without captioned records: a box in the slot whose first text is constant and the
+   rest of which is a list of alike records of several parts, or of links only (reader comments, related links).
+   A page without such a node gets its slot by the same descent over its own text.
+
+No names of classes or ids are interpreted; they only tell which nodes may be matched. So an advert inside the
+article that varies from page to page and has no element or role of its own stays.
+
+Constancy is a share of the pages other than the reference, to which half a page without the node is added, so
+that few pages prove less: for the descent half of them is enough (1 of 1, 2 of 2, 2 of 3 others), inside the slot
+`article_share` (0.9 by 5 of 5 and 9 of 9, not by 4 of 4).
+
+Reference pages and templates are one row a group. They are broadcast if their measured size is at most
+`max_broadcast_bytes`, else joined, where a hot group is split by the adaptive skew join, its other side being
+a single row.
 
 Blocks are the texts of block-level elements in page order. Character references are
 decoded, white space in a block becomes one space, blocks are joined by a line feed.
 
-Cases: null or empty html gives an empty text. A null or odd url is a host of its own
-kind (null); its pages share a template only if they agree. Ids may be null or repeat: pages
-are handled one by one. Markup that never closes is closed by what follows. Very
-long pages are read whole. An empty table gives an empty result. Other columns aren't read.
+Cases: null or empty html gives an empty text. Null and odd urls have no host: their pages are one group.
+Ids may be null or repeat: pages are handled one by one. Markup that never closes is closed by what follows. Very
+long and very deep pages are read whole. An empty table gives an empty result. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -38,14 +47,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.llm.common import cut, text_of
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?|[^<]+|<", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
-RAW = frozenset("script style textarea title noscript iframe template svg xmp noembed noframes math".split())
+RAW = frozenset("script style textarea title noscript iframe template svg xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html body head address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table caption thead tbody tfoot tr td th ul".split()
@@ -55,24 +64,24 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
 }
-DROP_TAGS = frozenset("nav aside footer form button select option input textarea script style noscript iframe template svg head title menu dialog object embed canvas audio video math label fieldset".split())
+#: Elements and roles that HTML and ARIA define as something else than the text of a page.
+DROP_TAGS = frozenset("nav aside footer form button select option input textarea script style noscript iframe template svg head title menu dialog object embed canvas audio video".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
-DROP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion comment comments disqus reply replies discussion sidebar side aside nav navbar navigation menu breadcrumb breadcrumbs footer "
-    "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget toc pagination pager skip".split()
-)
-FRAME = frozenset("#root html body article main".split())
-DROP_OUTSIDE = frozenset(["header", "masthead", "topbar", "toolbar"])
-_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
+SECTIONS = frozenset("article section main".split())  # a header in one of these is its own, else the page's
+BOXES = frozenset("#root html body div section article main center".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What can be template inside the slot; a constant heading, cell, list item or inline element belongs to what varies around it.
+CLOSED = BLOCK - HEADINGS - frozenset("#root html body caption thead tbody tfoot tr td th li dt dd figcaption summary".split())
 
 
 class Node:
-    __slots__ = ("tag", "key", "kids", "parts", "drop", "soft", "article", "end", "shape")
+    __slots__ = ("tag", "key", "kids", "parts", "drop", "inside", "shape", "sum", "loose", "size")
 
-    def __init__(self, tag: str, key: str = "", drop: bool = False, soft: bool = False, article: bool = False):
-        self.tag, self.key, self.drop, self.soft, self.article = tag, key, drop, soft, article  # soft: dropped for a word of its class only
-        self.kids: list[Node] = []
-        self.parts: list = []  # strings and kids in page order
+    def __init__(self, tag: str, key: str = "", drop: bool = False, inside: bool = False):
+        self.tag, self.key, self.drop, self.inside = tag, key, drop, inside  # inside: lies in a section
+        self.kids: list[Node] = []  # without dropped ones
+        self.parts: list = []  # strings and elements in page order
+        self.sum, self.loose, self.size = 0, 0, 0  # checksums of the text, as it is and with digits aside, and its length
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -99,15 +108,10 @@ def parse(html: str) -> Node:
         elif opening:
             tag = opening.lower()
             attrs = _attributes(m[3])
-            inside = any(x.article for x in stack)
-            words = {w.lower() for w in _PARTS.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")}
+            words = sorted(set(f"{attrs.get('class', '')} {attrs.get('id', '')}".split()))
             role = attrs.get("role", "").lower()
-            drop = tag in DROP_TAGS or role in DROP_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" or (tag == "header" and not inside)
-            bad = words & (DROP_WORDS if inside else DROP_WORDS | DROP_OUTSIDE)
-            if tag in ("article", "main"):  # "no-comments", "with-sidebar" and the like say nothing about the article itself
-                bad = words & {"comment", "comments", "reply", "replies"} if not words & {"no", "with", "has", "open", "closed"} else set()
-            soft = not drop and bool(bad) and tag not in ("html", "body")
-            node = Node(tag, f"{tag}.{'.'.join(sorted(words))}", drop or soft, soft, (tag in ("article", "main") or role in ("article", "main")) and not (drop or soft))
+            node = Node(tag, " ".join([tag, *words]))
+            node.drop = tag in DROP_TAGS or role in DROP_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true"
             if tag in BLOCK:  # a block ends an open paragraph and what is open in it
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k].tag == "p":
@@ -125,7 +129,10 @@ def parse(html: str) -> Node:
                         if tag != "tr":
                             break
             top = stack[-1]
-            top.kids.append(node)
+            node.inside = top.inside or tag in SECTIONS
+            node.drop = node.drop or tag == "header" and not node.inside
+            if not node.drop:
+                top.kids.append(node)
             top.parts.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -134,26 +141,29 @@ def parse(html: str) -> Node:
                 stack.append(node)
         elif html[m.start()] != "<" or m[0] == "<":
             stack[-1].parts.append(entities.unescape(m[0]))
-    _keep_holders(root)
-    todo = [root]
-    while todo:  # what is dropped anyway is neither aligned nor counted; parts keeps it
-        x = todo.pop()
-        x.kids = [k for k in x.kids if not k.drop]
-        todo += x.kids
+    _measure(root)
     return root
 
 
-def _keep_holders(root: Node) -> None:
-    """A box that holds the article isn't dropped for a word of its class ("with-sidebar")."""
-    todo: list[tuple[Node, list[Node]]] = [(root, [])]
-    while todo:
-        x, above = todo.pop()
-        if x.article:
-            for y in above:
-                y.drop = False
-        if not x.drop or x.soft:
-            above = [*above, x] if x.soft else above
-            todo += [(k, above) for k in x.kids]
+_DIGITS = re.compile(r"\d+")
+
+
+def _measure(root: Node) -> None:
+    """Checksums of elements and texts, white space aside, and lengths of texts; from the leaves up, dropped elements left out."""
+    for x in reversed(numbered(root)):
+        c = d = zlib.crc32(x.tag.encode())
+        n = 0
+        for p in x.parts:
+            if isinstance(p, str):
+                if t := " ".join(p.split()):
+                    c = zlib.crc32(t.encode("utf-8", "replace"), c)
+                    d = zlib.crc32(_DIGITS.sub("0", t).encode("utf-8", "replace"), d)
+                    n += len(t)
+            elif not p.drop:
+                c = zlib.crc32(p.sum.to_bytes(4, "little"), c)
+                d = zlib.crc32(p.loose.to_bytes(4, "little"), d)
+                n += p.size
+        x.sum, x.loose, x.size = c, d, n
 
 
 def blocks(node: Node, skip=lambda node: node.drop) -> list[str]:
@@ -185,29 +195,6 @@ def blocks(node: Node, skip=lambda node: node.drop) -> list[str]:
     return out
 
 
-def digests(root: Node) -> dict[int, int]:
-    """By id() of a node a checksum of its elements and texts, white space aside; one pass from the leaves up.
-    Dropped elements don't count."""
-    out: dict[int, int] = {}
-    todo = [root]
-    order = []
-    while todo:
-        x = todo.pop()
-        order.append(x)
-        todo += [p for p in x.parts if not isinstance(p, str) and not p.drop]
-    for x in reversed(order):
-        c = zlib.crc32(x.tag.encode())
-        for p in x.parts:
-            if not isinstance(p, str):
-                if p.drop:
-                    continue
-                c = zlib.crc32(out[id(p)].to_bytes(4, "little"), c)
-            elif t := p.split():
-                c = zlib.crc32(" ".join(t).encode("utf-8", "replace"), c)
-        out[id(x)] = c
-    return out
-
-
 def numbered(root: Node) -> list[Node]:
     """Nodes in page order; a node's number is its place."""
     out, todo = [], [root]
@@ -223,7 +210,8 @@ def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node,
     matched in order so that most nodes match. Lists of children are aligned whole, however long they are:
     a table of more than most_cells is made again in halves of its rows as its way back is followed, so that about
     that many cells and a row for each halving are held. Equal subtrees at the end of both lists and equal leaves at
-    their start are matched at once, which loses nothing."""
+    their start are matched at once, which loses nothing. Weights are made by generators that ask for the weights below
+    them, so that depth costs no call stack."""
     ids: dict = {}
     tags: list[str] = []
     kids: list[tuple] = []  # of each shape: labels of a subtree, without texts
@@ -254,11 +242,15 @@ def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node,
         kinds, at = np.unique(np.array(b, np.int64), return_inverse=True)
         rows: dict = {}
 
-        def row(s: int) -> np.ndarray:
+        def row(s: int):
             if s not in rows:
                 if (len(rows) + 1) * len(b) > most_cells:
                     rows.clear()
-                rows[s] = np.array([weight(s, t) for t in kinds.tolist()], np.int64)[at]
+                found = []
+                for t in kinds.tolist():
+                    w = known(s, t)
+                    found.append((yield s, t) if w is None else w)
+                rows[s] = np.array(found, np.int64)[at]
             return rows[s]
 
         return row
@@ -268,32 +260,43 @@ def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node,
         np.maximum(out[1:], best[:-1] + w, out=out[1:])
         return np.maximum.accumulate(out)
 
-    def total(a: tuple, b: tuple) -> int:
+    def total(a: tuple, b: tuple):
         i, j = ends(a, b)
         out = i + sum(size[s] for s in a[len(a) - j :])
         a, b = a[i : len(a) - j], b[i : len(b) - j]
         if a and b:
             row, best = weights(b), np.zeros(len(b) + 1, np.int64)
             for s in a:
-                best = below(best, row(s))
+                best = below(best, (yield from row(s)))
             out += int(best[-1])
         return out
 
-    def weight(s: int, t: int) -> int:
+    def known(s: int, t: int) -> int | None:
+        """The weight of two shapes, if it needn't be worked out."""
         if tags[s] != tags[t]:
             return 0
         if s == t:
             return size[s]
-        if not kids[s] or not kids[t]:
-            return 1
-        if (found := memo.get((s, t))) is None:
-            found = 1 + total(kids[s], kids[t])
-            if len(memo) >= most_cells:
-                memo.clear()
-            memo[s, t] = found
-        return found
-
-    def aligned(a: tuple, b: tuple) -> list[tuple[int, int]]:
+        return memo.get((s, t)) if kids[s] and kids[t] else 1
+
+    def answer(asker):
+        """Runs a generator, and those for the weights that it and they ask for."""
+        stack, value = [(None, asker)], None
+        while True:
+            try:
+                pair = stack[-1][1].send(value)
+                stack.append((pair, total(kids[pair[0]], kids[pair[1]])))
+                value = None
+            except StopIteration as done:
+                pair, _ = stack.pop()
+                if pair is None:
+                    return done.value
+                value = 1 + done.value
+                if len(memo) >= most_cells:
+                    memo.clear()
+                memo[pair] = value
+
+    def aligned(a: tuple, b: tuple):
         i, j = ends(a, b)
         out = [(k, k) for k in range(i)] + [(len(a) - k, len(b) - k) for k in range(1, j + 1)]
         a, b = a[i : len(a) - j], b[i : len(b) - j]
@@ -307,15 +310,15 @@ def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node,
             if hi - lo > 1 and (hi - lo) * (n + 1) > most_cells:
                 mid, first = (lo + hi) // 2, best
                 for k in range(lo, mid):
-                    best = below(best, row(a[k])[:n])
+                    best = below(best, (yield from row(a[k]))[:n])
                 todo += [(lo, mid, first), (mid, hi, best)]
                 continue
             table = [best]
             for k in range(lo, hi):
-                table.append(below(table[-1], row(a[k])[:n]))
+                table.append(below(table[-1], (yield from row(a[k]))[:n]))
             k = hi
             while k > lo and n:
-                w = row(a[k - 1])[n - 1]
+                w = (yield from row(a[k - 1]))[n - 1]
                 if w and table[k - lo][n] == table[k - lo - 1][n - 1] + w:
                     out.append((i + k - 1, i + n - 1))
                     k, n = k - 1, n - 1
@@ -336,150 +339,201 @@ def match(page: Node, ref: Node, most_cells: int = 1 << 20) -> list[tuple[Node,
         if x.shape == y.shape:
             todo += zip(x.kids, y.kids, strict=True)
         elif x.kids and y.kids:
-            todo += [(x.kids[i], y.kids[j]) for i, j in aligned(kids[x.shape], kids[y.shape])]
+            todo += [(x.kids[i], y.kids[j]) for i, j in answer(aligned(kids[x.shape], kids[y.shape]))]
     return out
 
 
-def trimmed(root: Node, most_depth: int = 150) -> Node:
-    """The tree with what lies deeper than most_depth lifted to that depth, so that recursion is bounded."""
-    todo = [(root, 0)]
-    while todo:
-        x, d = todo.pop()
-        if d >= most_depth and any(k.kids for k in x.kids):
-            flat, more = [], list(reversed(x.kids))
-            while more:
-                y = more.pop()
-                flat.append(y)
-                more += reversed(y.kids)
-                y.kids = []
-            x.kids = flat
-        todo += [(k, d + 1) for k in x.kids]
-    return root
-
+FRAME = frozenset("#root html body".split())
 
-def main_text(root: Node, constant: dict[int, float], article_share: float) -> str:
-    """constant: by id() of a node the share of the host's pages in which it has the same text."""
 
-    def skip(x: Node) -> bool:
-        if x.drop:
-            return True
-        return constant.get(id(x), 0.0) >= (article_share if x.end else 0.5) and x.tag not in FRAME
+class Wrapper:
+    """A group's reference page with what its pages have in common: by id() of a node of the reference
+    the share of pages in which it is constant, captions that are constant, and the slot."""
 
-    articles: list[Node] = []
-    todo: list[tuple[Node, bool, bool]] = [(root, False, False)]
-    while todo:
-        x, gone, inside = todo.pop()
-        x.end = inside = inside or x.article  # end: lies in an article
-        if x.article and not gone and not (articles and articles[-1] is x):
-            articles.append(x)
-        todo += [(k, gone or x.drop, inside) for k in reversed(x.kids)]
-    marked = [a for a in articles if a.tag == "article"] or articles
-    inner = {id(y) for a in marked for y in numbered(a)[1:]}
-    tops = [a for a in marked if id(a) not in inner]
-    return "\n".join(t for top in tops or [root] for t in blocks(top, skip))
+    def __init__(self, tree: Node, tally: list[tuple[int, int, int, int, int]], pages: int, article_share: float):
+        """tally: of each reference node its number, the pages that have it, those where its text is the same but for
+        digits, those where it is the same, and the characters that all pages have in it."""
+        nodes = numbered(tree)
+        held = {id(k): x for x in nodes for k in x.kids}
+        others = pages - 0.5
+        self.tree, self.template, self.captions = tree, set(), set()
+        met, loose, equal, mass = ({id(nodes[row[0]]): row[k] for row in tally} for k in range(1, 5))
+        constant = set()
+        for x in nodes:
+            if pages < 2 or x.tag in FRAME or not x.size or id(x) not in equal:
+                continue
+            share = (equal[id(x)] - 1) / others
+            if share >= 0.5:
+                constant.add(id(x))
+            if share >= article_share and x.tag in CLOSED:
+                self.template.add(id(x))
+            if (loose[id(x)] - 1) / max(met.get(id(held[id(x)]), pages) - 0.5, 0.5) >= 0.5:  # of the pages that have the box
+                self.captions.add(id(x))
+        self.fixed = {x.sum for x in nodes if id(x) in constant}
+        self.slot = content_slot(tree, mass, constant, equal)
+
+
+def content_slot(root: Node, mass: dict[int, float], constant: set[int], times: dict[int, int]) -> Node:
+    """mass: by id() of a box all the text in it; of that the constant nodes under it, as often as they are met, are
+    taken off. Other nodes count with their own text."""
+    left: dict[int, float] = {}
+    for x in reversed(numbered(root)):
+        fixed = sum(left[~id(k)] for k in x.kids)
+        if id(x) in constant:
+            fixed = float(x.size * times.get(id(x), 1))
+        left[~id(x)] = fixed  # constant text in x
+        left[id(x)] = 0.0 if id(x) in constant else max(0.0, mass.get(id(x), x.size) - fixed)
+    x = root
+    while True:
+        kids = [k for k in x.kids if left[id(k)] > 0]
+        bare = any(isinstance(p, str) and p.strip() for p in x.parts)
+        if not kids or bare or any(k.tag not in BOXES for k in kids):
+            return x
+        most = max(kids, key=lambda k: left[id(k)])
+        if 2 * left[id(most)] < left[id(x)]:
+            return x
+        x = most
+
+
+def _captioned_records(x: Node, captions: set[int]) -> bool:
+    """x starts with a constant caption; the rest, if any, are alike records without headings, of several parts each or of one link."""
+    kids = [k for k in x.kids if k.size]
+    if not kids or id(kids[0]) not in captions or any(isinstance(p, str) and p.strip() for p in x.parts):
+        return False
+    rest = kids[1:]
+    inner = [k for k in rest[0].kids if k.size] if len(rest) == 1 and rest[0].tag in ("ul", "ol", "div") else []
+    return _alike_records(rest) or bool(inner) and _alike_records(inner)
+
+
+def _alike_records(rest: list[Node]) -> bool:
+    def record(y: Node) -> bool:
+        parts = [k for k in y.kids if k.size]
+        linked = len(parts) == 1 and parts[0].tag == "a" and parts[0].size == y.size
+        return linked or len(parts) > 1 and not any(k.tag in HEADINGS for k in numbered(y))
+
+    return len({k.key for k in rest}) < 2 and all(y.tag in ("li", "div", "article") and record(y) for y in rest)
+
+
+def main_text(root: Node, wrapper: Wrapper | None = None, pairs: list[tuple[Node, Node]] = ()) -> str:
+    """pairs: nodes of the page with those of the wrapper's reference."""
+    template, captions, top = set(), set(), None
+    for x, y in pairs:
+        if id(y) in wrapper.template and x.sum == y.sum:
+            template.add(id(x))
+        if id(y) in wrapper.captions and x.loose == y.loose:
+            captions.add(id(x))
+        if y is wrapper.slot and x.sum not in wrapper.fixed:  # labels alone may match a node to one that is template elsewhere
+            top = x
+    if top is None or top.tag in FRAME:
+        top = content_slot(root, {}, template, {})
+    return "\n".join(blocks(top, lambda x: x.drop or id(x) in template or x.tag in BOXES and x is not top and _captioned_records(x, captions)))
 
 
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)"
 
 
-def _with_refs(pages: DataFrame, refs: DataFrame, max_broadcast_bytes: int, size_of: str) -> DataFrame:
-    """pages with the row of refs of their host; broadcast only below a measured size."""
-    size = refs.agg(F.sum(F.octet_length(size_of) + 64)).first()[0] or 0
-    side = F.broadcast(refs) if size <= max_broadcast_bytes else refs
-    return pages.join(side, F.col("host").eqNullSafe(F.col("ref_host")), "left")
+def _with(rows: DataFrame, side: DataFrame, key: str, max_broadcast_bytes: int, size: Column) -> DataFrame:
+    """rows joined by key with side, which has one row a key; broadcast only below a measured size."""
+    total = side.agg(F.sum(size + 64)).first()[0] or 0
+    return rows.join(F.broadcast(side) if total <= max_broadcast_bytes else side, key)
 
 
-def _template_nodes(tree: Node) -> list[tuple[int, Node]]:
-    """Nodes that can be template, with their numbers: those with text, the page's frame aside."""
-    return [(k, x) for k, x in enumerate(numbered(tree)) if x.tag not in FRAME and blocks(x)]
+class _Trees:
+    """Parsed reference pages of the last groups."""
 
+    def __init__(self, make, most: int = 256):
+        self.make, self.most, self.kept = make, most, {}
 
-def _equal(article_share: float, most_seen: int = 1 << 18):
-    """A row for each page: its host, a hash of its text without a template, the reference nodes it has and -1 for the page.
-    Repeated texts of a host that a task still remembers with as many nodes are left out."""
+    def of(self, key: str, *given):
+        if key not in self.kept:
+            if len(self.kept) >= self.most:
+                self.kept.clear()
+            self.kept[key] = self.make(*given)
+        return self.kept[key]
+
+
+def _evidence(most_seen: int = 1 << 18):
+    """A row for each page: its group, a hash of its text without a template, and of the reference nodes that it has those that are boxes or
+    have the same text; node -1 is the page. What a task still remembers of the same group with the same nodes is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict = {}
+        trees = _Trees(lambda ref: (lambda tree: (tree, {id(x): k for k, x in enumerate(numbered(tree))}))(parse(ref)))
         seen: dict = {}
         for b in batches:
             rows = []
-            for host, page, ref in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
-                if host not in trees:
-                    if len(trees) > 256:
-                        trees.clear()
-                    tree = trimmed(parse(ref.as_py() or ""))
-                    sums = digests(tree)
-                    trees[host] = tree, {id(x): (k, sums[id(x)]) for k, x in _template_nodes(tree)}
-                tree, numbers = trees[host]
-                root = trimmed(parse(page.as_py()))
-                text = main_text(root, {}, article_share).encode("utf-8", "replace")
-                key = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
-                sums = digests(root)
-                nodes = sorted(numbers[id(y)][0] for x, y in match(root, tree) if id(y) in numbers and sums[id(x)] == numbers[id(y)][1])
-                if seen.get((host, key)) != nodes:
+            for key, page, ref in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                tree, number = trees.of(key, ref.as_py())
+                root = parse(page.as_py())
+                text = int.from_bytes(hashlib.blake2b(main_text(root).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+                nodes = [(-1, 2, 0)]
+                for x, y in match(root, tree):
+                    same = 2 if x.sum == y.sum else int(x.loose == y.loose)
+                    if y.tag in BOXES or same and y.size:
+                        nodes.append((number[id(y)], same, x.size))
+                nodes.sort()
+                if seen.get((key, text)) != nodes:
                     if len(seen) >= most_seen:
                         seen.clear()
-                    seen[host, key] = nodes
-                    rows.append((host, key, [-1, *nodes]))
-            kinds = (pa.string(), pa.int64(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["host", "content", "nodes"])
+                    seen[key, text] = nodes
+                    rows.append((key, text, [{"node": n, "same": s, "chars": c} for n, s, c in nodes]))
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.struct([("node", pa.int32()), ("same", pa.int32()), ("chars", pa.int64())])))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(3)], names=["grp", "content", "nodes"])
 
     return run
 
 
-def _extract(article_share: float, min_pages: int):
+def _extract(article_share: float):
+    def wrapper(ref: str, tally: list[dict], pages: int) -> Wrapper:
+        return Wrapper(parse(ref), [(x["node"], x["met"], x["loose"], x["equal"], x["chars"]) for x in tally], pages, article_share)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees: dict = {}
+        trees = _Trees(wrapper)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 out = []
-                for host, page, ref, fixed, pages in zip(part.column("host").to_pylist(), part.column("html"), part.column("ref"), part.column("fixed"), part.column("pages").to_pylist(), strict=True):
-                    root = trimmed(parse(page.as_py()))
-                    constant: dict[int, float] = {}
-                    if (pages or 0) >= min_pages and fixed.is_valid and len(fixed):
-                        if host not in trees:
-                            if len(trees) > 256:
-                                trees.clear()
-                            tree = trimmed(parse(ref.as_py() or ""))
-                            share = {x["node"]: x["share"] for x in fixed.as_py()}
-                            sums = digests(tree)
-                            trees[host] = tree, {id(x): (share[k], sums[id(x)]) for k, x in _template_nodes(tree) if k in share}
-                        tree, shares = trees[host]
-                        sums = digests(root) if shares else {}
-                        for x, y in match(root, tree) if shares else ():  # a template without text changes nothing
-                            s = shares.get(id(y))
-                            if s and sums[id(x)] == s[1]:
-                                constant[id(x)] = s[0]
-                    out.append(main_text(root, constant, article_share))
+                for key, page, ref, tally, pages in zip(part.column("grp").to_pylist(), *(part.column(c) for c in ("html", "ref", "tally", "pages")), strict=True):
+                    root = parse(page.as_py())
+                    w = trees.kept.get(key) or trees.of(key, ref.as_py(), tally.as_py(), pages.as_py())
+                    out.append(main_text(root, w, match(root, w.tree)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("url"), pa.array(out, pa.string())], names=["id", "url", "text"])
 
     return run
 
 
-def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", article_share: float = 0.9, min_pages: int = 2, max_broadcast_bytes: int = 16 << 20) -> DataFrame:
+def _groups(rows: DataFrame) -> DataFrame:
+    """host, grp, and the host's page with the least hash of its id (h, id, url): a row a host."""
+    html = F.xxhash64("html")
+    hosts = rows.groupBy("host").agg(F.min(html).alias("lo"), F.max(html).alias("hi"), F.min(F.struct(F.xxhash64("id", "url").alias("h"), "id", "url")).alias("first"))
+    hosts = cut(hosts.withColumn("suffix", F.regexp_extract("host", r"([^.]+\.[^.]+)\.?$", 1)))
+    alone = F.col("lo") == F.col("hi")
+    wide = hosts.where(alone).groupBy("suffix").agg((F.min("lo") < F.max("hi")).alias("several"))
+    grp = F.when(~alone, F.concat(F.lit("h:"), "host")).when(F.coalesce("several", F.lit(False)), F.concat(F.lit("s:"), "suffix")).otherwise(F.lit("*"))
+    return cut(hosts.join(wide, "suffix", "left").select("host", grp.alias("grp"), "first"))
+
+
+def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", article_share: float = 0.9, max_broadcast_bytes: int = 16 << 20) -> DataFrame:
     """id, url, text of every page."""
-    host = F.lower(F.nullif(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
+    host = F.lower(F.coalesce(F.regexp_extract(F.col(url_col), HOST, 1), F.lit("")))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"), host.alias("host"))
-    least = rows.groupBy("host").agg(F.min(F.struct(F.xxhash64("id", "url").alias("h"), "id", "url")).alias("r"))
-    least = least.select(F.col("host").alias("ref_host"), F.col("r.id").alias("rid"), F.col("r.url").alias("rurl"))
-    least = cut(least)  # a row a host, without texts
-    if least.count() * 256 <= max_broadcast_bytes:
-        least = F.broadcast(least)
-    refs = rows.join(least, F.col("host").eqNullSafe(F.col("ref_host")) & F.col("id").eqNullSafe(F.col("rid")) & F.col("url").eqNullSafe(F.col("rurl")))
-    refs = cut(refs.groupBy("ref_host").agg(F.max("html").alias("ref")))  # a row a host
-    equal = _with_refs(rows, refs, max_broadcast_bytes, "ref").select("host", "html", "ref").mapInArrow(_equal(article_share), "host string, content long, nodes array<int>")
+    groups = _groups(rows)
+    keyed = _with(rows, groups.select("host", "grp"), "host", max_broadcast_bytes, F.octet_length("host") + F.octet_length("grp"))
+    least = groups.groupBy("grp").agg(F.min("first").alias("first")).select("grp", F.col("first.id").alias("rid"), F.col("first.url").alias("rurl"))
+    refs = _with(keyed, least, "grp", max_broadcast_bytes, F.octet_length("grp") + F.coalesce(F.octet_length("rurl"), F.lit(0)) + 16)
+    refs = refs.where(F.col("id").eqNullSafe(F.col("rid")) & F.col("url").eqNullSafe(F.col("rurl")))
+    refs = cut(refs.groupBy("grp").agg(F.max("html").alias("ref")))  # a row a group
+    seen = _with(keyed, refs, "grp", max_broadcast_bytes, F.octet_length("ref")).select("grp", "html", "ref")
+    seen = seen.mapInArrow(_evidence(), "grp string, content long, nodes array<struct<node: int, same: int, chars: long>>")
     # copies of a text are one piece of evidence; of their nodes the most are taken, for the reference all of its own
-    different = equal.groupBy("host", "content").agg(F.max(F.struct(F.size("nodes"), "nodes")).getField("nodes").alias("nodes"))
-    tally = different.select("host", F.explode("nodes").alias("node")).groupBy("host", "node").agg(F.count(F.lit(1)).alias("equal"))
-    tally = tally.groupBy("host").agg(F.max(F.when(F.col("node") < 0, F.col("equal"))).alias("pages"), F.collect_list(F.when(F.col("node") >= 0, F.struct("node", "equal"))).alias("tally"))
-    # a constant node is the same in that share of the other pages of the host, with half a page more that lacks it
-    share = F.transform("tally", lambda x: F.struct(x["node"].alias("node"), ((x["equal"] - 1) / (F.col("pages") - 0.5)).alias("share")))
-    fixed = tally.where("pages > 1").select("host", "pages", F.filter(share, lambda x: x["share"] >= 0.5).alias("fixed"))
-    template = cut(refs.join(fixed, F.col("ref_host").eqNullSafe(F.col("host")), "left").select("ref_host", "ref", "fixed", "pages"))
-    joined = _with_refs(rows, template, max_broadcast_bytes, "ref").select("id", "url", "host", "html", "ref", "fixed", "pages")
+    different = seen.groupBy("grp", "content").agg(F.max(F.struct(F.size("nodes"), "nodes")).getField("nodes").alias("nodes"))
+    tally = different.select("grp", F.explode("nodes").alias("x")).groupBy("grp", "x.node").agg(
+        F.count(F.lit(1)).alias("met"), F.count_if(F.col("x.same") > 0).alias("loose"), F.count_if(F.col("x.same") > 1).alias("equal"), F.sum("x.chars").alias("chars")
+    )
+    tally = tally.groupBy("grp").agg(F.max(F.when(F.col("node") < 0, F.col("met"))).alias("pages"), F.collect_list(F.when(F.col("node") >= 0, F.struct("node", "met", "loose", "equal", "chars"))).alias("tally"))
+    template = cut(refs.join(tally, "grp"))
+    joined = _with(keyed, template, "grp", max_broadcast_bytes, F.octet_length("ref") + 40 * F.size("tally")).select("grp", "id", "url", "html", "ref", "tally", "pages")
     kind = pages.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(_extract(article_share, min_pages), f"id {kind}, url string, text string").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
+    return joined.mapInArrow(_extract(article_share), f"id {kind}, url string, text string").withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
 
 
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,22 +228,50 @@ def test_fingerprint_merges(spark):
 # -- HTML -----------------------------------------------------------------------------
 
 
-def page(title, paras, ad):
-    return (
-        f"<!DOCTYPE html><html lang=en><head><title>{title}</title><script>var a='</p><article>no</article>'</script></head><body><nav><a href='/'>Home</a></nav><div class='ad'>{ad}</div>"
-        f"<article><h1>{title}</h1>{''.join(f'<p>{p}' for p in paras)}<div class='comments'><p>nice</p></div><form><input><p>mail</p></form></article><aside>more</aside><footer>&copy; x</footer></body></html>"
-    )
+def html_text(html):
+    return html_extract.main_text(html_extract.parse(html))
 
 
-def test_html_article():
-    text = html_extract.main_text(html_extract.parse(page("T &amp; <b>U</b>", ["one\n two", "<i>three</i>&nbsp;4<br>5", ""], "buy")), {}, 0.9)
-    assert text == "T & U\none two\nthree 4 5"
+def test_html_blocks():
+    html = "<!DOCTYPE html><html><head><title>t</title><script>var a='</p><article>no</article>'</script></head><body><nav><a href='/'>Home</a></nav><div>buy</div>"
+    html += "<article><h1>T &amp; <b>U</b></h1><p>one\n two<p><i>three</i>&nbsp;4<br>5<p></p><form><input><p>mail</p></form></article><aside>more</aside><footer>&copy; x</footer></body></html>"
+    assert html_text(html) == "T & U\none two\nthree 4 5"
 
 
-def test_html_class_words():
-    html = "<body class='sidebar'><div class='layout with-sidebar'><article class='post no-comments'><p>text</p><p class='ad-box'>buy</p></article><div class='sidebar'>x</div></div><article class='comment'>no</article></body>"
-    assert html_extract.main_text(html_extract.parse(html), {}, 0.9) == "text"
-    assert html_extract.main_text(html_extract.parse("<div class='page-header'>x</div><div id='commentList'><p>y</div><p>z"), {}, 0.9) == "z"
+def test_html_names_are_not_read():
+    for part in ("<h2 id='related-work'>Work</h2>", "<section id='discussion'><p>Work</p></section>", "<h2 id='social-impact'>Work</h2>", "<p class='notice-period'>Work</p>", "<h2 id='share-price'>Work</h2>", "<p><math><mi>Work</mi></math></p>", "<p><label>Work</label></p>", "<fieldset><p>Work</p></fieldset>"):
+        assert html_text(f"<body><article><h1>Title</h1>{part}<p>end</p></article></body>") == "Title\nWork\nend", part
+
+
+def op5_pages(spark, pages, **options):
+    df = spark.createDataFrame([(i, f"https://h.example.org/{i}", t) for i, t in enumerate(pages)], "page_id long, url string, html string").repartition(4)
+    return [r.text for r in sorted(html_extract.extract_main_text(df, **options).collect(), key=lambda r: r.page_id)]
+
+
+def test_html_comments_and_links_are_captioned_records(spark):
+    def html(i):
+        comments = "".join(f"<div><b>user {i}{k}</b><p>I say {i * k}</p></div>" for k in range(i % 4))
+        links = "".join(f"<li><a href='/{k}'>see {i + k}</a></li>" for k in range(3))
+        more = "<section><h2>Methods</h2>" + "".join(f"<p>step {i} {k}</p>" for k in range(2)) + f"<table><tr><td>x</td><td>{i}</td></tr></table></section>"
+        return f"<body><article><h1>Story {i}</h1><p>Text {i} of the story</p>{more}<section><h3>{i % 4} comments</h3>{comments}</section><div><h3>Related</h3><ul>{links}</ul></div></article></body>"
+
+    got = op5_pages(spark, [html(i) for i in range(16)])
+    for i, t in enumerate(got):
+        want = f"Story {i}\nText {i} of the story\nMethods\nstep {i} 0\nstep {i} 1\nx\n{i}"
+        assert t == want, i
+
+
+def test_html_equals_the_article_on_all_pages(spark):
+    sf = "/root/testdata/sf0.01"
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r.page_id: r for r in html_extract.op5_html(spark, sf).collect()}
+    assert set(got) == set(html)
+    off = 0
+    for i, h in html.items():
+        want = "\n".join(html_extract.blocks(html_extract.parse(h[h.index("<article>") : h.index("</article>")])))
+        assert got[i].text == want and got[i].n_chars == len(want)
+        off += want != "\n".join(html_extract.blocks(html_extract.parse(h)))  # without a wrapper
+    assert off == len(html)
 
 
 def test_html_induction_finds_the_template(spark):
@@ -284,20 +312,20 @@ def test_html_small_hosts_have_templates(spark):
     text = {r.page_id: r.text for r in html_extract.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)).collect()}
     for n in (2, 3, 5, 6, 7, 8, 12):
         for i in range(n):
-            assert text[1000 * n + 100 + i] == f"Story {i}\nBody {i}"
-            assert text[1000 * n + i] == f"Story {i}\nBody {i}" + "\nShare this" * (n < 6)  # few pages don't prove it in an article
-    assert text[1100] == "Welcome 1\nStory 0\nBody 0\nShare this"
-    assert [text[20 + i] for i in range(3)] == ["Same\nBody 0", "Same\nBody 1", "Other\nBody 2"]  # one of two other pages isn't enough
+            assert text[1000 * n + 100 + i] == text[1000 * n + i] == f"Story {i}\nBody {i}" + "\nShare this" * (n < 6)  # few pages don't prove it in the slot
+    assert text[1100] == text[1000] == "Story 0\nBody 0\nShare this"  # hosts of one page share a template
+    assert [text[20 + i] for i in range(3)] == [f"{t}\nBody {i}\nShare this" for i, t in enumerate(["Same", "Same", "Other"])]
 
 
 def test_html_odd_markup():
-    deep = "<div>" * 3000 + "x" + "</div>" * 3000
-    root = html_extract.trimmed(html_extract.parse(deep))
-    assert html_extract.main_text(root, {}, 0.9) == "x"
-    assert html_extract.match(root, html_extract.trimmed(html_extract.parse(deep)))
+    deep = "<div>" * 20_000 + "x"
+    a, b = html_extract.parse(deep + "</div>" * 19_000 + "<p>y"), html_extract.parse(deep)
+    assert html_extract.main_text(a) == "x\ny" and html_extract.main_text(b) == "x"
+    assert len(html_extract.match(a, b)) == 20_001
+    assert html_extract.main_text(html_extract.parse("<p>word " * 100_000)).count("\n") == 99_999
     for t in ("<", "<p", "a<b", "<!--", "<script>", "</", "<p class='", "a &lt; b &#x41; &bogus;"):
-        html_extract.main_text(html_extract.parse(t), {}, 0.9)
-    assert html_extract.main_text(html_extract.parse("a &lt;b&gt; &#x41;"), {}, 0.9) == "a <b> A"
+        html_text(t)
+    assert html_text("a &lt;b&gt; &#x41;") == "a <b> A"
 
 
 def test_tree_matching_is_maximal():
