@@ -134,9 +134,9 @@ def without_exam_years(t: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(t, r"\(([0-9]{2})\)", ""), r"(?U)\s{2,}", " "))
 
 
-def split_score(t: Column, limit: float = 50.0, allow_bare: bool = False) -> Column:
+def split_score(t: Column, limit: float = 50.0, allow_bare: bool = False, pattern: str = P.SCORE) -> Column:
     """struct(score, head): points at the end of a title; a null score if there are none."""
-    rx = "(?U)" + P.SCORE
+    rx = "(?U)" + pattern
     score = F.regexp_extract(t, rx, 1)
     head = F.rtrim(F.regexp_replace(F.regexp_replace(t, rx, ""), r"[ .·\-—]+$", ""))
     good = t.rlike(rx) & (F.coalesce(score.try_cast("double"), F.lit(1e9)) <= limit)

@@ -159,8 +159,10 @@ def case_problems(case: Column, rules: Rules = P.TEXTBOOK) -> Column:
 
 
 def wrap_mnemonics(t: Column, rules: Rules = P.TEXTBOOK) -> Column:
-    """Mnemonics in backticks, once."""
-    return F.regexp_replace(t, f"(?U)(?<!`)(\\[{rules.valid_body}\\])(?![(:])(?!`)", "`$1`")
+    """Mnemonics in backticks, but for those that have one on either side already."""
+    hit = f"(\\[{rules.valid_body}\\])(?![(:])"
+    t = F.regexp_replace(t, f"(?U)(?<!`){hit}", "`$1`")
+    return F.regexp_replace(t, f"(?U)(?<=`){hit}(?!`)", "`$1`")
 
 
 def case_entries(t: Column, rules: Rules = P.TEXTBOOK) -> Column:

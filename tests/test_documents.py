@@ -113,16 +113,62 @@ def test_groups_and_resplit(spark):
     assert cut == [(1, "머리", ""), (2, "하나-1", "E-1. 하나"), (3, "하나-2", "절"), (4, "하나-3", "E-2. 둘"), (5, "주제", "")]
 
 
-def test_long_names_and_glued_scores():
-    fold = B.Outliner(P.CASEBOOK)
-    fold.page(1, [("E-1. 청구 (74다1557)", None), ("1. 쟁점 (2.5)", None), ("2. 큰 수 90", None)])
-    assert [b["text"] for b in fold.finish()] == ["E-1. 청구 (74다1557)", "1. 쟁점 `2.5`", "2. 큰 수 90"]
+def outlined(spark, texts, rules):
+    df = spark.createDataFrame([("d", 1, k, t) for k, t in enumerate(texts)], LINE)
+    return [(r.kind, r.text) for r in B.outline_documents(df, rules).orderBy("seq").collect()]
+
+
+def test_long_names_and_glued_scores(spark):
+    assert [t for _, t in outlined(spark, ["E-1. 청구 (74다1557)", "1. 쟁점 (2.5)", "2. 큰 수 90"], P.CASEBOOK)] == ["E-1. 청구 (74다1557)", "1. 쟁점 `2.5`", "2. 큰 수 90"]
 
 
 def test_boxes_end(spark):
-    fold = B.Outliner(P.TEXTBOOK)
-    fold.page(1, [("Ⅰ. 제목", None), ("1. 하나", None), ("口 상자", None), ("안", None), ("2. 둘", None), ("V 한글", None), ("제3장 다음", None)])
-    assert [b["kind"] for b in fold.finish()] == ["heading", "bold", "bonus", "bold", "bonus", "heading"]
+    got = outlined(spark, ["Ⅰ. 제목", "1. 하나", "口 상자", "안", "2. 둘", "V 한글", "제3장 다음"], P.TEXTBOOK)
+    assert [k for k, _ in got] == ["heading", "bold", "bonus", "bold", "bonus", "heading"]
+
+
+def test_scores_go_to_their_problem(spark):
+    got = outlined(spark, ["E-5. 일부청구", "문제 (40점)", "甲은", "乙에게", "답안 (3점)", "글이다", "문제", "(1) 작은 7점"], P.CASEBOOK)
+    assert got == [("heading", "E-5. 일부청구 `40점` `3점`"), ("bold", "**문제**"), ("prompt", "> 甲은 乙에게"), ("bold", "**답안**"), ("para", "글이다"), ("bold", "**문제**"), ("heading", "(1) 작은 `7`")]
+
+
+def test_blocks_equal_a_walk(spark):
+    """Boxes, items and paragraphs of random books, told by what each line is made from."""
+    rnd = random.Random(12)
+    kinds = {"part": "제1편 총론", "roman": "Ⅰ. 제목", "item": "{}. 하나", "mark": "☑ 상자", "text": "글이", "end": "끝이다.", "list": "- 목록", "blank": " ", "strip": "의의 - 내용 - 예외 - 효과"}
+    rows, want = [], {}
+    for d in range(60):
+        made, roman, last, inside, para = [], False, 0, None, None
+        for k in range(rnd.randint(0, 40 if d % 6 else 90)):
+            kind, n = rnd.choice(list(kinds)), rnd.randint(1, 3)
+            rows.append((f"d{d}", k // 7, k, kinds[kind].format(n)))
+            if kind == "blank":
+                para = None
+            elif inside is not None and inside[1] < 24 and kind not in ("part", "roman") and not (kind == "item" and n == last + 1):
+                inside[1] += 1
+            else:
+                inside = None
+                if kind in ("text", "end", "list"):
+                    if para is None or kind == "list" or para[2]:
+                        para = ["para", 0, False]
+                        made.append(para)
+                    para[1], para[2] = para[1] + 1, kind == "end"
+                    continue
+                para = None
+                made.append(["bonus", 0] if kind == "mark" else ["para", 1] if kind == "strip" else ["bold" if kind == "item" and roman else "heading", 1])
+                if kind == "mark":
+                    inside = made[-1]
+                elif kind == "item" and roman:
+                    last = n
+                elif kind in ("part", "roman"):
+                    roman, last = kind == "roman", 0
+        if made:
+            want[f"d{d}"] = [(m[0], m[1]) for m in made]
+    got = {}
+    for r in B.outline_documents(spark.createDataFrame(rows, LINE).repartition(3)).orderBy("doc_id", "seq").collect():
+        n = len(r.text.split("\n")) - 1 if r.kind == "bonus" else r.text.count("글이") + r.text.count("끝이다.") + r.text.count("목록") if r.kind == "para" and not r.meta.outline else 1
+        got.setdefault(r.doc_id, []).append((r.kind, n))
+    assert got == want
 
 
 def test_dates_strip(spark):
