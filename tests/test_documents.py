@@ -221,30 +221,46 @@ def test_archives():
     assert R.unique_names(["a.md", "a.md", "a-2.md", "n"]) == ["a.md", "a-2.md", "a-2-2.md", "n"]
 
 
-def test_markers_and_inline():
+def test_markers_and_inline(spark):
     span = {"x0": 0.0, "x1": 5.0, "size": 10.0, "bold": False, "italic": False, "mono": False, "link": None}
-    spans = [{**span, "text": t} for t in ("1", ")", " 항목")]
-    assert [s["text"] for s in C.without_marker(spans, "1)")] == [" 항목"]
-    assert C.without_marker(spans[:2], "1)") == spans[:2]
+
+    def of(spans, made):
+        return spark.createDataFrame([([{**span, **s} for s in spans],)], f"s {C.SPANS}").select(made(F.col("s"))).first()[0]
+
+    def cut(marker):
+        return lambda s: F.transform(C.cut_spans(s, F.lit(marker)), lambda x: x["text"])
+
+    parts = [{"text": t} for t in ("1", ")", " 항목")]
+    assert of(parts, cut("1)")) == [" 항목"] and of(parts[:2], cut("1)")) == ["1", ")"] and of(parts, cut("")) == ["1", ")", " 항목"]
+    assert of([{"text": "( 1"}, {"text": ") x"}, {"text": " "}], cut("(1)")) == [" x", " "]
     opt = C.ConvertOptions()
-    assert C.inline([{**span, "text": "a_b", "bold": True}, {**span, "text": "c", "bold": True, "x0": 20.0, "x1": 25.0}], opt) == "**a\\_b c**"
-    assert C.inline([{**span, "text": "x`y", "mono": True}], opt) == "``x`y``"
-    assert C.inline([{**span, "text": "t", "link": "http://e.org/a b("}], opt) == "[t](http://e.org/a%20b%28)"
+    inline = lambda s: C.inline(s, opt)
+    assert of([{"text": "a_b", "bold": True}, {"text": "c", "bold": True, "x0": 20.0, "x1": 25.0}], inline) == "**a\\_b c**"
+    assert of([{"text": "x`y", "mono": True}], inline) == "``x`y``" and of([{"text": "`", "mono": True}], inline) == "`` ` ``"
+    assert of([{"text": "t", "link": "http://e.org/a b("}], inline) == "[t](http://e.org/a%20b%28)"
+    assert of([{"text": ""}, {"text": " "}], inline) == "" and of([], inline) == ""
     assert C.options_from({"pageComment": True, "odd": 1}).page_comment
 
 
 def page_of(lines, width=595.0):
     spans = [dict(block_no=b, line_no=k, span_no=0, text=t, x0=x, y0=y, x1=x + w, y1=y + s, size=s, bold=bold, italic=False, mono=mono, link=None) for b, k, t, x, y, w, s, bold, mono in lines]
-    return {"spans": spans, "tables": [], "images": [], "toc": [], "width": width}
+    return {"spans": spans, "tables": [], "images": [], "width": width}
+
 
+def test_page_chunks(spark):
+    def chunks(lines, **options):
+        headings = [{"level": 1, "size": 20.0}, {"level": 2, "size": 15.0}]
+        schema = f"elements {C.ELEMENTS}, toc array<struct<seq: int, level: int, title: string>>, body_size double, headings array<struct<level: int, size: double>>, stops array<double>, spans {C.SPANS}, tables array<struct<text: string>>, images array<struct<text: string>>"
+        page = page_of(lines)
+        df = spark.createDataFrame([(C.page_elements(page), [], 10.0, headings, [60.0, 80.0], page["spans"], [], [])], schema)
+        return df.select(C.page_chunks(C.ConvertOptions(**options))).first()[0]
 
-def test_page_chunks():
-    style = C.Style(10.0, ((20.0, 1), (15.0, 2)), (60.0, 80.0))
     lines = [(0, 0, "Title", 50.0, 40.0, 100.0, 20.0, True, False), (1, 0, "1. Part", 50.0, 80.0, 80.0, 15.0, False, False), (2, 0, "• one", 60.0, 120.0, 60.0, 10.0, False, False), (3, 0, "• two", 80.0, 131.0, 60.0, 10.0, False, False), (4, 0, "1. not a list here", 50.0, 300.0, 90.0, 10.0, False, False)]
-    assert C.page_chunks(page_of(lines), style, C.ConvertOptions()) == ["# Title", "## 1. Part", "- one", "  - two", "1. not a list here"]
-    assert C.page_chunks(page_of(lines[-1:]), style, C.ConvertOptions(detect_lists=False)) == ["1\\. not a list here"]
+    assert chunks(lines) == ["# Title", "## 1. Part", "- one", "  - two", "1. not a list here"]
+    assert chunks(lines[-1:], detect_lists=False) == ["1\\. not a list here"]
+    assert chunks([]) == []
     code = [(0, 0, "def f():", 55.0, 100.0, 48.0, 10.0, False, True), (0, 1, "return 1", 79.0, 114.0, 48.0, 10.0, False, True), (0, 2, "```", 55.0, 142.0, 18.0, 10.0, False, True)]
-    assert C.page_chunks(page_of(code), style, C.ConvertOptions()) == ["````\ndef f():\n    return 1\n\n```\n````"]
+    assert chunks(code) == ["````\ndef f():\n    return 1\n\n```\n````"]
 
 
 def test_convert_strips_running_text(spark):
