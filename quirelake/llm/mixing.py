@@ -12,11 +12,11 @@
 5. Documents are range-sorted by position.
 
 The running sum is exact and needs no task that holds a source: rows are dealt by
-(source, slice of the hash), summed within the slice, and the slices' totals, some
-2,000 rows to one, are summed over the source.
+(source, slice of the hash), summed within the slice; the slices' totals, some
+2,000 rows to one, are summed in blocks of some 2,000, and the blocks' over the source.
 
-The driver holds a row for each source, as it holds the weights that the caller
-gives; `max_sources` guards that.
+Sources are a table as well, of any length: they get their rank by a range sort, targets by a few aggregations,
+and are broadcast only if their measured size is at most `max_broadcast_bytes`.
 
 Cases: a null text has size 0; documents of size 0 are never taken and have no position.
 A null source is a source of its own, sorted last. A source whose documents are all
@@ -26,8 +26,9 @@ interchangeable. An empty table gives an empty result. Other columns aren't read
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,23 +39,23 @@ Schedule = Sequence[tuple[float, float]]
 SHAPES: tuple[Schedule, ...] = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 
 
-def share_targets(sizes: Sequence[int], weights: Sequence[float], total: float, max_repeats: float = 2.0) -> list[float]:
-    """Targets by weight; none above max_repeats times its size, the excess reshared by weight."""
-    target = [0.0] * len(sizes)
-    open_ = [i for i in range(len(sizes)) if sizes[i] > 0 and weights[i] > 0]
-    left = min(float(total), sum(max_repeats * sizes[i] for i in open_))
-    while open_:
-        unit = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if weights[i] * unit >= max_repeats * sizes[i]]
-        if not full:
-            for i in open_:
-                target[i] = weights[i] * unit
-            break
-        for i in full:
-            target[i] = max_repeats * sizes[i]
-            left -= target[i]
-        open_ = [i for i in open_ if i not in set(full)]
-    return target
+def share_unit(sources: DataFrame, total: float, max_repeats: float) -> float:
+    """Target of a source for a unit of weight: targets are the lesser of weight times unit and max_repeats times size, and their
+    sum is the total. The sum grows with the unit, ever more slowly, so that Newton's steps from below settle at the exact unit
+    once they close no further source; each step is one aggregation of sources (size, weight)."""
+    most = max_repeats * F.col("size")
+    ratio = F.when(F.col("weight") > 0, most / F.col("weight"))
+    live = sources.where("size > 0 and weight > 0").select(most.alias("most"), "weight", ratio.alias("ratio"))
+    unit, closed = 0.0, -1
+    while True:
+        over = F.col("ratio") <= unit
+        row = live.agg(F.count_if(over), F.sum(F.when(over, F.col("most"))), F.sum(F.when(~over, F.col("weight"))), F.sum("most")).first()
+        if row[0] == closed:
+            return unit
+        closed = row[0]
+        if not row[2] or float(row[3]) <= total:
+            return float("inf")
+        unit = (total - float(row[1] or 0)) / float(row[2])
 
 
 def cumulative(schedule: Schedule) -> list[tuple[float, float, float, float]]:
@@ -76,6 +77,32 @@ def cumulative(schedule: Schedule) -> list[tuple[float, float, float, float]]:
     return out
 
 
+SOURCE = "source string, size long, n long, weight double, demand array<array<double>>"
+
+
+def _ranked(sums: DataFrame, weight_of, schedule_of) -> DataFrame:
+    """Sources with weights and demand, which the caller gives by the rank of a source in code point order, null last. Ranks are places in
+    range-sorted partitions; the driver knows the number of rows of each partition only."""
+    order = [F.col("source").isNull(), F.col("source")]
+    placed = cut(sums.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
+    before, at = {}, 0
+    for r in placed.groupBy("part").count().orderBy("part").collect():
+        before[r.part], at = at, at + r["count"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = None
+        for b in batches:
+            rows = []
+            for source, size, n, part in zip(*(b.column(c).to_pylist() for c in ("source", "size", "n", "part")), strict=True):
+                k = before[part] if k is None else k
+                rows.append({"source": source, "size": size, "n": n, "weight": float(weight_of(k, source)), "demand": [list(map(float, x)) for x in cumulative(schedule_of(k, source))]})
+                k += 1
+            kinds = [("source", pa.string()), ("size", pa.int64()), ("n", pa.int64()), ("weight", pa.float64()), ("demand", pa.list_(pa.list_(pa.float64())))]
+            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(kinds))
+
+    return cut(placed.mapInArrow(run, SOURCE))
+
+
 def plan_mix(
     docs: DataFrame,
     *,
@@ -88,47 +115,53 @@ def plan_mix(
     max_repeats: float = 2.0,
     seed: int = 17,
     rows_per_slice: int = 2048,
-    max_sources: int = 100_000,
+    slices_per_block: int = 2048,
+    max_broadcast_bytes: int = 16 << 20,
 ) -> DataFrame:
     """One row a document: id, source, size, source_size, target, taken, copies, and
     positions: array of its training positions (0..1), one for each copy.
 
     weight_of and schedule_of get the rank of the source by code point (null last) and its name;
     budget is the share of all sizes that the mix takes."""
-    spark = docs.sparkSession
     # narrow and read three times: written once, so that texts are read once
     sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size")))
-    sums = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(max_sources + 1).collect()
-    if len(sums) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    sums.sort(key=lambda r: (r.source is None, r.source or ""))
-    targets = share_targets([r["size"] for r in sums], [weight_of(i, r.source) for i, r in enumerate(sums)], budget * sum(r["size"] for r in sums), max_repeats)
-    table = [
-        (r.source, int(r["size"]), float(t), max(1, -(-r.n // rows_per_slice)), [list(map(float, x)) for x in cumulative(schedule_of(i, r.source))]) for i, (r, t) in enumerate(zip(sums, targets, strict=True))
-    ]
-    sources = spark.createDataFrame(table, "source string, source_size long, target double, slices int, demand array<array<double>>")
-
-    # at most max_sources rows, so that the broadcast has a bound; a source has as many slices as its rows need
-    keyed = sources.withColumnRenamed("source", "s")
+    sources = _ranked(sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), weight_of, schedule_of)
+    whole = sources.agg(F.sum("size"), F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + F.size("demand") * 40 + 64)).first()
+    unit = share_unit(sources, budget * (whole[0] or 0), max_repeats)
+    target = F.when((F.col("size") > 0) & (F.col("weight") > 0), F.least(max_repeats * F.col("size"), F.col("weight") * F.lit(unit))).otherwise(0.0)
+    keyed = sources.select(F.col("source").alias("s"), F.col("size").alias("source_size"), target.alias("target"), F.greatest(F.lit(1), F.ceil(F.col("n") / rows_per_slice)).cast("long").alias("slices"), "demand")
+    if (whole[1] or 0) <= max_broadcast_bytes:
+        keyed = F.broadcast(keyed)
     of = F.col("source").eqNullSafe(F.col("s"))
-    named = sized.withColumn("order", F.xxhash64(F.lit(seed), "id", "size")).join(F.broadcast(keyed.select("s", "slices")), of).drop("s")
+
+    # a source has as many slices as its rows need
+    named = sized.withColumn("order", F.xxhash64(F.lit(seed), "id", "size")).join(keyed.select("s", "slices"), of).drop("s")
     named = named.withColumn("slice", F.pmod(F.shiftrightunsigned("order", 20), F.col("slices"))).drop("slices")
     within = Window.partitionBy("source", "slice").orderBy("order", "id", "size")
     rows = named.withColumn("before", F.sum("size").over(within) - F.col("size"))
-    totals = named.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
-    totals = totals.withColumn("offset", F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice")) - F.col("slice_size")).select(
-        F.col("source").alias("s"), F.col("slice").alias("k"), "offset"
-    )
-    rows = rows.join(totals, rows["source"].eqNullSafe(totals["s"]) & (rows["slice"] == totals["k"])).drop("s", "k")
-    rows = rows.withColumn("at", F.col("before") + F.col("offset")).join(F.broadcast(keyed.drop("slices")), of).drop("s")
+    offsets = _offsets(named.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), slices_per_block)
+    rows = rows.join(offsets, rows["source"].eqNullSafe(offsets["s"]) & (rows["slice"] == offsets["k"])).drop("s", "k")
+    rows = rows.withColumn("at", F.col("before") + F.col("offset")).join(keyed.drop("slices"), of).drop("s")
     # whole passes, and one more for those whose middle lies in the rest
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)
-    rest = F.col("target") - whole * F.col("source_size")
-    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(whole + F.when(F.col("at") + F.col("size") / 2 <= rest, 1).otherwise(0)).cast("int")
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)
+    rest = F.col("target") - passes * F.col("source_size")
+    copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(passes + F.when(F.col("at") + F.col("size") / 2 <= rest, 1).otherwise(0)).cast("int")
     rows = rows.withColumn("copies", copies).withColumn("taken", F.col("size") * F.col("copies"))
     return rows.withColumn("positions", _positions()).select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken", "copies", "positions")
 
 
+def _offsets(totals: DataFrame, slices_per_block: int) -> DataFrame:
+    """s, k, offset: what comes before each slice in its source. Slices are summed in blocks, blocks in their source, so that a source of
+    n rows is n / (rows_per_slice * slices_per_block) rows to one task."""
+    totals = cut(totals.withColumn("block", F.floor(F.col("slice") / slices_per_block)))
+    blocks = totals.groupBy("source", "block").agg(F.sum("slice_size").alias("block_size"))
+    earlier = F.sum("block_size").over(Window.partitionBy("source").orderBy("block")) - F.col("block_size")
+    blocks = blocks.select(F.col("source").alias("bs"), F.col("block").alias("bb"), earlier.alias("earlier"))
+    inside = F.sum("slice_size").over(Window.partitionBy("source", "block").orderBy("slice")) - F.col("slice_size")
+    joined = totals.withColumn("inside", inside).join(blocks, F.col("source").eqNullSafe(F.col("bs")) & (F.col("block") == F.col("bb")))
+    return joined.select(F.col("source").alias("s"), F.col("slice").alias("k"), (F.col("inside") + F.col("earlier")).alias("offset"))
+
+
 def _positions():
     """Inverse of the cumulative demand at the middle of each copy of a document."""
     return F.expr("""

@@ -51,10 +51,48 @@ def none(spark):
 # -- mixing ---------------------------------------------------------------------------
 
 
-def test_targets_share_the_excess():
-    assert mixing.share_targets([10, 100, 100], [3, 1, 2], 315) == pytest.approx([20, 98.333333, 196.666667])
-    assert mixing.share_targets([10, 0], [1, 1], 100) == [20, 0]
-    assert mixing.share_targets([], [], 0) == []
+def share_targets(sizes, weights, total, most=2.0):
+    """Targets by weight; none above most times its size, the excess reshared until none is above."""
+    target, free = [0.0] * len(sizes), [i for i in range(len(sizes)) if sizes[i] > 0 and weights[i] > 0]
+    left = min(float(total), sum(most * sizes[i] for i in free))
+    while free:
+        unit = left / sum(weights[i] for i in free)
+        full = [i for i in free if weights[i] * unit >= most * sizes[i]]
+        for i in full or free:
+            target[i] = most * sizes[i] if full else weights[i] * unit
+            left -= target[i]
+        free = [i for i in free if i not in full] if full else []
+    return target
+
+
+def test_targets_share_the_excess(spark):
+    assert share_targets([10, 100, 100], [3, 1, 2], 315) == pytest.approx([20, 98.333333, 196.666667])
+    rnd = random.Random(2)
+    for n in (0, 1, 2, 5, 40, 400):
+        sizes, weights = [rnd.choice([0, 1, rnd.randint(1, 10_000)]) for _ in range(n)], [rnd.choice([0.0, 1.0, rnd.random() * 9]) for _ in range(n)]
+        for budget in (0.0, 0.5, 1.5, 3.0):
+            total = budget * sum(sizes)
+            unit = mixing.share_unit(spark.createDataFrame(list(zip(sizes, weights, strict=True)), "size long, weight double"), total, 2.0)
+            assert [min(2 * s, w * unit) if s and w else 0.0 for s, w in zip(sizes, weights, strict=True)] == pytest.approx(share_targets(sizes, weights, total))
+
+
+def test_mix_of_many_sources(spark):
+    """More sources than a task, a broadcast or a batch would be given rows for; blocks of two slices."""
+    rnd = random.Random(4)
+    rows = [(k, "w " * rnd.randint(0, 5), rnd.choice([None, "hot", "hot", f"s{rnd.randint(0, 900)}"])) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = mixing.plan_mix(docs, rows_per_slice=16, slices_per_block=2, max_broadcast_bytes=0).collect()
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    targets = dict(zip(names, share_targets([sizes[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5 * sum(sizes.values())), strict=True))
+    taken = dict.fromkeys(names, 0)
+    for r in plan:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source])
+        taken[r.source] += r.taken
+    assert len(plan) == len(rows) and all(abs(taken[s] - targets[s]) <= 5 for s in names)
+    assert sorted(map(str, plan)) == sorted(map(str, mixing.plan_mix(docs, rows_per_slice=16).collect()))
 
 
 def test_mix(docs, rows):
@@ -63,7 +101,7 @@ def test_mix(docs, rows):
     for r in rows:
         sizes[r[2]] = sizes.get(r[2], 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    targets = dict(zip(names, mixing.share_targets([sizes[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5 * sum(sizes.values())), strict=True))
+    targets = dict(zip(names, share_targets([sizes[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5 * sum(sizes.values())), strict=True))
     assert len(plan) == len(rows)
     taken = {}
     for r in plan:
