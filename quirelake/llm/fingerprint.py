@@ -5,15 +5,18 @@ A sketch is the sorted array of the k least distinct 64-bit hashes of a text's s
 whole; two estimate resemblance and containment, one the number of distinct shingles. With
 no more than k distinct shingles all of these are exact.
 
-The edited-text query needs each document's neighbour in descending order of id. Rows are dealt
-into slices of the id's range (quantiles, then equal widths), some `rows_per_slice` to one; each
-slice gets a copy of the next slice's first row, and the neighbour is the next row within the
-slice. So texts are shuffled once and no task holds the table.
+The edited-text query needs each document's neighbour in descending order of id. Rows are dealt into slices of that
+order, so many that a slice has some `rows_per_slice` rows and `bytes_per_slice` bytes. The slices' bounds are keys
+from a sample of bounded size: id, hash of the text, and a random number, so that null, equal and repeated ids are split as
+well. The bounds of up to 256 ranges are literals; of more slices, each range's own bounds come from a sample that is
+grouped by range (256 rows of at most 4,095 bounds). Within a slice the neighbour is the next row; the last row of a slice
+gets the first row of the next slice that has any, by a join of one row a slice. So texts are shuffled once, no
+task holds the table, and nothing that is broadcast grows with it. Bounds only deal the work; results don't depend on them.
 
 Cases: a null text is empty; an empty sketch is like another empty one (1.0) and unlike any other
 (0.0). A text of 1 to 4 words is one shingle. A null id comes last; rows with equal ids are
 ordered by a hash of the text. A table of one row is its own neighbour. An empty table gives an
-empty result. Other columns aren't read. Ids must be numbers.
+empty result. Other columns aren't read. Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
@@ -86,43 +89,74 @@ def as_text(a: Column) -> Column:
     return F.base64(F.unhex(F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")))
 
 
-def _slices(docs: DataFrame, rows_per_slice: int, most_quantiles: int = 256) -> Column:
-    """Slice number of column id, 0 for the largest ids; null for null ids."""
-    n = docs.count()
-    wanted = max(1, -(-n // rows_per_slice))
-    coarse = min(wanted, most_quantiles)
-    fine = -(-wanted // coarse)
-    cuts = docs.agg(F.percentile_approx(F.col("id").cast("double"), [i / coarse for i in range(coarse + 1)], 10_000)).first()[0] if n else None
-    if not cuts or wanted == 1:
-        return F.lit(0).cast("long")
-    x = F.col("id").cast("double")
-    bounds = F.array(*[F.lit(float(c)) for c in cuts])
-    which = F.least(F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts[1:]]), lambda c: c < x)), F.lit(coarse - 1))
-    lo, hi = F.get(bounds, which), F.get(bounds, which + 1)
-    part = F.when(hi > lo, F.greatest(F.lit(0), F.least(F.lit(fine - 1), F.floor((x - lo) / (hi - lo) * fine).cast("int")))).otherwise(F.lit(0))
-    return F.when(x.isNull(), F.lit(coarse * fine)).otherwise(F.lit(coarse * fine - 1) - (which * fine + part)).cast("long")
-
-
-def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192) -> DataFrame:
+RANGES, FINE, PER_BOUND = 256, 4096, 64  # most ranges, most slices of one, rows sampled for a bound
+KEY = ("id", "th", "rn")
+
+
+def _below(bounds: Column, key: Column, most: int) -> Column:
+    """How many of less than most sorted bounds are less than key, by bisection; most is a power of 2."""
+    steps = F.array(*[F.lit(most >> k) for k in range(1, most.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda lo, w: F.when(F.get(bounds, lo + w - 1) < key, lo + w).otherwise(lo))
+
+
+def _sliced(rows: DataFrame, rows_per_slice: int, bytes_per_slice: int) -> DataFrame:
+    """rows (id, text, th, rn) with slice, a number that rises as keys fall."""
+    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    wanted = min(max(1, -(-n // rows_per_slice), -(-(size or 0) // bytes_per_slice)), RANGES * FINE)
+    if wanted == 1:
+        return rows.withColumn("slice", F.lit(0).cast("long"))
+    key = F.struct(*KEY)
+
+    def sample(bounds: int) -> DataFrame:
+        return rows.where(F.rand(29) < min(1.0, bounds * PER_BOUND / n)).select(*KEY)
+
+    ranges = min(wanted, RANGES)
+    found = sample(ranges).orderBy(*KEY).limit(4 * RANGES * PER_BOUND).collect()  # about ranges * PER_BOUND rows
+    cuts = [found[len(found) * k // ranges] for k in range(1, ranges)] if found else []
+    bounds = F.array(*[F.struct(F.lit(c.id).cast(rows.schema["id"].dataType).alias("id"), F.lit(c.th).alias("th"), F.lit(c.rn).alias("rn")) for c in cuts])
+    rows = rows.withColumn("range", _below(bounds, key, RANGES))
+    if wanted <= RANGES:
+        return rows.withColumn("slice", -F.col("range").cast("long")).drop("range")
+    fine = -(-wanted // RANGES)
+    keys = sample(wanted).select(_below(bounds, key, RANGES).alias("range"), key.alias("key")).groupBy("range").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    of = F.transform(F.sequence(F.lit(1), F.lit(fine - 1)), lambda k: F.get("keys", F.floor(F.size("keys") * k / fine).cast("int")))
+    # at most RANGES rows of FINE - 1 keys
+    rows = rows.join(F.broadcast(keys.select("range", of.alias("inner"))), "range", "left")
+    return rows.withColumn("slice", -(F.col("range").cast("long") * FINE + F.coalesce(_below(F.col("inner"), key, FINE), F.lit(0)))).drop("range", "inner")
+
+
+def _with_next_head(ends: DataFrame, block: int = 2048) -> DataFrame:
+    """slice, id, text of each slice's last row with next_text, the head of the next slice there is, or of the first for the last. Slices meet in
+    blocks, blocks in one task, which has a row for block slices of rows_per_slice rows each."""
+    blocked = ends.withColumn("block", F.floor(F.col("slice") / block)).repartition("block")
+    inside = blocked.withColumn("next_text", F.lead("head").over(Window.partitionBy("block").orderBy("slice")))
+    # all columns, so that both read one exchange
+    firsts = blocked.groupBy("block").agg(F.min(F.struct("slice", "head", "id", "text")).alias("first"))
+    every = Window.orderBy("block")
+    later = F.coalesce(F.lead("first.head").over(every), F.first("first.head").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    firsts = firsts.select(F.col("block").alias("b"), later.alias("later"))
+    return inside.join(firsts, F.col("block").eqNullSafe(F.col("b"))).select("id", "text", F.coalesce("next_text", "later").alias("next_text"))
+
+
+def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192, bytes_per_slice: int = 64 << 20) -> DataFrame:
     """id, text, next_text of every row, and fp, next_fp, the sketches of the two, where the next is
     by descending id and that of the last is the first."""
-    base = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = base.withColumn("slice", _slices(base.select("id"), rows_per_slice)).withColumn("th", F.xxhash64("text"))
-    order = [F.col("id").desc_nulls_last(), F.col("th").desc()]
-    # the first row of each slice: one row for rows_per_slice, without its text
-    first = rows.select("slice", "id", "th").groupBy("slice").agg(F.max(F.struct("id", "th")).alias("top"))
-    around = Window.orderBy("slice")
-    first = first.withColumn("of", F.coalesce(F.lag("slice").over(around), F.max("slice").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    first = first.select(F.col("top.id").alias("k"), F.col("top.th").alias("kth"), "of")
-    heads = rows.join(F.broadcast(first), F.col("id").eqNullSafe(F.col("k")) & (F.col("th") == F.col("kth"))).select("id", "text", F.col("of").alias("slice"), "th", F.lit(True).alias("copy"))
-    dealt = rows.withColumn("copy", F.lit(False)).select("id", "text", "slice", "th", "copy").unionByName(heads).repartition("slice")
-    dealt = dealt.withColumn("fp", sketch(F.col("text")))
-    w = Window.partitionBy("slice").orderBy("copy", *order)
-    return dealt.withColumn("next_text", F.lead("text").over(w)).withColumn("next_fp", F.lead("fp").over(w)).where("not copy").select("id", "text", "next_text", "fp", "next_fp")
-
-
-def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192) -> DataFrame:
-    rows = neighbours(docs, id_col=id_col, text_col=text_col, rows_per_slice=rows_per_slice)
+    rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("th", F.xxhash64("text")).withColumn("rn", F.rand(17))
+    dealt = _sliced(rows, rows_per_slice, bytes_per_slice).repartition("slice")
+    w = Window.partitionBy("slice").orderBy(F.col("id").desc_nulls_last(), F.col("th").desc(), F.col("rn").desc())
+    inner = dealt.withColumn("fp", sketch(F.col("text")))
+    inner = inner.withColumn("next_text", F.lead("text").over(w)).withColumn("next_fp", F.lead("fp").over(w)).where("next_text is not null")
+    # one row a slice of its ends; it reads the same exchange
+    placed = dealt.withColumn("next_text", F.lead("text").over(w)).withColumn("above", F.lag("text").over(w)).where("next_text is null or above is null")
+    ends = placed.groupBy("slice").agg(F.max(F.when(F.col("next_text").isNull(), F.struct("id", "text", "th", "rn"))).alias("last"), F.max(F.when(F.col("above").isNull(), F.col("text"))).alias("head"))
+    ends = _with_next_head(ends.select("slice", "last.id", "last.text", "head"))
+    ends = ends.withColumn("fp", sketch(F.col("text"))).withColumn("next_fp", sketch(F.col("next_text")))
+    names = ["id", "text", "next_text", "fp", "next_fp"]
+    return inner.select(*names).unionByName(ends.select(*names))
+
+
+def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192, bytes_per_slice: int = 64 << 20) -> DataFrame:
+    rows = neighbours(docs, id_col=id_col, text_col=text_col, rows_per_slice=rows_per_slice, bytes_per_slice=bytes_per_slice)
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("half")).cast("int")), F.substring("next_text", F.lit(1), F.col("half")))
     rows = rows.select("id", "n_chars", "fp", "next_fp", edited.alias("edited"))

@@ -225,32 +225,54 @@ def test_bpe_ids_and_bytes(docs, rows):
 # -- fingerprints ---------------------------------------------------------------------
 
 
+def keyed_texts(spark, rows):
+    """Rows (id, text) in the order of neighbours."""
+    df = spark.createDataFrame(rows, "id long, text string").withColumn("text", F.coalesce("text", F.lit("")))
+    hashed = [(r.id, r.text, r.th) for r in df.withColumn("th", F.xxhash64("text")).collect()]
+    return [(i, t) for i, t, _ in sorted(hashed, key=lambda r: (r[0] is None, -(r[0] or 0), -r[2]))]
+
+
+def test_neighbours_of_hot_ids(spark, monkeypatch):
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, None, 7, k, k, k]), rnd.choice(["same", "", None, f"t{rnd.randint(0, 900)}"])) for k in range(3000)]
+    order = keyed_texts(spark, rows)
+    want = sorted(map(str, ((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for ranges, fine, per_slice in ((256, 4096, 8192), (256, 4096, 40), (4, 64, 40), (2, 4, 300)):
+        monkeypatch.setattr(fingerprint, "RANGES", ranges)
+        monkeypatch.setattr(fingerprint, "FINE", fine)
+        got = fingerprint.neighbours(docs, rows_per_slice=per_slice).select("id", "text", "next_text").collect()
+        assert sorted(str(tuple(r)) for r in got) == want
+        rows_ = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text")).withColumn("rn", F.rand(1))
+        most = fingerprint._sliced(rows_, per_slice, 1 << 40).groupBy("slice").count().agg(F.max("count")).first()[0]
+        assert most <= max(2.5 * per_slice, 6 * 3000 / (ranges * fine)) or per_slice > 3000
+
+
 def test_fingerprint(spark, rows, none):
+    """Sketches of texts, edited texts and next texts against full sets."""
     docs = spark.createDataFrame(rows, SCHEMA)
     got = fingerprint.edited_fingerprints(docs, rows_per_slice=6).collect()
-    plain = fingerprint.neighbours(docs, rows_per_slice=6).collect()
-    assert len(got) == len(plain) == len(rows)
-    order = {}
-    for r in plain:
-        order.setdefault((r.id, r.text), set()).add(r.next_text)
-    ids = sorted({r[0] for r in rows if r[0] is not None}, reverse=True)
-    by_id = {i: {r[1] or "" for r in rows if r[0] == i} for i in ids}
-    for a, b in zip(ids, ids[1:], strict=False):
-        follow = set().union(*(order[a, t] for t in by_id[a]))
-        assert follow & by_id[b] and follow <= by_id[a] | by_id[b]
-    first = by_id[ids[0]]
-    assert any(nexts & first for (i, _), nexts in order.items() if i is None)
+    order = keyed_texts(spark, [(r[0], r[1]) for r in rows])
+    want = {}
+    for k, (i, t) in enumerate(order):
+        after, half = order[(k + 1) % len(order)][1], len(t) // 2
+        want.setdefault((i, len(t), hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()), []).append((t, t[: len(t) - half] + after[:half], after))
+    assert len(got) == len(rows)
+    texts = {x for v in want.values() for y in v for x in y}
+    hashes = {r.text: sorted(set(r.h)) for r in spark.createDataFrame([(t,) for t in texts], "text string").select("text", fingerprint.shingle_hashes(F.col("text")).alias("h")).collect()}
+    plain = {t: set(shingle_set(t.encode()).tolist()) for t in texts}
+    as_text = {r.text: r.s for r in spark.createDataFrame([(t, h[: fingerprint.K]) for t, h in hashes.items()], "text string, s array<long>").select("text", fingerprint.as_text(F.col("s")).alias("s")).collect()}
     share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    sets = {t: set(shingle_set(t.encode()).tolist()) for t in {r.text for r in plain}}
-    for r in plain:
-        assert r.fp == sorted(r.fp) and len(r.fp) == min(fingerprint.K, len(sets[r.text]))
-    for r in spark.createDataFrame(plain).select("text", "next_text", fingerprint.resemblance(F.col("fp"), F.col("next_fp")).alias("j"), fingerprint.distinct_count(F.col("fp")).alias("n")).collect():
-        assert r.j == pytest.approx(share(sets[r.text], sets[r.next_text]), abs=0.15)
-        assert r.n == pytest.approx(len(sets[r.text]), rel=0.25)
-    for r, p in zip(sorted(got, key=str), sorted(got, key=str), strict=True):
-        assert r == p
-    sha = {hashlib.sha256((r.text[: len(r.text) - len(r.text) // 2] + r.next_text[: len(r.text) // 2]).encode()).hexdigest() for r in plain}
-    assert {r.edited_sha256 for r in got} == sha
+    for r in got:
+        t, edited, after = want[r.doc_id, r.n_chars, r.edited_sha256].pop()
+        assert len(hashes[t]) == len(plain[t])
+        assert r.fingerprint == as_text[t] and r.edited_fingerprint == as_text[edited]
+        a, b, c = plain[t], plain[edited], plain[after]
+        exact = max(len(a | b), len(a | c)) <= fingerprint.K
+        assert r.near_edited == pytest.approx(share(a, b), abs=1e-9 if exact else 0.12)
+        assert r.near_next == pytest.approx(share(a, c), abs=1e-9 if exact else 0.12)
+        assert r.distinct_shingles == pytest.approx(len(a), rel=1e-9 if len(a) < fingerprint.K else 0.2)
+        assert r.contained_in_edited == pytest.approx(len(a & b) / len(a) if a else 1.0, abs=1e-9 if exact else 0.2)
     assert fingerprint.edited_fingerprints(none).count() == 0
 
 
