@@ -8,12 +8,12 @@ hashes of its `gram`-byte substrings; equal windows have equal anchors at equal
 offsets, so every repeat shows as two anchors with the same gram whose common
 extension, left and right, reaches `length` bytes. Nothing is lost by it.
 
-1. Each text emits its anchors: hash of the gram, hash of the context (at most
-   length - gram bytes left, length bytes right), text key, offset. Anchors are dealt
-   by gram; those whose gram is met once go.
+1. Each text emits its anchors: hash of the gram, 128-bit hash of the context (at most
+   length - gram bytes left, length bytes right), text key (128 bits of its SHA-256), offsets; texts that are
+   equal in a batch emit once, with their number. Anchors are dealt by gram and context.
 2. An anchor whose whole context is met twice is repeated as far as its context reaches.
-3. For the others the contexts are fetched from the texts, once for each distinct
-   context, and dealt by gram. Their suffixes (the right contexts) are sorted deep-shallow:
+3. Of each distinct context one place goes on, if its gram has another context too, told by the least and the greatest
+   context of a gram. The contexts are fetched from the texts and dealt by gram. Their suffixes (the right contexts) are sorted deep-shallow:
    multikey quicksort on 8-byte symbols to `shallow` bytes, then a blind trie for each
    group with a longer common prefix. Over the intervals of common prefixes the
    left extensions are compared, which gives the repeated window ranges of each anchor.
@@ -31,6 +31,7 @@ Other columns aren't read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,18 +62,16 @@ def anchor_offsets(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Offsets, gram hashes and context hashes of the anchors of a text."""
+    """Offsets, gram hashes and context hashes (two columns) of the anchors of a text."""
     n = len(data)
     if n < length:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    h = ByteHash(np.frombuffer(data, np.uint8))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
     start = np.arange(n - gram + 1)
-    grams = h.of(start, start + gram)
+    grams = ByteHash(np.frombuffer(data, np.uint8)).of(start, start + gram)
     at = anchor_offsets(grams, length - gram + 1)
-    left = np.minimum(at, length - gram)
-    context = h.of(at - left, np.minimum(at + length, n)) + left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return at, grams[at].view(np.int64), context.view(np.int64)
+    reach = length - gram
+    digests = [hashlib.blake2b(data[max(0, p - reach) : p + length], digest_size=16, key=str(min(p, reach)).encode()).digest() for p in at.tolist()]
+    return at, grams[at].view(np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
 
 
 # -- deep-shallow sorting ------------------------------------------------------------
@@ -228,9 +227,9 @@ def repeated_ranges(lefts: list[bytes], rights: list[bytes], length: int, gram:
 
 # -- Spark ---------------------------------------------------------------------------
 
-ANCHOR = "tkey long, nb int, pos array<int>, gram long, ctx long"
-CONTEXT = "tkey long, nb int, pos int, gram long, alone boolean, lft binary, rgt binary"
-RANGE = "tkey long, nb int, lo int, hi int"
+ANCHOR = "tkey binary, nb int, pos array<int>, times int, gram long, ctx struct<a: long, b: long>"
+CONTEXT = "tkey binary, nb int, pos int, gram long, alone boolean, wide boolean, lft binary, rgt binary"
+RANGE = "tkey binary, nb int, lo int, hi int"
 
 
 def _emit_anchors(length: int, gram: int):
@@ -238,24 +237,26 @@ def _emit_anchors(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got, texts = [], []
+            keys, got, texts = b.column(0).to_pylist(), [], []
+            times, seen = Counter(keys), set()
             for k, t in enumerate(b.column(1)):
-                x = anchors(t.as_py().encode("utf-8", "replace"), length, gram)
-                got.append(x)
-                texts.append(np.full(len(x[0]), k, np.int32))
+                if keys[k] not in seen:
+                    seen.add(keys[k])
+                    got.append(anchors(t.as_py().encode("utf-8", "replace"), length, gram))
+                    texts.append(np.full(len(got[-1][0]), k, np.int32))
             if not got:
                 continue
-            at, grams, ctx = (np.concatenate([x[k] for x in got]).astype(np.int64) for k in range(3))
-            text = np.concatenate(texts)
-            order = np.lexsort((ctx, grams, text))
+            at, grams, ctx, text = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got]), np.concatenate([x[2] for x in got]), np.concatenate(texts)
+            order = np.lexsort((ctx[:, 1], ctx[:, 0], grams, text))
             at, grams, ctx, text = at[order], grams[order], ctx[order], text[order]
             new = np.ones(len(at), bool)
-            new[1:] = (text[1:] != text[:-1]) | (grams[1:] != grams[:-1]) | (ctx[1:] != ctx[:-1])
+            new[1:] = (text[1:] != text[:-1]) | (grams[1:] != grams[:-1]) | (ctx[1:] != ctx[:-1]).any(axis=1)
             first = np.flatnonzero(new)
+            of = pa.array(text[first])
+            count = pa.array([times[k] for k in keys], pa.int32()).take(of)
             pos = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(at.astype(np.int32)))
-            rows = pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(text[first])), b.column(2).take(pa.array(text[first])), pos, pa.array(grams[first]), pa.array(ctx[first])], names=["tkey", "nb", "pos", "gram", "ctx"]
-            )
+            both = pa.StructArray.from_arrays([pa.array(ctx[first, 0]), pa.array(ctx[first, 1])], names=["a", "b"])
+            rows = pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(2).take(of), pos, count, pa.array(grams[first]), both], names=["tkey", "nb", "pos", "times", "gram", "ctx"])
             for k in range(0, rows.num_rows, 50_000):
                 yield rows.slice(k, 50_000)
 
@@ -271,11 +272,11 @@ def _emit_contexts(length: int, gram: int):
                 pos = [w["pos"] for w in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([key] * m, pa.int64()), pa.array([len(data)] * m, pa.int32()), pa.array(pos, pa.int32()), pa.array([w["gram"] for w in wanted], pa.int64()),
-                        pa.array([w["alone"] for w in wanted], pa.bool_()),
+                        pa.array([key] * m, pa.binary()), pa.array([len(data)] * m, pa.int32()), pa.array(pos, pa.int32()), pa.array([w["gram"] for w in wanted], pa.int64()),
+                        pa.array([w["alone"] for w in wanted], pa.bool_()), pa.array([w["wide"] for w in wanted], pa.bool_()),
                         pa.array([data[max(0, p - length + gram) : p][::-1] for p in pos], pa.binary()), pa.array([data[p : p + length] for p in pos], pa.binary()),
                     ],
-                    names=["tkey", "nb", "pos", "gram", "alone", "lft", "rgt"],
+                    names=["tkey", "nb", "pos", "gram", "alone", "wide", "lft", "rgt"],
                 )
 
     return run
@@ -290,7 +291,7 @@ def _ranges_of_groups(length: int, gram: int):
                 out.append((row[0], row[1], row[2] - v, row[2] + r))
 
     def batch(out: list) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.binary(), pa.int32(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(4)], names=["tkey", "nb", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,34 +359,34 @@ def _merge_and_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(text_col)
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("tkey"), F.octet_length(text).alias("nb"))
+    key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
+    return docs.select(F.col(id_col).alias("id"), text.alias("text"), key.alias("tkey"), F.octet_length(text).alias("nb"))
 
 
 def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000) -> DataFrame:
-    """tkey (xxhash64 of the text), nb (its bytes), ranges: array of (lo, hi), which may overlap."""
+    """tkey (128 bits of the text's SHA-256), nb (its bytes), ranges: array of (lo, hi), which may overlap."""
     keyed = _keyed(docs.select(text_col), text_col, text_col)
-    found = keyed.where(F.col("nb") >= length).select("tkey", "text", "nb").mapInArrow(_emit_anchors(length, gram), ANCHOR).repartition("gram")
-    by_gram, by_ctx = Window.partitionBy("gram"), Window.partitionBy("gram", "ctx")
-    found = found.withColumn("same", F.sum(F.size("pos")).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy("tkey", "nb")))
-    found = found.withColumn("mixed", F.min("ctx").over(by_gram) != F.max("ctx").over(by_gram))
-    # whole contexts met twice; of the others one place for each distinct context
-    keep = found.where("same > 1 or mixed").select("tkey", "nb", "pos", "gram", (F.col("same") == 1).alias("alone"), (F.col("mixed") & (F.col("rn") == 1)).alias("asked"))
-    keep = cut(keep.where("not alone or asked"))
+    found = keyed.where(F.col("nb") >= length).select("tkey", "text", "nb").mapInArrow(_emit_anchors(length, gram), ANCHOR).repartition("gram", "ctx")
+    by_ctx = Window.partitionBy("gram", "ctx")
+    found = found.withColumn("same", F.sum(F.size("pos") * F.col("times")).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy("tkey", "nb")))
+    # whole contexts met twice; of each distinct context one place
+    seen = cut(found.where("same > 1 or rn = 1").select("tkey", "nb", "pos", "gram", "ctx", (F.col("same") == 1).alias("alone"), (F.col("rn") == 1).alias("first")))
     span = lambda p: F.struct(F.greatest(F.lit(0), p - (length - gram)).cast("int").alias("lo"), F.least(F.col("nb"), p + length).cast("int").alias("hi"))
-    whole = keep.where("not alone").select("tkey", "nb", F.filter(F.transform("pos", span), lambda r: r["hi"] - r["lo"] >= length).alias("r"))
-
-    asked = keep.where("asked").groupBy("tkey", "nb").agg(F.collect_set(F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone")).alias("wanted"))
+    whole = seen.where("not alone").select("tkey", "nb", F.filter(F.transform("pos", span), lambda r: r["hi"] - r["lo"] >= length).alias("r"))
+
+    # grams of several contexts one of which is met once are all that can bring something new
+    places = seen.where("first").select("tkey", "nb", F.get("pos", F.lit(0)).alias("pos"), "gram", "ctx", "alone")
+    width = places.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.max("alone").alias("news"))
+    width = cut(width.where("lo <> hi and news").select("gram", "n"))
+    keep = cut(places.join(width, "gram").select("tkey", "nb", "pos", "gram", "alone", (F.col("n") > group_limit).alias("wide")))
+    asked = keep.groupBy("tkey", "nb").agg(F.collect_set(F.struct("pos", "gram", "alone", "wide")).alias("wanted"))
     one = keyed.select("tkey", "nb", "text").join(asked, ["tkey", "nb"]).dropDuplicates(["tkey", "nb"]).select("tkey", "text", "wanted")
     contexts = one.mapInArrow(_emit_contexts(length, gram), CONTEXT)
-    # grams one of whose contexts is met once are all that can bring something new
-    width = keep.where("asked").groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("news")).where("news and n > 1")
-    hot = F.broadcast(width.where(F.col("n") > group_limit).select("gram").limit(10_000))  # a bounded list; what it leaves out is sorted in a task
-    contexts = contexts.join(width.select("gram"), "gram", "left_semi").select("tkey", "nb", "pos", "gram", "alone", "lft", "rgt")
-    cold = contexts.join(hot, "gram", "left_anti").select(*contexts.columns).repartition("gram").sortWithinPartitions("gram").mapInArrow(_ranges_of_groups(length, gram), RANGE)
+    cold = contexts.where("not wide").repartition("gram").sortWithinPartitions("gram").mapInArrow(_ranges_of_groups(length, gram), RANGE)
     one_range = F.array(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("r")
     ranges = whole.unionByName(cold.select("tkey", "nb", one_range))
-    if width.where(F.col("n") > group_limit).limit(1).count():
-        windows = contexts.join(hot, "gram", "left_semi").select(*contexts.columns).mapInArrow(_window_hashes(length, gram), "tkey long, nb int, pos int, gram long, alone boolean, w array<struct<d int, h long>>")
+    if keep.where("wide").limit(1).count():
+        windows = contexts.where("wide").mapInArrow(_window_hashes(length, gram), "tkey binary, nb int, pos int, gram long, alone boolean, w array<struct<d int, h long>>")
         windows = windows.select("tkey", "nb", "pos", "gram", "alone", F.explode("w").alias("w"))
         often = windows.groupBy("gram", F.col("w.d").alias("d"), F.col("w.h").alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g"), "d", "h")
         met = windows.where("alone").join(often, (F.col("gram") == F.col("g")) & (F.col("w.d") == F.col("d")) & (F.col("w.h") == F.col("h")))
