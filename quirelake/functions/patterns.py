@@ -20,7 +20,7 @@ OPEN_BRACKETS = ["＜", "〈", "≪", "《", "｛", "「", "『", "［", "[", "{
 CLOSE_BRACKETS = ["＞", "〉", "≫", "》", "｝", "」", "』", "］", "]", "}", "〕", "）"]
 MNEMONIC_PAIRS = [("{", "}"), ("｛", "｝"), ("〔", "〕"), ("【", "】")]
 ARTICLE_UNITS = ["편", "장", "절", "관", "조", "항", "호", "목", "목차", "심급"]
-NOISE_STRINGS = ["¤", "°］", "°]", "￣", "�"]
+NOISE_STRINGS = ["¤", "°］", "°]", "￣", "\uFFFD", "\uF0B7", "\uE000"]
 NOISE_TOKENS = ["셔", "°", "ﾂ", "「", "」"]
 ALLOWED_RANGES = [
     (0x0020, 0x007E), (0xAC00, 0xD7A3), (0x1100, 0x11FF), (0x3130, 0x318F), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x3000, 0x303F),

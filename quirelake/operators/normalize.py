@@ -1,11 +1,11 @@
 """Rule-driven repair of what extraction broke, with a log of changes.
 
-A line goes through fixed steps, each a rewrite by regular expressions in the JVM; each
-step that is to be logged compares what it was given with what it made. Steps never
-change meaning: no spelling, no wording.
+A line goes through fixed steps in the JVM. A step that is to be logged cuts the line at all matches of one pattern, mends
+each match, logs what it mended with its place, and puts the line together again, so that each fix is one entry. Lines without
+a sign of a step's matches skip it. Steps never change meaning: no spelling, no wording.
 
-Rewrites of case numbers are a chain (spaces inside, star, closing bracket, opening bracket), which
-gives the text of a left-to-right scan, but for two numbers that are glued together.
+Cases: a null text is blank; blank lines, and lines that are left blank, go. The log of a line without changes is an empty array.
+An empty table gives no rows. Other columns stay; a column `changes` is replaced.
 """
 
 from __future__ import annotations
@@ -30,103 +30,154 @@ def widths(t: Column) -> Column:
     return F.translate(t, _FULL + "　［］", _HALF + " []")
 
 
-def _where(t: Column, hint: str, fix: Callable[[Column], Column]) -> Column:
-    """fix(t) where t has a match of hint, a cheap test that most lines fail; else t. t is computed once."""
-    return F.get(F.transform(F.array(t), lambda x: F.when(x.rlike(hint), fix(x)).otherwise(x)), F.lit(0))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
 
 
-def mnemonic_brackets(t: Column, rules: Rules) -> Column:
+def _entry(kind: str, before: Column, after: Column, context: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), before.alias("before"), after.alias("after"), context.alias("context"))
+
+
+def _line(text: Column, changes: Column) -> Column:
+    return F.struct(text.alias("t"), changes.alias("c"))
+
+
+def _mended(s: Column, pattern: str, mend: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The line s (t, c) with every match of pattern mended. mend(match, its place from 1) gives its new text and its entries, of which
+    null ones don't count."""
+    t = s["t"]
+
+    def joined(pieces: Column, hits: Column) -> Column:
+        def one(hit: Column, i: Column) -> Column:
+            ahead = F.array_join(F.slice(pieces, F.lit(1), i + 1), "")
+            at = F.char_length(ahead) + F.char_length(F.array_join(F.slice(hits, F.lit(1), i), "")) + 1
+            text, entries = mend(hit, at)
+            return F.struct(text.alias("text"), F.filter(entries, lambda e: e.isNotNull()).alias("entries"))
+
+        def whole(made: Column) -> Column:
+            rest = F.transform(made, lambda m, i: F.concat(m["text"], F.get(pieces, i + 1)))
+            return _line(F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, "")), F.concat(s["c"], F.flatten(F.transform(made, lambda m: m["entries"]))))
+
+        return _let(F.transform(hits, one), whole)
+
+    return _let(F.split(t, pattern, -1), lambda pieces: _let(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda hits: joined(pieces, hits)))
+
+
+def mnemonic_brackets(s: Column, rules: Rules) -> Column:
     """Other brackets around a valid mnemonic to square ones; what is inside stays."""
+    pairs = "|".join(f"{P.literal(a)}{rules.valid_body}{P.literal(b)}" for a, b in P.MNEMONIC_PAIRS)
 
-    def fix(t: Column) -> Column:
-        for a, b in P.MNEMONIC_PAIRS:
-            t = F.regexp_replace(t, f"(?U){P.literal(a)}({rules.valid_body}){P.literal(b)}(?![(:])", "[$1]")
-        return t
+    def mend(hit: Column, at: Column) -> tuple[Column, Column]:
+        text = F.concat(F.lit("["), F.substring(hit, F.lit(2), F.char_length(hit) - 2), F.lit("]"))
+        return text, F.array(_entry("mnemonic", hit, text, context_of(s["t"], at, F.char_length(hit))))
 
-    return _where(t, P.char_class([a for a, _ in P.MNEMONIC_PAIRS]), fix)
+    return _mended(s, f"(?U)(?:{pairs})(?![(:])", mend)
 
 
-def noise(t: Column) -> Column:
-    """Strings that are never text, then single characters that stand alone between spaces."""
+def noise(s: Column) -> Column:
+    """Strings that are never text, then single characters that stand alone between spaces; one entry for each kind, at its first place."""
+    strings = [(P.literal(t), t) for t in sorted(P.NOISE_STRINGS, key=lambda t: -len(t))]
+    tokens = [(rf"(?U){P.literal(t)}(?<=\s{P.literal(t)})(?=\s)", t) for t in sorted(P.NOISE_TOKENS)]
 
-    def fix(t: Column) -> Column:
-        for s in sorted(P.NOISE_STRINGS, key=lambda s: -len(s)):
-            t = F.replace(t, F.lit(s), F.lit(""))
-        for s in sorted(P.NOISE_TOKENS):
-            # the token comes first, so that only where it stands anything else is looked at
-            t = F.regexp_replace(t, rf"(?U){P.literal(s)}(?<=\s{P.literal(s)})(?=\s)", "")
-        return t
+    def without(s: Column, pattern: str, token: str) -> Column:
+        at = F.char_length(F.get(F.split(s["t"], pattern, 2), F.lit(0))) + 1
+        entry = _entry("noise", F.lit(token), F.lit(""), context_of(s["t"], at, F.lit(len(token))))
+        return F.when(s["t"].rlike(pattern), _line(F.regexp_replace(s["t"], pattern, ""), F.concat(s["c"], F.array(entry)))).otherwise(s)
 
-    return _where(t, P.char_class(sorted({c for s in (*P.NOISE_STRINGS, *P.NOISE_TOKENS) for c in s})), fix)
+    def steps(s: Column, left: list[tuple[str, str]]) -> Column:
+        return _let(without(s, *left[0]), lambda x: steps(x, left[1:])) if left else s
 
+    return steps(s, strings + tokens)
 
-def case_numbers(t: Column, rules: Rules) -> Column:
-    number = f"(?<![0-9A-Za-z])([0-9]{{2,4}}(?:{rules.suffixes})[0-9]+)(?![0-9])"
 
-    def fix(t: Column) -> Column:
-        t = F.regexp_replace(t, rules.case_loose, "$1$2$3")
-        t = F.regexp_replace(t, rf"(?U){number}\s*{P.char_class(rules.stars)}", "$1*")
-        t = F.regexp_replace(t, rf"(?U){number}(\*?)\s*{P.char_class(P.CLOSE_BRACKETS)}", "$1$2)")
-        return F.regexp_replace(t, rf"{P.char_class(P.OPEN_BRACKETS)}( *)(?=[0-9]{{2,4}}(?:{rules.suffixes})[0-9]+(?![0-9]))", "($1")
+def case_numbers(s: Column, rules: Rules) -> Column:
+    """Case numbers without spaces, in round brackets, with an ASCII star right after them."""
+    opens, closes = (P.char_class([c for c in chars if c not in "()"]) for chars in (P.OPEN_BRACKETS, P.CLOSE_BRACKETS))
+    number = rules.case_loose.removeprefix("(?U)")
+    whole = f"(?U)(?:({opens})( *))?{number}(\\s*{P.char_class(rules.stars)})?(\\s*{closes})?"
 
-    return _where(t, f"(?U)[0-9]\\s*(?:{rules.suffixes})\\s*[0-9]", fix)
+    def mend(hit: Column, at: Column) -> tuple[Column, Column]:
+        part = lambda k: F.regexp_extract(hit, whole, k)
+
+        def told(g: Column) -> Column:
+            bracket, gap, fixed, star, close, raw = (g[k] for k in ("open", "gap", "fixed", "star", "close", "raw"))
+            context = context_of(s["t"], at + F.char_length(bracket) + F.char_length(gap), F.char_length(raw))
+            opened = F.when(bracket != "", F.lit("(")).otherwise("")
+            closed, starred = F.when(close != "", F.lit(")")).otherwise(""), F.when(star != "", F.lit("*")).otherwise("")
+            entries = F.array(
+                F.when(raw != fixed, _entry("space", raw, fixed, context)), F.when(bracket != "", _entry("bracket", F.concat(bracket, raw), F.concat(F.lit("("), fixed), context)),
+                F.when((star != "") & (star != "*"), _entry("star", F.concat(fixed, star), F.concat(fixed, F.lit("*")), context)), F.when(close != "", _entry("bracket", F.concat(fixed, close), F.concat(fixed, F.lit(")")), context)),
+            )
+            return F.struct(F.concat(opened, gap, fixed, starred, closed).alias("text"), entries.alias("entries"))
+
+        raw = F.regexp_extract(hit, rules.case_loose, 0)
+        groups = F.struct(part(1).alias("open"), part(2).alias("gap"), F.concat(part(3), part(4), part(5)).alias("fixed"), part(6).alias("star"), part(7).alias("close"), raw.alias("raw"))
+        made = _let(groups, told)
+        return made["text"], made["entries"]
+
+    return _mended(s, whole, mend)
 
 
 def articles(t: Column) -> Column:
-    return _where(t, "제", lambda t: F.regexp_replace(t, P.ARTICLE, "제$1$2"))
+    return F.when(t.rlike("제"), F.regexp_replace(t, P.ARTICLE, "제$1$2")).otherwise(t)
 
 
-def dates(t: Column, rules: Rules) -> Column:
-    """YYYY. M. D.; characters that no text has right after a date go, Hangul right after one stays
+def dates(s: Column, rules: Rules) -> Column:
+    """YYYY. M. D.; characters that no text has right after a date go, Hangul right after one that has no last dot stays
     unless the rules say strip."""
     junk = f"(?:[{''.join(P.literal(c) for c in P.NOISE_TOKENS)}\\]°｣¤]|{P.NOISE_CLASS})*"
-    date = "(?<![0-9])([0-9]{4})\\.\\s*0*([0-9]{1,2})\\.\\s*0*([0-9]{1,2})"
+    whole = f"(?U)({P.DATE})({junk})([{P.HANGUL}]*)"
+    strip = F.lit(rules.date_hangul == "strip")
+
+    def mend(hit: Column, at: Column) -> tuple[Column, Column]:
+        part = lambda k: F.regexp_extract(hit, whole, k)
+
+        def told(g: Column) -> Column:
+            date, canon, junk = g["date"], g["canon"], g["junk"]
+            tail = F.when(date.endswith("."), "").otherwise(g["hangul"])  # what the log counts to the date
+            rest = F.when(strip & (tail != ""), "").otherwise(g["hangul"])
+            shown = F.concat(canon, F.when(strip, "").otherwise(tail))
+            entry = F.when((junk != "") | (tail != "") | (canon != date), _entry("date", F.concat(date, junk, tail), shown, context_of(s["t"], at, F.char_length(date))))
+            return F.struct(F.concat(canon, rest).alias("text"), F.array(entry).alias("entries"))
 
-    def fix(t: Column) -> Column:
-        if rules.date_hangul == "strip":
-            t = F.regexp_replace(t, f"(?U){date}{junk}[{P.HANGUL}]+", "$1. $2. $3.")
-        return F.regexp_replace(t, f"(?U){date}\\.?{junk}", "$1. $2. $3.")
+        dot = lambda k: F.concat(part(k).cast("int").cast("string"), F.lit("."))
+        canon = F.concat(part(2), F.lit(". "), dot(3), F.lit(" "), dot(4))
+        made = _let(F.struct(part(1).alias("date"), canon.alias("canon"), part(5).alias("junk"), part(6).alias("hangul")), told)
+        return made["text"], made["entries"]
 
-    return _where(t, "[0-9]{4}\\.", fix)
+    return _mended(s, whole, mend)
 
 
 def collapse(t: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"[ \t\x{a0}]+", " "))
 
 
+def repaired(text: Column, rules: Rules = P.TEXTBOOK) -> Column:
+    """struct<t, c>: the repaired text of a line, and its changes in order of steps and places."""
+    steps = [
+        (P.char_class([a for a, _ in P.MNEMONIC_PAIRS]), lambda s: mnemonic_brackets(s, rules)), (P.char_class(sorted({c for t in (*P.NOISE_STRINGS, *P.NOISE_TOKENS) for c in t})), noise),
+        (f"(?U)[0-9]\\s*(?:{rules.suffixes})\\s*[0-9]", lambda s: case_numbers(s, rules)), ("제", lambda s: _line(articles(s["t"]), s["c"])), ("[0-9]{4}\\.", lambda s: dates(s, rules)),
+    ]
+
+    def after(s: Column, left: list) -> Column:
+        if not left:
+            return _line(collapse(s["t"]), s["c"])
+        hint, step = left[0]
+        # the hint is a cheap test that most lines fail
+        return _let(F.when(s["t"].rlike(hint), step(s)).otherwise(s), lambda x: after(x, left[1:]))
+
+    start = _line(widths(nfc(F.coalesce(text, F.lit("")))), F.array().cast(f"array<{CHANGE}>"))
+    return _let(start, lambda s: after(s, steps))
+
+
 def normalize_lines(lines: DataFrame, rules: Rules = P.TEXTBOOK, *, text_col: str = "text", log: bool = True) -> DataFrame:
     """lines with text repaired and, if log, changes: array of struct<kind, before, after, context>, one for each
-    step that changed the line, in order. Lines that are left blank go."""
-    t = F.col("__t")
-    out = lines.withColumn("__t", widths(nfc(F.coalesce(F.col(text_col), F.lit("")))))
-    steps = [("mnemonic", lambda t: mnemonic_brackets(t, rules)), ("noise", noise), ("case", lambda t: case_numbers(t, rules)), (None, articles), ("date", lambda t: dates(t, rules))]
-    if log:
-        out = out.withColumn("__c", F.array().cast(f"array<{CHANGE}>"))
-    for kind, step in steps:
-        out = out.withColumn("__n", step(t))
-        if kind and log:
-            out = out.withColumn("__c", F.when(F.col("__n") != t, F.concat("__c", F.array(_change(kind, t, F.col("__n"))))).otherwise(F.col("__c")))
-        out = out.withColumn("__t", F.col("__n"))
-    out = out.withColumn(text_col, collapse(t))
-    if log:
-        out = out.withColumn("changes", F.col("__c"))
-    # a filter is pushed below what makes the text, which would then be made twice; a column that isn't deterministic keeps it here
-    out = out.drop("__t", "__n", "__c").withColumn("__keep", F.rand(0))
-    return out.where((F.trim(text_col) != "") & (F.col("__keep") >= 0)).drop("__keep")
-
-
-def _change(kind: str, before: Column, after: Column) -> Column:
-    """The part in which the two differ, as one change."""
-    n, m = F.char_length(before), F.char_length(after)
-    a, b = F.split(before, ""), F.split(after, "")
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    head = F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.least(n, m)).cast("int")
-    back = F.zip_with(F.reverse(a), F.reverse(b), lambda x, y: F.coalesce(x == y, F.lit(False)))
-    tail = F.least(F.coalesce(F.nullif(F.array_position(back, F.lit(False)), F.lit(0)) - 1, F.least(n, m)), F.least(n, m) - head).cast("int")
-    return F.struct(
-        F.lit(kind).alias("kind"), F.substring(before, head + 1, n - head - tail).alias("before"), F.substring(after, head + 1, m - head - tail).alias("after"),
-        context_of(before, head + 1, n - head - tail).alias("context"),
-    )
+    fix, in order. Lines that are left blank go."""
+    # exploding an array of one line or none drops blank lines without making the text twice, as a filter that is pushed down would
+    kept = F.filter(F.array(repaired(F.col(text_col), rules)), lambda s: s["t"] != "")
+    out = lines.withColumn("__line", F.explode(kept)).withColumn(text_col, F.col("__line.t"))
+    return (out.withColumn("changes", F.col("__line.c")) if log else out).drop("__line")
 
 
 def change_log(normalized: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict = {}
@@ -25,6 +27,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def planted(df: DataFrame, number: Column, given: list[str], between: str) -> DataFrame:
+    """df with one of the given strings put after each text, in turn by number."""
+    of = F.element_at(F.array(*map(F.lit, given)), (number % len(given) + 1).cast("int"))
+    return df.withColumn("text", F.concat("text", F.lit(between), of))
+
+
+def sql_value(v) -> str:
+    if isinstance(v, str):
+        parts = re.findall(r"[^\n\t]+|[\n\t]", v) or [""]
+        return " || ".join(f"chr({ord(p)})" if p in ("\n", "\t") else "'" + p.replace("'", "''") + "'" for p in parts)
+    if isinstance(v, list | tuple):
+        return f"[{', '.join(map(sql_value, v))}]"
+    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else str(v)
+
+
+def sql_rows(name: str, columns: str, rows: list[tuple]) -> str:
+    """A common table of literal rows."""
+    return f"{name} AS (SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(sql_value, r)) + ')' for r in rows)}) AS v({columns}))"
+
+
 #: Four lines a page on a sheet of 595 x 842; the first and the last stand in the edge zones.
 LINES_PER_PAGE, PAGE_WIDTH, PAGE_HEIGHT = 4, 595.0, 842.0
 
