@@ -9,7 +9,7 @@
    the components of these stars are the candidate groups: two nodes that share
    any bucket are in the same group.
 4. Verification on full sets: the sets of a group are dealt out in blocks of `block`
-   nodes, and every two blocks of a group meet in one task's memory, where
+   nodes and `block_shingles` shingles (some 100 MB of bit sets for two), and every two blocks of a group meet in one task's memory, where
    intersections are counted on bit sets. No pair leaves the task: what comes out is the
    number of links of each node and a spanning forest of the links.
 5. Components of the verified links are the classes. A class is named by its least id.
@@ -78,27 +78,28 @@ def _sketch(n: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, list | None] = {}
         for batch in batches:
-            nodes, out = [], []
+            nodes, out, sizes = [], [], []
             for t in batch.column(1):
                 s = shingle_set(t.as_py().encode("utf-8", "replace"), n)
                 node = _node(s) if len(s) else None
                 nodes.append(node)
+                sizes.append(len(s))
                 if node is not None and node not in memo:
                     if len(memo) > 2000:
                         memo.clear()
                     memo[node] = minhash_bands(s, bands, rows).tolist()
                 out.append(memo[node] if node is not None else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(out, pa.list_(pa.int64()))], names=["id", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["id", "node", "size", "bands"])
 
     return run
 
 
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root (the least node reached) for all nodes of the edges u, v, by alternating
-    large and small stars. What is written each round has a row an edge."""
+    large and small stars, until a round changes nothing. What is written each round has a row an edge."""
     now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
-    for _ in range(max_rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -110,8 +111,6 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if state == seen:
             break
         seen = state
-    else:
-        raise RuntimeError(f"components don't settle in {max_rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
@@ -221,22 +220,24 @@ def _sets(n: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9995, permutations: int = 160, block: int = 1024) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9995, permutations: int = 160, block: int = 1024, block_shingles: int = 500_000) -> DataFrame:
     """One row a row of docs: id, class_id (least id of its class), class_size, n_links (rows with
     a Jaccard similarity of threshold at least, copies included), n_copies (rows with the same set)."""
     bands, rows = band_shape(threshold, recall, permutations)
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    sketch = cut(plain.mapInArrow(_sketch(n, bands, rows), f"id {kind}, node binary, bands array<long>"))
-    nodes = cut(sketch.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")))
+    sketch = cut(plain.mapInArrow(_sketch(n, bands, rows), f"id {kind}, node binary, size long, bands array<long>"))
+    nodes = cut(sketch.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands")))
 
     # band and hash in one 64-bit key: a chance collision only adds a candidate
     banded = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
     stars = banded.groupBy("bucket").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("m")).where("m > 1").select("bucket", "v")
     edges = banded.join(stars, "bucket").where("node <> v").select(F.col("node").alias("u"), "v")
     grouped = components(edges)
-    sizes = grouped.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blks"))
-    members = grouped.join(sizes, "root").join(nodes.select("node", "rep", "copies"), "node")
+    named = grouped.join(nodes.select("node", "rep", "copies", "size"), "node")
+    # a block has about so many nodes at most, and so many shingles, of which the bit sets of two blocks are made
+    blks = F.ceil(F.greatest(F.count(F.lit(1)) / block, F.sum("size") / block_shingles)).cast("int")
+    members = named.join(named.groupBy("root").agg(blks.alias("blks")), "root")
     members = cut(members.select("node", "rep", "copies", F.col("root").alias("grp"), F.pmod(F.xxhash64("node"), F.col("blks")).cast("int").alias("blk"), "blks"))
 
     # texts of one row of each node; rows that share its id but not its set fall out by the node's hash
