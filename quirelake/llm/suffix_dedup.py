@@ -8,12 +8,12 @@ hashes of its `gram`-byte substrings; equal windows have equal anchors at equal
 offsets, so every repeat shows as two anchors with the same gram whose common
 extension, left and right, reaches `length` bytes. Nothing is lost by it.
 
-1. Each text emits its anchors: hash of the gram, 128-bit hash of the context (at most
+1. Each text emits its anchors: hash of the gram, 96-bit hash of the context (at most
    length - gram bytes left, length bytes right), text key (128 bits of its SHA-256), offsets; texts that are
-   equal in a batch emit once, with their number. Anchors are dealt by gram and context.
+   equal in a batch emit once, with their number. Anchors are dealt by gram; those of grams that have more than
+   1 in `hot_share` of the anchors of a sample are dealt by context too, which only spreads the work.
 2. An anchor whose whole context is met twice is repeated as far as its context reaches.
-3. Of each distinct context one place goes on, if its gram has another context too, told by the least and the greatest
-   context of a gram. The contexts are fetched from the texts and dealt by gram. Their suffixes (the right contexts) are sorted deep-shallow:
+3. Of each distinct context one place goes on, if its gram has another context too. The contexts are fetched from the texts and dealt by gram. Their suffixes (the right contexts) are sorted deep-shallow:
    multikey quicksort on 8-byte symbols to `shallow` bytes, then a blind trie for each
    group with a longer common prefix. Over the intervals of common prefixes the
    left extensions are compared, which gives the repeated window ranges of each anchor.
@@ -71,7 +71,8 @@ def anchors(data: bytes, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     at = anchor_offsets(grams, length - gram + 1)
     reach = length - gram
     digests = [hashlib.blake2b(data[max(0, p - reach) : p + length], digest_size=16, key=str(min(p, reach)).encode()).digest() for p in at.tolist()]
-    return at, grams[at].view(np.int64), np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    context = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return at, grams[at].view(np.int64), context >> np.array([0, 32])
 
 
 # -- deep-shallow sorting ------------------------------------------------------------
@@ -227,9 +228,10 @@ def repeated_ranges(lefts: list[bytes], rights: list[bytes], length: int, gram:
 
 # -- Spark ---------------------------------------------------------------------------
 
-ANCHOR = "tkey binary, nb int, pos array<int>, times int, gram long, ctx struct<a: long, b: long>"
-CONTEXT = "tkey binary, nb int, pos int, gram long, alone boolean, wide boolean, lft binary, rgt binary"
-RANGE = "tkey binary, nb int, lo int, hi int"
+ANCHOR = "k1 long, k2 long, pos array<int>, times int, gram long, c1 long, c2 int"
+CONTEXT = "k1 long, k2 long, pos int, gram long, alone boolean, wide boolean, lft binary, rgt binary"
+RANGE = "k1 long, k2 long, lo int, hi int"
+TEXT = ["k1", "k2"]  # a text's key, 128 bits of its SHA-256
 
 
 def _emit_anchors(length: int, gram: int):
@@ -237,9 +239,9 @@ def _emit_anchors(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, got, texts = b.column(0).to_pylist(), [], []
+            keys, got, texts = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)), [], []
             times, seen = Counter(keys), set()
-            for k, t in enumerate(b.column(1)):
+            for k, t in enumerate(b.column(2)):
                 if keys[k] not in seen:
                     seen.add(keys[k])
                     got.append(anchors(t.as_py().encode("utf-8", "replace"), length, gram))
@@ -255,8 +257,8 @@ def _emit_anchors(length: int, gram: int):
             of = pa.array(text[first])
             count = pa.array([times[k] for k in keys], pa.int32()).take(of)
             pos = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)).astype(np.int32)), pa.array(at.astype(np.int32)))
-            both = pa.StructArray.from_arrays([pa.array(ctx[first, 0]), pa.array(ctx[first, 1])], names=["a", "b"])
-            rows = pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(2).take(of), pos, count, pa.array(grams[first]), both], names=["tkey", "nb", "pos", "times", "gram", "ctx"])
+            c1, c2 = pa.array(ctx[first, 0]), pa.array(ctx[first, 1].astype(np.int32))
+            rows = pa.RecordBatch.from_arrays([b.column(0).take(of), b.column(1).take(of), pos, count, pa.array(grams[first]), c1, c2], names=["k1", "k2", "pos", "times", "gram", "c1", "c2"])
             for k in range(0, rows.num_rows, 50_000):
                 yield rows.slice(k, 50_000)
 
@@ -266,17 +268,16 @@ def _emit_anchors(length: int, gram: int):
 def _emit_contexts(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for key, t, wanted in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            for k, (t, wanted) in enumerate(zip(b.column("text"), b.column("wanted").to_pylist(), strict=True)):
                 data = t.as_py().encode("utf-8", "replace")
-                m = len(wanted)
-                pos = [w["pos"] for w in wanted]
+                pos, of = [w["pos"] for w in wanted], pa.array([k] * len(wanted), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([key] * m, pa.binary()), pa.array([len(data)] * m, pa.int32()), pa.array(pos, pa.int32()), pa.array([w["gram"] for w in wanted], pa.int64()),
+                        b.column("k1").take(of), b.column("k2").take(of), pa.array(pos, pa.int32()), pa.array([w["gram"] for w in wanted], pa.int64()),
                         pa.array([w["alone"] for w in wanted], pa.bool_()), pa.array([w["wide"] for w in wanted], pa.bool_()),
                         pa.array([data[max(0, p - length + gram) : p][::-1] for p in pos], pa.binary()), pa.array([data[p : p + length] for p in pos], pa.binary()),
                     ],
-                    names=["tkey", "nb", "pos", "gram", "alone", "wide", "lft", "rgt"],
+                    names=["k1", "k2", "pos", "gram", "alone", "wide", "lft", "rgt"],
                 )
 
     return run
@@ -291,13 +292,13 @@ def _ranges_of_groups(length: int, gram: int):
                 out.append((row[0], row[1], row[2] - v, row[2] + r))
 
     def batch(out: list) -> pa.RecordBatch:
-        kinds = (pa.binary(), pa.int32(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(4)], names=["tkey", "nb", "lo", "hi"])
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kinds[k]) for k in range(4)], names=["k1", "k2", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, rows, out = None, [], []
         for b in batches:
-            for row in zip(*(b.column(k).to_pylist() for k in ("tkey", "nb", "pos", "gram", "alone", "lft", "rgt")), strict=True):
+            for row in zip(*(b.column(k).to_pylist() for k in ("k1", "k2", "pos", "gram", "alone", "lft", "rgt")), strict=True):
                 if row[3] != key:
                     if len(rows) > 1:
                         flush(rows, out)
@@ -327,80 +328,98 @@ def _window_hashes(length: int, gram: int):
                 # by bytes before the anchor, from len(v) down
                 hashes.append([{"d": len(v) - int(s), "h": int(x)} for s, x in zip(start, h, strict=True) if s <= len(v)])
             kind = pa.list_(pa.struct([("d", pa.int32()), ("h", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("tkey", "nb", "pos", "gram", "alone")), pa.array(hashes, kind)], names=["tkey", "nb", "pos", "gram", "alone", "w"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("k1", "k2", "pos", "gram", "alone")), pa.array(hashes, kind)], names=["k1", "k2", "pos", "gram", "alone", "w"])
 
     return run
 
 
-def _merge_and_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        size, removed, spans, digest = [], [], [], []
-        for t, ranges in zip(b.column(1), b.column(2).to_pylist(), strict=True):
-            data = t.as_py().encode("utf-8", "replace")
-            kept, end, n, m = hashlib.sha256(), 0, 0, 0
-            for lo, hi in sorted((x["lo"], x["hi"]) for x in ranges or ()):
-                if lo > end or not m:
-                    kept.update(data[end:lo])
-                    m += 1
-                    n += hi - lo
-                    end = hi
-                elif hi > end:
-                    n += hi - end
-                    end = hi
-            kept.update(data[end:])
-            size.append(len(data))
-            removed.append(n)
-            spans.append(m)
-            digest.append(kept.hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        )
+def _merge_and_cut(length: int):
+    """Cuts ranges out of texts. Ranges are cut at a text's ends; what is shorter than length then is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size, removed, spans, digest = [], [], [], []
+            for t, ranges in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+                data = t.as_py().encode("utf-8", "replace")
+                kept, end, n, m = hashlib.sha256(), 0, 0, 0
+                for lo, hi in sorted((max(0, x["lo"]), min(len(data), x["hi"])) for x in ranges or ()):
+                    if hi - lo < length:
+                        continue
+                    if lo > end or not m:
+                        kept.update(data[end:lo])
+                        m += 1
+                        n += hi - lo
+                        end = hi
+                    elif hi > end:
+                        n += hi - end
+                        end = hi
+                kept.update(data[end:])
+                size.append(len(data))
+                removed.append(n)
+                spans.append(m)
+                digest.append(kept.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest, pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            )
+
+    return run
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = text_of(text_col)
-    key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
-    return docs.select(F.col(id_col).alias("id"), text.alias("text"), key.alias("tkey"), F.octet_length(text).alias("nb"))
+    keyed = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("sha", F.sha2("text", 256))
+    half = lambda k: F.conv(F.substring("sha", k, 16), 16, -10).cast("long")
+    return keyed.withColumn("k1", half(1)).withColumn("k2", half(17)).drop("sha")
+
+
+def _hot_grams(texts: DataFrame, emit, hot_share: int) -> list[int]:
+    """Grams with more than 1 in hot_share of the anchors of a sample of texts: less than hot_share of them."""
+    sample = texts.where(F.rand(3) < 1 / 64).mapInArrow(emit, ANCHOR).groupBy("gram").agg(F.sum(F.size("pos") * F.col("times")).alias("n"))
+    total = sample.agg(F.sum("n")).first()[0] or 0
+    return [r.gram for r in sample.where(F.col("n") > max(16, total / hot_share)).select("gram").collect()]
 
 
-def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000) -> DataFrame:
-    """tkey (128 bits of the text's SHA-256), nb (its bytes), ranges: array of (lo, hi), which may overlap."""
+def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000, hot_share: int = 1000) -> DataFrame:
+    """k1, k2 (128 bits of the text's SHA-256), ranges: array of (lo, hi), which may overlap and reach beyond the text."""
     keyed = _keyed(docs.select(text_col), text_col, text_col)
-    found = keyed.where(F.col("nb") >= length).select("tkey", "text", "nb").mapInArrow(_emit_anchors(length, gram), ANCHOR).repartition("gram", "ctx")
-    by_ctx = Window.partitionBy("gram", "ctx")
-    found = found.withColumn("same", F.sum(F.size("pos") * F.col("times")).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy("tkey", "nb")))
-    # whole contexts met twice; of each distinct context one place
-    seen = cut(found.where("same > 1 or rn = 1").select("tkey", "nb", "pos", "gram", "ctx", (F.col("same") == 1).alias("alone"), (F.col("rn") == 1).alias("first")))
-    span = lambda p: F.struct(F.greatest(F.lit(0), p - (length - gram)).cast("int").alias("lo"), F.least(F.col("nb"), p + length).cast("int").alias("hi"))
-    whole = seen.where("not alone").select("tkey", "nb", F.filter(F.transform("pos", span), lambda r: r["hi"] - r["lo"] >= length).alias("r"))
+    texts, emit = keyed.where(F.octet_length("text") >= length).select(*TEXT, "text"), _emit_anchors(length, gram)
+    hot = F.array(*[F.lit(g).cast("long") for g in _hot_grams(texts, emit, hot_share)]).cast("array<bigint>")
+    is_hot = F.array_contains(hot, F.col("gram"))
+    found = texts.mapInArrow(emit, ANCHOR).withColumn("salt", F.when(is_hot, F.pmod("c1", F.lit(1024))).otherwise(F.lit(-1))).repartition("gram", "salt")
+    by_gram, by_ctx = Window.partitionBy("gram", "salt"), Window.partitionBy("gram", "salt", "c1", "c2")
+    found = found.withColumn("same", F.sum(F.size("pos") * F.col("times")).over(by_ctx)).withColumn("rn", F.row_number().over(by_ctx.orderBy(*TEXT)))
+    ctx = F.struct("c1", "c2")
+    found = found.withColumn("mixed", (F.col("salt") >= 0) | (F.min(ctx).over(by_gram) != F.max(ctx).over(by_gram)))  # hot grams are taken to have several contexts
+    # whole contexts met twice; of the others one place for each distinct context
+    keep = found.where("same > 1 or mixed").select(*TEXT, "pos", "gram", (F.col("same") == 1).alias("alone"), (F.col("mixed") & (F.col("rn") == 1)).alias("asked"))
+    keep = cut(keep.where("not alone or asked"))
+    whole = keep.where("not alone").select(*TEXT, F.transform("pos", lambda p: F.struct((p - (length - gram)).alias("lo"), (p + length).alias("hi"))).alias("r"))
 
     # grams of several contexts one of which is met once are all that can bring something new
-    places = seen.where("first").select("tkey", "nb", F.get("pos", F.lit(0)).alias("pos"), "gram", "ctx", "alone")
-    width = places.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi"), F.max("alone").alias("news"))
-    width = cut(width.where("lo <> hi and news").select("gram", "n"))
-    keep = cut(places.join(width, "gram").select("tkey", "nb", "pos", "gram", "alone", (F.col("n") > group_limit).alias("wide")))
-    asked = keep.groupBy("tkey", "nb").agg(F.collect_set(F.struct("pos", "gram", "alone", "wide")).alias("wanted"))
-    one = keyed.select("tkey", "nb", "text").join(asked, ["tkey", "nb"]).dropDuplicates(["tkey", "nb"]).select("tkey", "text", "wanted")
+    width = keep.where("asked").groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("news")).where("news and n > 1")
+    wide = (F.col("n") > group_limit).alias("wide")
+    asked = keep.where("asked").join(width.select("gram", wide), "gram").select(*TEXT, F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone", "wide").alias("w"))
+    asked = asked.groupBy(*TEXT).agg(F.collect_set("w").alias("wanted"))
+    one = keyed.select(*TEXT, "text").join(asked, TEXT).dropDuplicates(TEXT)
     contexts = one.mapInArrow(_emit_contexts(length, gram), CONTEXT)
     cold = contexts.where("not wide").repartition("gram").sortWithinPartitions("gram").mapInArrow(_ranges_of_groups(length, gram), RANGE)
     one_range = F.array(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("r")
-    ranges = whole.unionByName(cold.select("tkey", "nb", one_range))
-    if keep.where("wide").limit(1).count():
-        windows = contexts.where("wide").mapInArrow(_window_hashes(length, gram), "tkey binary, nb int, pos int, gram long, alone boolean, w array<struct<d int, h long>>")
-        windows = windows.select("tkey", "nb", "pos", "gram", "alone", F.explode("w").alias("w"))
+    ranges = whole.unionByName(cold.select(*TEXT, one_range))
+    if width.where(F.col("n") > group_limit).limit(1).count():
+        windows = contexts.where("wide").mapInArrow(_window_hashes(length, gram), "k1 long, k2 long, pos int, gram long, alone boolean, w array<struct<d int, h long>>")
+        windows = windows.select(*TEXT, "pos", "gram", "alone", F.explode("w").alias("w"))
         often = windows.groupBy("gram", F.col("w.d").alias("d"), F.col("w.h").alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("gram").alias("g"), "d", "h")
         met = windows.where("alone").join(often, (F.col("gram") == F.col("g")) & (F.col("w.d") == F.col("d")) & (F.col("w.h") == F.col("h")))
-        met = met.select("tkey", "nb", (F.col("pos") - F.col("d")).alias("lo"), (F.col("pos") - F.col("d") + length).alias("hi"))
-        ranges = ranges.unionByName(met.select("tkey", "nb", one_range))
-    return ranges.groupBy("tkey", "nb").agg(F.flatten(F.collect_set("r")).alias("ranges"))
+        met = met.select(*TEXT, (F.col("pos") - F.col("d")).alias("lo"), (F.col("pos") - F.col("d") + length).alias("hi"))
+        ranges = ranges.unionByName(met.select(*TEXT, one_range))
+    return ranges.groupBy(*TEXT).agg(F.flatten(F.collect_set("r")).alias("ranges"))
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000, hot_share: int = 1000) -> DataFrame:
     """Id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spans = repeated_spans(docs, text_col=text_col, length=length, gram=gram, group_limit=group_limit)
+    spans = repeated_spans(docs, text_col=text_col, length=length, gram=gram, group_limit=group_limit, hot_share=hot_share)
     kind = docs.schema[id_col].dataType.simpleString()
-    joined = _keyed(docs, id_col, text_col).join(spans, ["tkey", "nb"], "left").select("id", "text", "ranges")
-    return joined.mapInArrow(_merge_and_cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+    joined = _keyed(docs, id_col, text_col).join(spans, TEXT, "left").select("id", "text", "ranges")
+    return joined.mapInArrow(_merge_and_cut(length), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

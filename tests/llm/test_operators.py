@@ -461,6 +461,32 @@ def test_edit_is_local(codec):
     assert tree.encoded < 10 and tree.tokens == len(codec.encode(tree.text))
 
 
+def test_stored_trees(spark, docs, rows, codec, monkeypatch):
+    import public_tokenizers
+
+    counter = token_counts.Counter(codec, public_tokenizers.PATTERN)
+    tree = token_counts.CountTree("some words here " * 900, counter, leaf=8)
+    tree.edit(5000, 5003, "new")
+    asked = []
+    count = token_counts.Counter.count
+    monkeypatch.setattr(token_counts.Counter, "count", lambda self, piece: asked.append(piece) or count(self, piece))
+    again = token_counts.CountTree(tree.text, token_counts.Counter(codec, public_tokenizers.PATTERN), stored=tree.packed())
+    assert not asked and (again.tree, again.leaves, again.counts, again.leaf) == (tree.tree, tree.leaves, tree.counts, 8)
+    again.edit(9000, 9001, "zz")
+    assert len(asked) == again.encoded < 10 and again.tokens == len(codec.encode(again.text))
+    monkeypatch.undo()
+    edit = lambda k: F.array(F.struct(F.lit(k).alias("start"), F.lit(k + 1).alias("stop"), F.lit("é!").alias("new")))
+    trees = token_counts.build_trees(docs, leaf=4)
+    assert sorted(r.n_tokens for r in trees.collect()) == sorted(len(codec.encode(r[1] or "")) for r in rows)
+    once = token_counts.apply_edits(trees.withColumn("e", edit(2)), edits_col="e").select("doc_id", "text", "tree", F.col("edited_tokens").alias("was"))
+    got = token_counts.apply_edits(once.withColumn("e", edit(9)), edits_col="e").collect()
+    texts = [t[:9] + "é!" + t[10:] for t in ((r[1] or "")[:2] + "é!" + (r[1] or "")[3:] for r in rows)]
+    assert sorted((r.text, r.edited_tokens) for r in got) == sorted((t, len(codec.encode(t))) for t in texts)
+    assert all(r.reencoded < 40 or len(r.text) < 400 for r in got)
+    none = token_counts.apply_edits(once.withColumn("tree", F.lit(None).cast("binary")).withColumn("e", edit(9)), edits_col="e").collect()
+    assert sorted((r.text, r.edited_tokens) for r in none) == sorted((r.text, r.edited_tokens) for r in got)
+
+
 def test_token_counts_query(docs, rows, codec, none):
     edits = F.array(F.struct(F.lit(2).alias("start"), F.lit(5).alias("stop"), F.lit("é!").alias("new")), F.lit(None).cast("struct<start int, stop int, new string>"))
     got = token_counts.count_edited(docs.withColumn("edits", edits), edits_col="edits").collect()
@@ -632,5 +658,19 @@ def test_suffix_dedup(spark, docs, rows, length, gram, limit):
     assert result(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)) == sorted(brute_cut(texts, length))
 
 
+def test_suffix_dedup_hot_grams(spark, docs, rows, monkeypatch):
+    """All grams dealt by context as well."""
+    monkeypatch.setattr(suffix_dedup, "_hot_grams", lambda texts, emit, share: [r.gram for r in texts.mapInArrow(emit, suffix_dedup.ANCHOR).select("gram").distinct().collect()])
+    for limit in (100_000, 2):
+        got = suffix_dedup.remove_repeats(docs, length=40, gram=16, group_limit=limit).collect()
+        assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(brute_cut([r[1] for r in rows], 40))
+
+
+def test_hot_grams_are_few(spark):
+    texts = spark.createDataFrame([(k, f"{'common line ' * 20} {k}") for k in range(4000)], "id long, text string")
+    keyed = suffix_dedup._keyed(texts, "id", "text").select("k1", "k2", "text")
+    assert 0 < len(suffix_dedup._hot_grams(keyed, suffix_dedup._emit_anchors(40, 16), 50)) < 50
+
+
 def test_suffix_dedup_empty(none):
     assert suffix_dedup.remove_repeats(none).count() == 0
