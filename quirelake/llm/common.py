@@ -7,6 +7,7 @@ whatever their names, can't clash with what it makes on the way.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -18,10 +19,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ensure_shared_dir(spark: SparkSession) -> None:
-    """Keep the session's spark.checkpoint.dir; set a folder only where none is set (tests)."""
+    """Keep the session's spark.checkpoint.dir. Where none is set, a local session, which is one machine, gets a folder of its
+    own (tests); on a cluster that is an error, since executors wouldn't see it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         given = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if not given and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="quirelake-checkpoint-"))
 
 

@@ -237,8 +237,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["id", "y", "x"])
                 at += len(part)
 
-    got = joined.mapInArrow(run, f"id {known.schema['id'].dataType.simpleString()}, y double, x array<double>").toArrow()
-    # ids that repeat in docs: one row each, so that the sample keeps its bound
+    found = joined.mapInArrow(run, f"id {known.schema['id'].dataType.simpleString()}, y double, x array<double>")
+    # ids that repeat in docs: one row each before anything goes to the driver, so that the sample keeps its bound
+    got = found.groupBy("id").agg(F.min(F.struct("y", "x")).alias("r")).select("id", "r.y", "r.x").toArrow()
     rows = sorted({i: (y, x) for i, y, x in sorted(zip(got["id"].to_pylist(), got["y"].to_pylist(), got["x"].to_pylist(), strict=True))}.items())
     x = np.array([r[1][1] for r in rows]).reshape(-1, len(FEATURES))
     return fit(x, (np.array([r[1][0] for r in rows]) > 0).astype(float), **options)
