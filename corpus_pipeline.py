@@ -19,29 +19,42 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier scores 0.7 at least."""
+    """Documents that the classifier scores 0.7 at least.
+
+    Null and empty texts are scored as well, ids may be null or repeat, long texts are read whole; each row is decided on its own,
+    so that repeated rows stay or go together. Labels of null ids or without a quality teach nothing; without labels of both kinds the
+    score is their mean, 0.5 if there are none. An empty table stays empty. Columns beyond those of documents are dropped."""
     return quality.keep_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*COLUMNS)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id."""
+    """Of equal texts, A-Z lowered, the document with the largest id.
+
+    A null text is empty, and empty texts are equal. A null id is less than any other; of rows equal in text and id one stays. An
+    empty table stays empty. Columns beyond those of documents are dropped."""
     return exact_dedup.drop_duplicates(docs).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document with the least id."""
+    """Of each class of near-duplicates the document with the least id.
+
+    Texts without words are like no other and stay. Rows without an id stay, one for each text; of rows that share the least id of
+    a class, one for each text. An empty table stays empty. Columns beyond those of documents are dropped."""
     return ngram_join.drop_near_duplicates(docs).select(*COLUMNS)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each copy of a document that the mix takes, in training order.
 
-    Documents that the mix doesn't take go; one that it takes twice has two rows."""
+    Documents that the mix doesn't take go, so do those without words; one that it takes twice has two rows. A null source is a
+    source of its own. Rows that are equal in id, source and text share their positions. An empty table stays empty. Columns
+    beyond those of documents are dropped."""
     names, safe = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*safe)
     at = {n: c for n, c in zip(names, safe, strict=True)}
-    key = F.xxhash64(*[F.col(at[c]) for c in ("doc_id", "source", "text")])  # ids may be null or repeat
-    rows = rows.withColumn("row_key", key)
+    # ids may be null or repeat; JSON tells a null from an empty string
+    key = F.sha2(F.to_json(F.struct(F.col(at["doc_id"]).alias("a"), F.col(at["source"]).alias("b"), F.sha2(at["text"], 256).alias("c"))), 256)
+    rows = rows.withColumn("row_key", F.unhex(key))
     plan = mixing.plan_mix(rows, id_col="row_key", text_col=at["text"], source_col=at["source"]).dropDuplicates(["row_key"])
     order = plan.select(F.col("row_key").alias("k"), F.explode("positions").alias("position"))
     out = rows.join(order, F.col("row_key") == F.col("k")).repartitionByRange("position").sortWithinPartitions("position")
@@ -49,7 +62,10 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether the ids decode to its text."""
+    """Token ids of every document, and whether the ids decode to its text.
+
+    A null text is empty and has no ids. Rows are encoded one by one, whole, so that repeated rows are as good as any. An empty
+    table stays empty."""
     return bpe.encode_checked(docs)
 
 
@@ -64,13 +80,23 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. What a stage returns is written to the shared folder and read again."""
+    """All stages over documents. What a stage returns is written to the shared folder and read again; when the next stage is written,
+    it is removed."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{k}_{name}")
-            docs = spark.read.parquet(f"{folder}/{k}_{name}")
+            path = f"{folder}/{k}_{name}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if last:
+                _remove(spark, last)
+            last = path
     return docs
