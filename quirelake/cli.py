@@ -28,6 +28,9 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--profile", default="textbook", choices=sorted(P.PROFILES))
         p.add_argument("--out", default="out")
         p.add_argument("--from", dest="start", default="extract", choices=corpus.STAGES)
+        p.add_argument("--pages", help="2-4, 5 or 7-")
+        p.add_argument("--parser", help="the first available one that the diagnosis names, if not given")
+        p.add_argument("--force", action="store_true", help="run without a diagnosis")
     p = sub.add_parser("crosscheck")
     p.add_argument("a")
     p.add_argument("b")
@@ -40,10 +43,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("quirelake").getOrCreate()
     if args.verb == "crosscheck":
         tally = lambda root: validate.mnemonic_inventory(S.markdown_corpus(spark, root).select("name", "text")).select(F.col("body").alias("term"), "n")
-        pairs = validate.near_misses(tally(args.a), tally(args.b)).orderBy("distance", "x").collect()
-        for r in pairs:
-            print(f"[{r.x}] [{r.y}] {r.distance}")
-        return int(bool(pairs))
+        a, b = tally(args.a).cache(), tally(args.b).cache()
+        pairs = validate.near_misses(a, b)
+        text = sinks.crosscheck_report(validate.crosscheck_terms(a, b), pairs)
+        sinks.write_text(spark, f"{args.a.rstrip('/')}/_reports/crosscheck.md", text)
+        print(text)
+        return int(pairs.limit(1).count() > 0)
     rules = P.profile(args.profile)
     if args.verb == "validate":
         files = S.markdown_corpus(spark, args.path).select("name", "text")
@@ -56,10 +61,17 @@ def main(argv: list[str] | None = None) -> int:
         print(f"nothing in {args.path}", file=sys.stderr)
         return 2
     if args.verb == "diagnose":
-        for r in diagnose.diagnose(S.text_pages(docs), rules=rules).toLocalIterator():
-            print(r.asDict())
+        diagnose.diagnose(S.text_pages(docs), rules=rules).write.mode("overwrite").parquet(f"{args.out}/_reports/diagnosis")
+        text = sinks.diagnosis_report(spark.read.parquet(f"{args.out}/_reports/diagnosis"))
+        sinks.write_text(spark, f"{args.out}/_reports/diagnosis.md", text)
+        print(text)
         return 0
-    verdict = corpus.run(spark, docs, args.out, rules, args.start)
+    found = diagnose.stored(spark, f"{args.out}/_reports/diagnosis", docs)
+    if found is None and not args.force and args.start == "extract":
+        print(f"no diagnosis of all documents; run: quirelake diagnose {args.path} --out {args.out}, or use --force", file=sys.stderr)
+        return 2
+    parser = args.parser or parsers.pick_parser(["textfile"]).name  # files of text need no other
+    verdict = corpus.run(spark, docs, args.out, rules, args.start, pages=args.pages, parser=parser)
     print(verdict)
     return int(verdict == "FAIL")
 

@@ -151,6 +151,18 @@ def context_of(t: Column, start: Column, length: Column, width: int = 30) -> Col
     return F.concat(F.lit("…"), left, F.lit("〖"), F.substring(t, start, length), F.lit("〗"), F.substring(t, start + length, F.lit(width)), F.lit("…"))
 
 
+def placed_matches(t: Column, pattern: str) -> Column:
+    """array<struct<at, hit>> of all matches of a pattern with their places, from 1."""
+    pieces, hits = F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0))
+    both = F.array(F.struct(F.transform(pieces, lambda p: F.char_length(p)).alias("p"), hits.alias("h")))
+
+    def placed(x: Column) -> Column:
+        add = lambda a, n: a + n
+        return F.transform(x["h"], lambda h, i: F.struct((F.aggregate(F.slice(x["p"], F.lit(1), i + 1), F.lit(1), add) + F.char_length(F.array_join(F.slice(x["h"], F.lit(1), i), ""))).alias("at"), h.alias("hit")))
+
+    return F.get(F.transform(both, lambda x: placed(x)), F.lit(0))
+
+
 def blockquote(t: Column) -> Column:
     return F.regexp_replace(t, "(?m)^", "> ")
 

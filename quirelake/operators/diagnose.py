@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirelake.functions import patterns as P
@@ -69,3 +70,14 @@ def diagnose(pages: DataFrame, columns: DataFrame | None = None, rules: Rules =
     order = F.create_map(*[x for k, v in PARSERS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     hint = F.when(F.col("problem_pages") >= 2, "casebook").when(F.col("sidenotes") > 0, "textbook").when(F.col("doc_id").cast("string").rlike("사례|case"), "casebook").otherwise("textbook")
     return out.withColumn("parser_key", key).withColumn("parser_order", order[F.col("parser_key")]).withColumn("profile_hint", hint)
+
+
+def stored(spark: SparkSession, path: str, docs: DataFrame) -> DataFrame | None:
+    """The stored diagnosis at path joined to docs by doc_id, if it has all of them, else None."""
+    try:
+        known = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    ids = docs.select(F.col("doc_id").cast("string").alias("doc_id")).distinct()
+    known = known.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return known.join(ids, "doc_id", "left_semi") if ids.join(known, "doc_id", "left_anti").limit(1).count() == 0 else None

@@ -39,6 +39,13 @@ def palette_counts(spans: DataFrame, distance: float = 60.0) -> DataFrame:
     return rows.groupBy("doc_id", "hex").agg(F.count(F.lit(1)).alias("spans"), F.sum(F.char_length(F.trim("text"))).alias("chars"))
 
 
+def palette_samples(spans: DataFrame, distance: float = 60.0, most: int = 5) -> DataFrame:
+    """doc_id, hex, page_no, text of the first `most` spans of each representative colour."""
+    rows = spans.where(F.trim("text") != "").join(palette(spans, distance), ["doc_id", "rgb"])
+    w = Window.partitionBy("doc_id", "hex").orderBy("page_no", "line_no", "span_no")
+    return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).select("doc_id", "hex", "page_no", F.trim("text").alias("text"))
+
+
 def margin_notes(spans: DataFrame, width: float, ratio: float = 0.78) -> tuple[DataFrame, DataFrame]:
     """(spans without margin notes, notes: doc_id, page_no, note_no, text, y)."""
     note = (F.col("x0") >= width * ratio) & F.trim("text").rlike(SIDE_NOTE)

@@ -308,9 +308,146 @@ def test_batch_pipeline(spark, tmp_path):
     text = "<!-- page 1 -->\n제1장 총칙\n본문이다. 판례＜74다1557) 참조\n<!-- page 2 -->\n제2장 다음\n끝이다."
     docs = spark.createDataFrame([("book", text)], "doc_id string, text string")
     assert corpus.run(spark, docs, str(tmp_path)) in ("PASS", "WARN")
-    files = spark.read.parquet(f"{tmp_path}/04_files").orderBy("part").collect()
+    files = spark.read.parquet(f"{tmp_path}/06_files").orderBy("part").collect()
+    assert not any("PENDING" in f.content for f in files) and all("validation: " in f.content for f in files)
     assert [f.name for f in files] == ["01_제1장총칙.md", "02_제2장다음.md"] and "판례(74다1557) 참조" in files[0].content
     assert corpus.run(spark, docs, str(tmp_path), start="split") in ("PASS", "WARN")
+    assert spark.read.parquet(f"{tmp_path}/06_files").count() == 2
+    corpus.run(spark, docs, str(tmp_path / "b"), pages="2")
+    assert [f.name for f in spark.read.parquet(f"{tmp_path}/b/06_files").collect()] == ["01_제2장다음.md"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quirelake import cli
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/book.txt").write_text("제1장 총칙\n본문이다. [확객시전] 74다1557\n")
+    out = str(tmp_path / "out")
+    assert cli.main(["run", str(tmp_path / "in"), "--out", out]) == 2  # no diagnosis
+    assert cli.main(["run", str(tmp_path / "in"), "--out", out, "--force"]) == 0
+    assert cli.main(["diagnose", str(tmp_path / "in"), "--out", out]) == 0
+    assert "book.txt" in (tmp_path / "out/_reports/diagnosis.md").read_text()
+    assert cli.main(["run", str(tmp_path / "in"), "--out", out]) == 0
+    files = spark.read.parquet(f"{out}/06_files")
+    for side, word in (("a", "[확객시전]"), ("b", "[확객시젼]")):
+        rows = files.select(F.concat(F.lit("sub/"), "name").alias("name"), F.replace("content", F.lit("[확객시전]"), F.lit(word)).alias("content"))
+        assert sinks.write_files(rows, f"{tmp_path}/{side}") == 1
+        assert (tmp_path / side / "sub/01_제1장총칙.md").exists()
+    assert cli.main(["crosscheck", f"{tmp_path}/a", f"{tmp_path}/b"]) == 1
+    assert "| `[확객시전]` | `[확객시젼]` | 1 |" in (tmp_path / "a/_reports/crosscheck.md").read_text()
+    assert cli.main(["validate", f"{tmp_path}/a"]) == 0
+
+
+def test_contexts_have_both_sides(spark):
+    files = spark.createDataFrame([("b.md", "x 74다1557 y\n74다1557 z [확객시전]"), ("a.md", "---\nq\n---\n" + "[확객시전] " * 25), ("c.md", None)], "name string, text string")
+    got = sorted((r.pos, r.case_id, r.context) for r in V.case_hits(files).collect())
+    assert got == [(0, "74다1557", "…x 〖74다1557〗 y⏎74다1557 z [확객시전]…"), (1, "74다1557", "…x 74다1557 y⏎〖74다1557〗 z [확객시전]…")]
+    seen = V.mnemonic_contexts(files).collect()
+    assert len(seen) == 20 and {r.name for r in seen} == {"a.md"} and all("〖[확객시전]〗" in r.context for r in seen)
+
+
+def test_change_log_equals_a_scan(spark):
+    """Fixes of case numbers, in the order of a scan from left to right."""
+    import re
+
+    rnd = random.Random(3)
+    bits = ["91 다 43695", "74다1557", "2019다 223723", "＜", "〉", "*", " ＊", " ", "와 ", "]", "(", ")", "가", "{", "7", "x"]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(1, 8))) for _ in range(600)]
+    rules = P.TEXTBOOK
+    loose = re.compile(rules.case_loose.removeprefix("(?U)"))
+
+    def scan(text):
+        out, at, log = "", 0, []
+        for m in loose.finditer(text):
+            gap, fixed = text[at : m.start()], "".join(m.groups())
+            if fixed != m[0]:
+                log.append(("space", m[0], fixed))
+            head = gap.rstrip(" ")
+            if head and head[-1] in P.OPEN_BRACKETS and head[-1] != "(":
+                log.append(("bracket", head[-1] + m[0], "(" + fixed))
+                gap = head[:-1] + "(" + gap[len(head) :]
+            out, at = out + gap + fixed, m.end()
+            if star := re.match(rf"\s*[{re.escape(''.join(P.STARS))}]", text[at:]):
+                if star[0] != "*":
+                    log.append(("star", fixed + star[0], fixed + "*"))
+                out, at = out + "*", at + star.end()
+            close = re.match(r"\s*(.)", text[at:])
+            if close and close[1] in P.CLOSE_BRACKETS and close[1] != ")":
+                log.append(("bracket", fixed + close[0], fixed + ")"))
+                out, at = out + ")", at + close.end()
+        return out + text[at:], log
+
+    one = F.struct(F.col("text").alias("t"), F.array().cast(f"array<{normalize.CHANGE}>").alias("c"))
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", normalize.case_numbers(one, rules).alias("r")).collect()
+    for r in rows:
+        assert (r.r.t, [(c.kind, c.before, c.after) for c in r.r.c]) == scan(r.text), r.text
+
+
+def test_pdf_parts(spark, monkeypatch):
+    """The scans for metadata, bookmarks, links, images and rules, on a stand-in for the library."""
+    import sys
+    import types
+
+    import pandas as pd
+
+    class Page:
+        number = 0
+
+        def get_links(self):
+            return [{"from": (1, 2, 3, 4), "uri": "http://e.org"}, {"from": (0, 0, 1, 1)}]
+
+        def get_images(self, full):
+            return [(7, 0)]
+
+        def get_image_rects(self, xref):
+            return [(5, 6, 7, 8)]
+
+        def get_drawings(self):
+            return [{"items": [("l", (10, 50), (110, 50)), ("re", (10, 10, 60, 40)), ("c", 0), ("re", (0, 0, 1, 1))]}]
+
+    class Doc:
+        metadata, needs_pass = {"title": "T", "author": ""}, False
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            return False
+
+        def __iter__(self):
+            return iter([Page()])
+
+        def get_toc(self):
+            return [[1, "One", 1]]
+
+        def extract_image(self, xref):
+            return {"ext": "png", "image": b"x"}
+
+    def open_(stream, filetype):
+        if stream == b"bad":
+            raise RuntimeError("broken")
+        return Doc()
+
+    monkeypatch.setitem(sys.modules, "pymupdf", types.SimpleNamespace(open=open_))
+    got = list(parsers._pdf_parts(iter([pd.DataFrame({"path": ["a", "b"], "content": [b"good", b"bad"]})])))
+    assert list(got[0]["kind"]) == ["metadata", "bookmark", "link", "image", "rule", "rule", "rule"] and list(got[1]["error"]) == ["open: broken"]
+    rows = [tuple(None if pd.isna(v) else v for v in r) for r in got[0].itertuples(index=False)]
+    rows = [(r[0], None if r[1] is None else int(r[1]), r[2], int(r[3]), *(None if v is None else float(v) for v in r[4:8]), r[8], None if r[9] is None else int(r[9]), *r[10:]) for r in rows]
+    tables = parsers.part_tables(spark.createDataFrame(rows, parsers.PARTS))
+    assert [tuple(r) for r in tables["rules"].orderBy("orient", "pos").collect()] == [("a", 0, "h", 10.0, 10.0, 60.0), ("a", 0, "h", 40.0, 10.0, 60.0), ("a", 0, "h", 50.0, 10.0, 110.0), ("a", 0, "v", 10.0, 10.0, 40.0), ("a", 0, "v", 60.0, 10.0, 40.0)]
+    assert tables["links"].first().uri == "http://e.org" and tables["images"].first().ext == "png" and tables["toc"].first().title == "One"
+
+
+def test_reports(spark):
+    from quirelake.operators import spans as W
+
+    rows = [("d", 1, k, 0, t, c) for k, (t, c) in enumerate([("body", 0), ("red", 0xCC0000), ("red too", 0xC80404), ("blue", 0x0000CC), (" ", 0xCC0000)])]
+    df = spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, span_no int, text string, rgb int")
+    text = sinks.palette_report(W.palette_counts(df), W.palette_samples(df), 5)
+    assert "colours after merging: 2" in text and "| `#cc0000` | 2 | 10 | 66.7% |" in text and "- p.1 red too" in text
+    assert sinks.index_text(["b.md", "a.md"]) == "# Reports\n\n- [a.md](a.md)\n- [b.md](b.md)\n"
+    pages = parsers.element_pages(spark.createDataFrame([("d", 2, 1, "b"), ("d", 2, 0, "a"), ("d", None, 0, "c")], "doc_id string, page int, seq int, markdown string"))
+    assert sorted((r.page_no, r.text) for r in pages.collect()) == [(1, "c"), (2, "a\nb")]
 
 
 def test_streaming(spark, tmp_path):
