@@ -29,8 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def planted(df: DataFrame, number: Column, given: list[str], between: str) -> DataFrame:
     """df with one of the given strings put after each text, in turn by number."""
-    of = F.element_at(F.array(*map(F.lit, given)), (number % len(given) + 1).cast("int"))
-    return df.withColumn("text", F.concat("text", F.lit(between), of))
+    return df.withColumn("text", F.concat("text", F.lit(between), in_turn(number, given)))
+
+
+def in_turn(number: Column, given: list) -> Column:
+    return F.element_at(F.array(*map(F.lit, given)), (number % len(given) + 1).cast("int"))
 
 
 def sql_value(v) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quirelake.operators import geometry as G
 from quirelake.operators import render as R
 from quirelake.operators import spans as L
-from quirelake.plans.base import LAYOUT_SQL, layout_lines, query, table
+from quirelake.plans.base import LAYOUT_SQL, in_turn, layout_lines, query, sql_rows, table
 
 
 def _layout(spark, sf_dir):
@@ -54,11 +54,14 @@ def nearest_sidenote(spark, sf_dir):
     return G.nearest_notes(heads, notes)
 
 
-@query("SELECT * FROM (VALUES (1, 'b'), (2, 'a')) AS v(heading_no, text)")
+@query(f"WITH {LAYOUT_SQL} SELECT doc_id, page_no, h AS heading_no, t || page_no AS text FROM (SELECT DISTINCT doc_id, page_no FROM layout), (VALUES (1, 'b'), (2, 'a')) AS v(h, t)")
 def sidenotes_are_used_once(spark, sf_dir):
-    heads = spark.createDataFrame([("d", 0, 1, 100.0), ("d", 0, 2, 105.0), ("d", 0, 3, 107.0)], "doc_id string, page_no int, heading_no int, y double")
-    notes = spark.createDataFrame([("d", 0, 0, 94.0, "a"), ("d", 0, 1, 103.0, "b"), ("d", 0, 2, 300.0, "c")], "doc_id string, page_no int, note_no int, y double, text string")
-    return G.nearest_notes(heads, notes).select("heading_no", "text")
+    """Three headings and three notes on each page: the first takes the nearest, the second what is left, the third none."""
+    pages = _layout(spark, sf_dir).select("doc_id", "page_no").distinct().withColumn("y", (F.col("page_no") * 3).cast("double"))
+    heads = pages.select("doc_id", "page_no", "y", F.posexplode(F.array(*map(F.lit, [100.0, 105.0, 107.0]))).alias("k", "at")).select("doc_id", "page_no", (F.col("k") + 1).alias("heading_no"), (F.col("y") + F.col("at")).alias("y"))
+    notes = pages.select("doc_id", "page_no", "y", F.posexplode(F.array(*map(F.lit, [94.0, 103.0, 300.0]))).alias("note_no", "at"))
+    text = F.concat(F.element_at(F.array(*map(F.lit, "abc")), F.col("note_no") + 1), F.col("page_no").cast("string"))
+    return G.nearest_notes(heads, notes.select("doc_id", "page_no", "note_no", (F.col("y") + F.col("at")).alias("y"), text.alias("text")))
 
 
 @query(f"""
@@ -81,9 +84,20 @@ def _grid(spark, sf_dir):
     return spans, spark.createDataFrame(rules, "doc_id string, page_no int, orient string, pos double, lo double, hi double")
 
 
-@query("SELECT CAST(0 AS INT) AS grid_no, [50.0, 150.0, 250.0, 350.0, 450.0, 550.0]::DOUBLE[] AS xs, [100.0, 140.0, 180.0, 220.0, 260.0, 300.0]::DOUBLE[] AS ys")
+@query("""
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, 2 + doc_id % 4 AS r, 2 + doc_id % 3 AS c, 50.0 + doc_id % 20 AS x, 100.0 + n_chars % 300 AS y FROM documents)
+SELECT doc_id, CAST(0 AS INT) AS grid_no, list_transform(range(0, c + 1), lambda k: x + 100 * k)::DOUBLE[] AS xs, list_transform(range(0, r + 1), lambda k: y + 40 * k)::DOUBLE[] AS ys FROM d
+""")
 def find_grids(spark, sf_dir):
-    return G.find_grids(_grid(spark, sf_dir)[1]).select("grid_no", "xs", "ys")
+    """One grid a document, its size and place from the document's number and length, with a doubled and a stray rule."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), (2 + F.col("doc_id") % 4).alias("r"), (2 + F.col("doc_id") % 3).alias("c"), (50.0 + F.col("doc_id") % 20).alias("x"), (100.0 + F.col("n_chars") % 300).alias("y"))
+    rule = lambda orient, pos, lo, hi: F.struct(F.lit(orient).alias("orient"), pos.cast("double").alias("pos"), lo.cast("double").alias("lo"), hi.cast("double").alias("hi"))
+    right, foot = F.col("x") + 100 * F.col("c"), F.col("y") + 40 * F.col("r")
+    rows = F.transform(F.sequence(F.lit(0).cast("long"), F.col("r")), lambda k: rule("h", F.col("y") + 40 * k, F.col("x"), right))
+    columns = F.transform(F.sequence(F.lit(0).cast("long"), F.col("c")), lambda k: rule("v", F.col("x") + 100 * k, F.col("y"), foot))
+    more = F.array(rule("h", F.col("y") + 1, F.col("x") + 10, right), rule("h", F.lit(790.0), F.lit(0.0), F.lit(10.0)))
+    rules = d.select("doc_id", F.lit(0).alias("page_no"), F.explode(F.concat(rows, columns, more)).alias("q")).select("doc_id", "page_no", "q.*")
+    return G.find_grids(rules).select("doc_id", "grid_no", "xs", "ys")
 
 
 @query("""
@@ -117,75 +131,117 @@ def table_html(spark, sf_dir):
     return _nations(spark, sf_dir).select("n_nationkey", R.table_html(F.col("rows")).alias("html"), R.table_text(F.col("rows")).alias("txt"))
 
 
-@query("SELECT * FROM (VALUES (0, 0), (1, 1), (3, 2), (5, 3), (2, 4), (4, 5), (6, 6), (7, 7)) AS v(elem_no, place)")
+#: element, box, place: a full-width title, two columns of three, a full-width foot
+_BOXES = [(0, 50, 40, 550, 60, 0), (1, 50, 100, 270, 120, 1), (2, 320, 100, 550, 120, 4), (3, 50, 130, 270, 150, 2), (4, 320, 130, 550, 150, 5), (5, 50, 160, 270, 180, 3), (6, 320, 160, 550, 180, 6), (7, 50, 700, 550, 720, 7)]
+
+
+@query(f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, e AS elem_no, p AS place FROM documents, (VALUES {', '.join(f'({b[0]}, {b[5]})' for b in _BOXES)}) AS v(e, p)")
 def gutter_split(spark, sf_dir):
-    """A full-width title, two columns of three and four, a full-width foot."""
-    rows = [(0, 50, 40, 550, 60), (1, 50, 100, 270, 120), (2, 320, 100, 550, 120), (3, 50, 130, 270, 150), (4, 320, 130, 550, 150), (5, 50, 160, 270, 180), (6, 320, 160, 550, 180), (7, 50, 700, 550, 720)]
-    df = spark.createDataFrame([("d", 0, *map(float, r[1:]), r[0]) for r in rows], "doc_id string, page_no int, x0 double, y0 double, x1 double, y1 double, elem_no int")
-    return G.reading_order(df, 595.0).select("elem_no", "place")
+    """Each document as a page of eight boxes, moved and narrowed by its number."""
+    d = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 17).alias("dy"), (F.col("n_chars") % 9).alias("dx"))
+    at = F.explode(F.array(*[F.array(*[F.lit(float(v)) for v in b[:5]]) for b in _BOXES])).alias("b")
+    b = lambda k: F.col("b")[k]
+    boxes = d.select("doc_id", "dx", "dy", at).select("doc_id", F.lit(0).alias("page_no"), b(0).cast("int").alias("elem_no"), (b(1) + F.col("dx")).alias("x0"), (b(2) + F.col("dy")).alias("y0"), b(3).alias("x1"), (b(4) + F.col("dy")).alias("y1"))
+    return G.reading_order(boxes, 595.0).select("doc_id", "elem_no", "place")
 
 
-@query("SELECT span_no::BIGINT AS span_no, text, style FROM (VALUES (0, 'AB ', 'r'), (1, 'C', 'b'), (2, 'D', 'b')) AS v(span_no, text, style)")
+@query("""
+WITH g AS (SELECT p_partkey, CAST(generate_subscripts(c, 1) - 1 AS INT) AS seq, unnest(c) AS ch FROM (SELECT p_partkey, string_split(p_name, '') AS c FROM part)),
+s AS (SELECT *, CASE WHEN regexp_matches(ch, '[aeiou]') THEN 'b' ELSE 'r' END AS style FROM g),
+n AS (SELECT *, CASE WHEN seq = 0 OR style <> lag(style) OVER w OR seq % 7 = 0 THEN 1 ELSE 0 END AS new FROM s WINDOW w AS (PARTITION BY p_partkey ORDER BY seq)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY p_partkey ORDER BY seq) - 1 AS span_no FROM n)
+SELECT CAST(p_partkey AS VARCHAR) AS doc_id, span_no::BIGINT AS span_no, string_agg(ch, '' ORDER BY seq) AS text, any_value(style) AS style FROM i GROUP BY p_partkey, span_no
+""")
 def glyph_spans(spark, sf_dir):
-    rows = [("d", 0, 0, k, ch, x, x + 5.0, 10.0, st) for k, (ch, x, st) in enumerate([("A", 0.0, "r"), ("B", 5.0, "r"), (" ", 10.0, "r"), ("C", 15.0, "b"), ("D", 40.0, "b")])]
-    return G.spans_to_lines(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, seq int, ch string, x0 double, x1 double, size double, style string")).select("span_no", "text", "style")
+    """Names of parts as glyphs: vowels in another style, a wide gap after every seventh."""
+    g = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("doc_id"), F.posexplode(F.split("p_name", "")).alias("seq", "ch"))
+    x = 5.0 * F.col("seq") + 20.0 * F.floor(F.col("seq") / 7)
+    style = F.when(F.col("ch").rlike("[aeiou]"), "b").otherwise("r")
+    glyphs = g.select("doc_id", F.lit(0).alias("page_no"), F.lit(0).alias("line_no"), "seq", "ch", x.alias("x0"), (x + 5).alias("x1"), F.lit(10.0).alias("size"), style.alias("style"))
+    return G.spans_to_lines(glyphs).select("doc_id", "span_no", "text", "style")
 
 
-@query("""
-SELECT page_id, '<p><strong>' || replace(replace(replace(replace(translate(url, '_*', '--'), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') || '</strong></p>' AS html FROM pages
+def _html_sql(c: str) -> str:
+    return f"replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+_PLAIN = "translate(regexp_replace(url, '[^A-Za-z0-9:/.&?=-]', '', 'g'), '_*', '--')"
+
+
+@query(f"""
+WITH p AS (SELECT page_id, {_PLAIN} AS u FROM pages), e AS (SELECT page_id, u, {_html_sql("u")} AS h FROM p)
+SELECT page_id, '<h2>Page ' || page_id || '</h2>' || chr(10) || '<p>see <a href="' || h || '" target="_blank" rel="noopener"><strong>' || h || '</strong></a><br>and <code>' || h || '</code></p>' || chr(10)
+  || '<ul><li>' || h || '<ul><li><em>a</em></li></ul></li><li>b</li></ul>' || chr(10) || '<pre><code>' || h || chr(10) || '  **x**</code></pre>' || chr(10) || '<blockquote><p>' || h || '</p></blockquote>' || chr(10) || '<hr>' || chr(10)
+  || '<table><thead><tr><th>u</th><th>n</th></tr></thead><tbody><tr><td>' || h || '</td><td>' || page_id || '</td></tr></tbody></table>' AS html FROM e
 """)
 def render_markdown_html(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", R.render_html(F.concat(F.lit("**"), F.translate("url", "_*", "--"), F.lit("**"))).alias("html"))
+    u, n = F.regexp_replace("url", "[^A-Za-z0-9:/.&?=-]", ""), F.col("page_id").cast("string")
+    md = F.format_string("## Page %s\n\nsee [**%s**](%s)\nand `%s`\n\n- %s\n  - *a*\n- b\n\n```\n%s\n  **x**\n```\n> %s\n\n---\n\n| u | n |\n|---|---|\n| %s | %s |\n", n, u, u, u, u, u, u, u, n)
+    return table(spark, sf_dir, "pages").select("page_id", R.render_html(md).alias("html"))
 
 
 @query("""
-SELECT doc_id, regexp_replace(text, '\\n', chr(10) || chr(10), 'g') AS tidy FROM documents
+SELECT doc_id, regexp_replace(text, '\\n', chr(10) || chr(10), 'g') || concat_ws(chr(10), '', '', '- a', '- b', '1. c', '', 'd', '```', '', '', '', '- e', '', '- f', '```', '', 'g') AS tidy FROM documents
 """)
 def tidy_blank_lines(spark, sf_dir):
+    """Text with blank lines, a list and a fence after it."""
+    tail = F.lit("\n\n\n- a\n\n- b\n\n\n1. c\n\n\nd\n```\n\n\n\n- e\n\n- f\n```\n\n\n\ng")
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", R.tidy_markdown(F.regexp_replace("text", "\n", "\n\n\n\n")).alias("tidy"))
+    return d.select("doc_id", R.tidy_markdown(F.concat(F.regexp_replace("text", "\n", "\n\n\n\n"), tail)).alias("tidy"))
 
 
 @query()
 def zip_bundle(spark, sf_dir):
-    """A ZIP of the documents of each source."""
-    d = table(spark, sf_dir, "documents")
-    files = d.select(F.col("source").alias("bundle"), F.col("doc_id").alias("seq"), F.concat("lang", F.lit(".md")).alias("name"), F.col("text").cast("binary").alias("content"))
+    """A ZIP of the turns of each conversation."""
+    d = table(spark, sf_dir, "conversations")
+    files = d.select(F.col("conv_id").alias("bundle"), F.col("turn").alias("seq"), F.concat("role", F.lit(".md")).alias("name"), F.col("text").cast("binary").alias("content"))
     return R.zip_bundles(files).select("bundle", F.octet_length("content").alias("n_bytes"), F.sha2("content", 256).alias("digest"))
 
 
-_SPANS = "doc_id string, page_no int, line_no int, span_no int, text string, x0 double, y0 double, x1 double, y1 double, size double, bold boolean, rgb int, origin_y double"
+#: Colours of lines in turn: two near blues, grey, red, black.
+_COLOURS = [0x1F4E9C, 0x2050A0, 0x808080, 0xD02020, 0]
 
 
-def _span(line, span, text, x, size=10.0, bold=False, rgb=0, rise=0.0):
-    y = 100.0 + 14 * line
-    return ("d", 0, line, span, text, x, y, x + 5.0 * len(text), y + 10, size, bold, rgb, y + 8 - rise)
+def _spans(spark, sf_dir):
+    """Each line as spans: its text in a colour, a word, a small raised number, and on some lines a margin note."""
+    lines = _layout(spark, sf_dir).withColumn("rgb", in_turn(F.col("doc_id") + F.col("line_no"), _COLOURS))
+    span = lambda k, t, x, size, bold, rgb, rise: F.struct(F.lit(k).alias("span_no"), t.alias("text"), F.lit(x).alias("x0"), F.lit(size).alias("size"), F.lit(bold).alias("bold"), rgb.alias("rgb"), F.lit(rise).alias("rise"))
+    black, n = F.lit(0), (F.col("line_no") + 1).cast("string")
+    note = F.when(F.col("line_no") % 4 == 1, span(4, F.concat(F.lit("sE-"), n), 520.0, 10.0, False, black, 0.0))
+    parts = F.array(span(0, F.rtrim("text"), 55.0, 10.0, False, F.col("rgb"), 0.0), span(1, F.lit(" 본문"), 60.0, 10.0, False, black, 0.0), span(2, F.lit("굵게 "), 70.0, 10.0, True, black, 0.0), span(3, n, 82.0, 6.5, False, black, 3.0), note)
+    rows = lines.select("doc_id", "page_no", "line_no", "y0", F.explode(F.filter(parts, lambda s: s.isNotNull())).alias("s")).select("doc_id", "page_no", "line_no", "y0", "s.*")
+    return rows.withColumn("x1", F.col("x0") + 5).withColumn("y1", F.col("y0") + 10).withColumn("origin_y", F.col("y0") + 8 - F.col("rise"))
 
 
-def _spans(spark):
-    rows = [
-        _span(0, 0, "청", 55.0, rgb=0x1F4E9C), _span(0, 1, "구 ", 60.0, rgb=0x2050A0), _span(0, 2, "취지", 70.0), _span(0, 3, "264", 82.0, 6.5, rise=3.0), _span(0, 4, "sE-8", 520.0),
-        _span(1, 0, "굵게", 55.0, bold=True), _span(1, 1, " 회색", 70.0, rgb=0x808080), _span(1, 2, "빨강", 90.0, rgb=0xD02020), _span(2, 0, "sE-9", 520.0), _span(3, 0, "본문", 55.0),
-    ]
-    return spark.createDataFrame(rows, _SPANS)
+_COLOURED = f"""
+{LAYOUT_SQL}, {sql_rows("colours", "k, rgb", list(enumerate(_COLOURS)))},
+c AS (SELECT doc_id, page_no, line_no, y0, rtrim(text) AS t, rgb FROM layout JOIN colours ON k = (doc_id + line_no) % {len(_COLOURS)}),
+blue AS (SELECT doc_id, min_by(rgb, line_no) AS rep FROM c WHERE rgb IN ({_COLOURS[0]}, {_COLOURS[1]}) AND trim(t) <> '' GROUP BY doc_id)
+"""
 
 
-@query("SELECT hex, spans::BIGINT AS spans, chars::BIGINT AS chars FROM (VALUES ('#1f4e9c', 2, 2), ('#d02020', 1, 2)) AS v(hex, spans, chars)")
+@query(f"""
+WITH {_COLOURED}
+SELECT doc_id, '#' || lpad(lower(to_hex(CASE WHEN rgb = {_COLOURS[3]} THEN rgb ELSE rep END)), 6, '0') AS hex, count(*) AS spans, sum(length(trim(t)))::BIGINT AS chars
+FROM c LEFT JOIN blue USING (doc_id) WHERE rgb NOT IN (0, {_COLOURS[2]}) AND trim(t) <> '' GROUP BY ALL
+""")
 def palette_counts(spark, sf_dir):
-    return L.palette_counts(_spans(spark)).select("hex", "spans", "chars")
+    return L.palette_counts(_spans(spark, sf_dir)).select("doc_id", "hex", "spans", "chars")
 
 
-@query("SELECT * FROM (VALUES (0, 'sE-8', 100.0::DOUBLE), (2, 'sE-9', 128.0::DOUBLE)) AS v(note_no, text, y)")
+@query(f"WITH {LAYOUT_SQL} SELECT doc_id, page_no, line_no AS note_no, 'sE-' || (line_no + 1) AS text, y0 AS y FROM layout WHERE line_no % 4 = 1")
 def margin_notes(spark, sf_dir):
-    return L.margin_notes(_spans(spark), 595.0)[1].select("note_no", "text", "y")
+    return L.margin_notes(_spans(spark, sf_dir), 595.0)[1].select("doc_id", "page_no", "note_no", "text", "y")
 
 
-@query("SELECT * FROM (VALUES (0, '==청구== 취지[^264]', [264], false), (1, '**굵게** 회색==빨강==', CAST([] AS INT[]), false), (3, '본문', CAST([] AS INT[]), false)) AS v(line_no, text, sup_numbers, bold)")
+@query(f"""
+WITH {_COLOURED}, m AS (SELECT *, CASE WHEN rgb NOT IN (0, {_COLOURS[2]}) AND trim(t) <> '' THEN regexp_extract(t, '^(\\s*)', 1) || '==' || trim(t) || '==' WHEN trim(t) = '' THEN '' ELSE t END AS shown FROM c)
+SELECT doc_id, page_no, line_no, shown || ' 본문**굵게** [^' || (line_no + 1) || ']' AS text, [line_no + 1]::INT[] AS sup_numbers, false AS bold FROM m
+""")
 def marked_lines(spark, sf_dir):
-    kept, _ = L.margin_notes(_spans(spark), 595.0)
-    bodies = spark.createDataFrame([("d", 10.0)], "doc_id string, body_size double")
-    return L.marked_lines(kept, bodies).select("line_no", "text", "sup_numbers", "bold")
+    spans = _spans(spark, sf_dir)
+    kept, _ = L.margin_notes(spans, 595.0)
+    return L.marked_lines(kept, spans.select("doc_id").distinct().withColumn("body_size", F.lit(10.0))).select("doc_id", "page_no", "line_no", "text", "sup_numbers", "bold")
 
 
 @query(f"""

