@@ -226,7 +226,7 @@ def apply_edits(trees: DataFrame, *, id_col: str = "doc_id", edits_col: str, ran
             rows = []
             for t, stored, edits in zip(b.column(1), b.column(2), b.column(3).to_pylist(), strict=True):
                 tree = CountTree(t.as_py(), counter, stored=stored.as_py())
-                before, touched = (len(tree.text), tree.pieces, tree.tokens), tree.encoded
+                before, touched = (len(tree.text), tree.pieces, tree.tokens), 0
                 for e in edits or ():
                     if e is not None:
                         tree.edit(e["start"] or 0, e["stop"] or 0, e["new"] or "")
@@ -241,9 +241,9 @@ def apply_edits(trees: DataFrame, *, id_col: str = "doc_id", edits_col: str, ran
 
 
 def count_edited(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits_col: str, **options) -> DataFrame:
-    """Counts of every text before and after its edits: trees are built, then edited as stored ones are."""
-    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(edits_col).alias("edits"))
-    out = apply_edits(build_trees(plain, id_col="id", carry=("edits",), **options), id_col="id", edits_col="edits", **{k: v for k, v in options.items() if k != "leaf"})
+    """Counts of every text before and after its edits. Trees are built where they are edited, in one worker."""
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast("binary").alias("tree"), F.col(edits_col).alias("edits"))
+    out = apply_edits(plain, id_col="id", edits_col="edits", **options)
     return out.select(F.col("id").alias(id_col), *(x.split()[0] for x in EDITED.split(", ")), F.sha2("text", 256).alias("edited_sha256"))
 
 

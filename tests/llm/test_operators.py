@@ -543,6 +543,28 @@ def test_exact(docs, rows, full, monkeypatch):
     assert sorted(hashlib.sha256(low(r.text or "").encode()).hexdigest() for r in left.collect()) == sorted(groups)
 
 
+def test_suspects_hold_all_repeats(spark):
+    rnd = random.Random(5)
+    hashes = [rnd.randrange(-(1 << 63), 1 << 63) for _ in range(6000)]
+    rows = hashes + hashes[:300] + hashes[:40] * 5 + [hashes[0]] * 3000
+    df = spark.createDataFrame([(h,) for h in rows], "h long").repartition(7)
+    for cells in (1 << 25, 1 << 14, 1 << 10):
+        found = {r.h for r in exact_dedup.suspects(df, len(rows), part_cells=cells).collect()}
+        assert set(hashes[:300]) <= found <= set(hashes)
+        assert len(found) < 400 or cells < 1 << 14
+    for limit in (32 << 20, 64):
+        maybe = exact_dedup.repeated_filter(df, len(rows), max_filter_bytes=limit)
+        kept = {r.h for r in df.where(maybe("h")).collect()}
+        assert set(hashes[:300]) <= kept and (len(kept) < 500 or limit == 64)
+
+
+def test_one_of_very_many_equal_rows(spark):
+    docs = spark.createDataFrame([(None if k % 3 else 7, "Same" if k % 2 else "same") for k in range(3000)] + [(1, "other")], "doc_id long, text string").repartition(5)
+    got = exact_dedup.duplicate_groups(docs).collect()
+    assert len(got) == 3001 and sum(r.kept for r in got) == 2 and {r.group_size for r in got} == {3000, 1} and all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert sorted(r.doc_id for r in exact_dedup.drop_duplicates(docs).collect()) == [1, 7]
+
+
 def test_exact_empty(none):
     assert exact_dedup.duplicate_groups(none).count() == 0
     assert exact_dedup.drop_duplicates(none).count() == 0
