@@ -120,31 +120,34 @@ def _with_fp(spark, sf_dir):
     return lines.withColumn("fp", fingerprint(F.col("text")))
 
 
-_FP = f"""
+def running_sql(marked: str) -> str:
+    """Common tables of running text and of what is left, of lines whose text is what the expression says."""
+    return f"""
 {LAYOUT_SQL},
-marked AS (SELECT * REPLACE (CASE WHEN doc_id % 3 = 0 AND line_no % 4 = 0 THEN 'Annual Report ' || page_no WHEN doc_id % 3 = 1 AND line_no % 4 = 3 THEN '- ' || page_no || ' -' ELSE text END AS text) FROM layout),
+marked AS (SELECT * REPLACE ({marked} AS text) FROM layout),
 fps AS (SELECT *, lower(regexp_replace(regexp_replace(text, '[0-9]+', '#', 'g'), '\\s+', '', 'g')) AS fp FROM marked),
 n AS (SELECT doc_id, max(page_no) + 1 AS pages FROM fps GROUP BY doc_id),
 running AS (SELECT doc_id, fp FROM fps JOIN n USING (doc_id) WHERE (y1 <= 84.2 OR y0 >= 757.8) AND length(text) BETWEEN 1 AND 120 AND fp <> '' AND pages >= 3
-  GROUP BY doc_id, fp HAVING count(DISTINCT page_no) >= greatest(2, ceil(any_value(pages) / 2.0)))
+  GROUP BY doc_id, fp HAVING count(DISTINCT page_no) >= greatest(2, ceil(any_value(pages) / 2.0))),
+tally AS (SELECT doc_id, size, sum(length(trim(text))) AS chars, min(line_no) AS first FROM marked WHERE length(trim(text)) > 0 GROUP BY ALL),
+body AS (SELECT doc_id, size AS body_size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, first) AS rn FROM tally) WHERE rn = 1),
+near AS (SELECT f.* FROM fps f JOIN running USING (doc_id, fp) JOIN body USING (doc_id) WHERE (y1 <= 84.2 OR y0 >= 757.8) AND size <= body_size + 0.3
+  AND NOT (regexp_matches(text, '[.。]$') AND NOT regexp_matches(text, '^[-–—\\s0-9./()]+$'))),
+gone AS (SELECT doc_id, line_no FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no, y1 <= 84.2) AS k FROM near) WHERE k <= 2),
+left_over AS (SELECT doc_id, page_no, line_no, text, size, x0 FROM fps ANTI JOIN gone USING (doc_id, line_no)
+  WHERE NOT ((y1 < 67.36 OR y0 > 774.64) AND regexp_matches(trim(text), '^[-–—\\s]*[0-9]{{1,4}}\\s*(?:/\\s*[0-9]{{1,4}})?[-–—\\s]*$')))
 """
 
 
+_FP = running_sql("CASE WHEN doc_id % 3 = 0 AND line_no % 4 = 0 THEN 'Annual Report ' || page_no WHEN doc_id % 3 = 1 AND line_no % 4 = 3 THEN '- ' || page_no || ' -' ELSE text END")
+
+
 @query(f"WITH {_FP} SELECT doc_id, fp FROM running")
 def running_text(spark, sf_dir):
     return R.running_text(_with_fp(spark, sf_dir), PAGE_HEIGHT)
 
 
-@query(f"""
-WITH {_FP},
-tally AS (SELECT doc_id, size, sum(length(trim(text))) AS chars, min(line_no) AS first FROM marked WHERE length(trim(text)) > 0 GROUP BY ALL),
-body AS (SELECT doc_id, size AS body_size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, first) AS rn FROM tally) WHERE rn = 1),
-near AS (SELECT f.* FROM fps f JOIN running USING (doc_id, fp) JOIN body USING (doc_id) WHERE (y1 <= 84.2 OR y0 >= 757.8) AND size <= body_size + 0.3
-  AND NOT (regexp_matches(text, '[.。]$') AND NOT regexp_matches(text, '^[-–—\\s0-9./()]+$'))),
-gone AS (SELECT doc_id, line_no FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, page_no, y1 <= 84.2) AS k FROM near) WHERE k <= 2)
-SELECT doc_id, line_no, text FROM fps ANTI JOIN gone USING (doc_id, line_no)
-WHERE NOT ((y1 < 67.36 OR y0 > 774.64) AND regexp_matches(trim(text), '^[-–—\\s]*[0-9]{{1,4}}\\s*(?:/\\s*[0-9]{{1,4}})?[-–—\\s]*$'))
-""")
+@query(f"WITH {_FP} SELECT doc_id, line_no, text FROM left_over")
 def strip_running(spark, sf_dir):
     lines = _with_fp(spark, sf_dir)
     return R.strip_running(lines, T.body_size(T.size_tally(lines)), PAGE_HEIGHT).select("doc_id", "line_no", "text")

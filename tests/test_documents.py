@@ -531,3 +531,20 @@ def test_pdf_parsers_need_their_libraries(monkeypatch):
         assert parsers.availability()[name] == (False, f"{name} is not installed")
     with pytest.raises(LookupError):
         parsers.pick_parser(["pymupdf", "marker", "mineru"])
+
+
+def test_bundles_hold_their_files(spark):
+    from quirelake.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = {}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        rows.setdefault(r.conv_id, []).append((f"{r.role}.md", (r.text or "").encode()))
+    want = {str(k): R.zip_bytes(list(zip(R.unique_names([n for n, _ in v]), (d for _, d in v), strict=True))) for k, v in rows.items()}
+    got = QUERIES["zip_bundle"](spark, sf).collect()
+    assert {r.bundle: r.n_bytes for r in got} == {k: len(v) for k, v in want.items()}
+    import hashlib
+
+    assert {r.bundle: r.digest for r in got} == {k: hashlib.sha256(v).hexdigest() for k, v in want.items()}
+    z = zipfile.ZipFile(BytesIO(want["0" if "0" in want else min(want)]))
+    assert sorted(z.read(n) for n in z.namelist()) == sorted(d for _, d in rows[int("0" if "0" in want else min(want))])
