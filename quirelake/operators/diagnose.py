@@ -1,4 +1,8 @@
-"""Diagnosis of a corpus before conversion: one row a document, from samples of its pages."""
+"""Diagnosis of a corpus before conversion: one row a document, from samples of its pages.
+
+Cases: null texts are pages without text. A null id is one document. Pages of equal number are ranked in any order. Documents without a
+page in the sample have no row. Of terms met as often the first in order counts. Empty tables give no rows. Other columns aren't read.
+"""
 
 from __future__ import annotations
 

@@ -1,6 +1,9 @@
 """Lines from coloured spans: margin notes apart, superscripts as references, colours and bold as marks.
 
 Spans have doc_id, page_no, line_no, span_no, text, box, size, bold, rgb and origin_y (their baseline).
+
+Cases: null and blank spans are left out, a null colour is the body's, documents without a body size have 10 points. Colours met
+at one place are taken in order of their number. Empty tables give no rows. Other columns aren't read.
 """
 
 from __future__ import annotations

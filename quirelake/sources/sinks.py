@@ -1,4 +1,8 @@
-"""Sinks: JSON lines, one file a row, ZIP bundles, reports."""
+"""Sinks: JSON lines, one file a row, ZIP bundles, reports.
+
+Cases: files without a name aren't written, null contents are empty files; of equal names the last written stays. Reports of empty tables
+have their headings only. Reports take the first rows in order, as many as they say.
+"""
 
 from __future__ import annotations
 

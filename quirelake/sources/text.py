@@ -2,6 +2,9 @@
 
 A text document is a row (doc_id, text); pages are rows (doc_id, page_no, text); lines
 are rows (doc_id, page_no, line_no, text) with line_no the place in reading order.
+
+Cases: a null text is one empty page. Ids may be null or repeat: rows are cut one by one. Blank rows of JSON lines are skipped, unknown
+keys are an error where strict. A folder without files of the kind gives no rows. Other columns aren't read.
 """
 
 from __future__ import annotations

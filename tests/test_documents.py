@@ -548,3 +548,47 @@ def test_bundles_hold_their_files(spark):
     assert {r.bundle: r.digest for r in got} == {k: hashlib.sha256(v).hexdigest() for k, v in want.items()}
     z = zipfile.ZipFile(BytesIO(want["0" if "0" in want else min(want)]))
     assert sorted(z.read(n) for n in z.namelist()) == sorted(d for _, d in rows[int("0" if "0" in want else min(want))])
+
+
+def test_odd_rows(spark):
+    """Null texts, null and repeated ids, ties, empty and very long texts, further columns, empty tables."""
+    from quirelake.functions.unicode import fingerprint
+    from quirelake.operators import diagnose as D
+    from quirelake.operators import running as U
+    from quirelake.operators import spans as W
+    from quirelake.operators import statistics as Q
+
+    layout = LINE + ", size double, x0 double, y0 double, x1 double, y1 double, block_no int, span_no int, bold boolean, rgb int, origin_y double, rn int, n int, zone string"
+    box = (10.0, 50.0, 300.0, 200.0, 312.0, 0, 0, False, 0, 308.0, 1, 2, "body")
+    top = (10.0, 50.0, 5.0, 200.0, 15.0, 0, 0, False, 0, 12.0, 1, 2, "body")
+    long = "word " * 20_000
+    rows = [("d", 0, 0, None, *top), ("d", 0, 1, "", *box), ("d", 0, 2, "text.", *box), ("d", 0, 2, "text.", *box), (None, 0, 0, "x", *box), ("d", 1, 0, long, *box), ("d", None, None, "odd", *box)]
+    df, none = spark.createDataFrame(rows, layout), spark.createDataFrame([], layout)
+    for t in (df, none):
+        some = t is df
+        tally = Q.size_tally(t)
+        bodies = Q.body_size(tally)
+        assert {r.doc_id for r in bodies.collect()} == ({"d", None} if some else set())
+        assert Q.heading_map(tally).count() == 0 and Q.indent_stops(t, bodies).count() == 0
+        assert Q.line_sizes(t, ["doc_id", "page_no"]).count() == (4 if some else 0)
+        fp = t.withColumn("fp", fingerprint(F.coalesce("text", F.lit(""))))
+        assert U.strip_running(fp, bodies, 842.0).count() == t.count() and U.trim_notice(t).count() == t.count()
+        assert sorted(len(r.text) for r in A.paragraphs(t, ["doc_id"]).collect()) == ([1, 3, 11, len(long)] if some else [])  # lines of one place are one paragraph
+        kept = normalize.normalize_lines(t)
+        assert kept.count() == (5 if some else 0) and {"changes", "rn", "zone"} <= set(kept.columns)
+        assert N.layout_footnotes(t).count() == 0 and N.plain_footnotes(t).where("kind = 'body'").count() == len(rows) * some
+        marks = N.mark_zones(t.withColumn("body_size", F.lit(10.0)), 842.0)
+        assert marks.count() == len(rows) * some
+        blocks = B.outline_documents(t)
+        assert sorted(len(r.text) for r in blocks.collect()) == ([1, 3, 5, 5, len(long.rstrip())] if some else [])
+        files = S.part_files(S.split_parts(blocks), P.TEXTBOOK, "textfile")
+        assert files.count() == (2 if some else 0)
+        assert V.validate(files.select("name", F.col("content").alias("text"))).where("level = 'FAIL'").count() == (0 if some else 1)
+        assert W.palette_counts(t).count() == 0 and W.margin_notes(t, 595.0)[1].count() == 0
+        assert G.link_spans(t, t.select("doc_id", "page_no", F.lit(0).alias("link_no"), "x0", "y0", "x1", "y1", F.lit("u").alias("uri"))).count() == t.count()
+        pages = t.select("doc_id", F.coalesce("page_no", F.lit(9)).alias("page_no"), "text")
+        assert {r.doc_id for r in D.diagnose(pages).collect()} == ({"d", None} if some else set())
+    grids = spark.createDataFrame([(None,), ([],), ([[None, "a|b"], [""], ["", "c"]],)], "r array<array<string>>")
+    assert [r[0] for r in grids.select(R.table_markdown(F.col("r"))).collect()] == ["", "", "| 열1 | a\\|b |\n| --- | --- |\n|  | c |"]
+    htmls = spark.createDataFrame([(None,), ("",), ("*" * 5000,)], "t string").select(R.render_html(F.col("t")).alias("h"), R.tidy_markdown(F.col("t")).alias("m")).collect()
+    assert [r.h for r in htmls[:2]] == ["", ""] and htmls[0].m is None
