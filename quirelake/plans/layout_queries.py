@@ -33,6 +33,17 @@ def heading_map(spark, sf_dir):
     return T.heading_map(T.size_tally(_layout(spark, sf_dir)))
 
 
+@query(f"""
+WITH {LAYOUT_SQL}, p AS (SELECT doc_id, page_no, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) - 1 AS r, greatest(1, count(*) OVER (PARTITION BY doc_id) // 2) AS step FROM (SELECT DISTINCT doc_id, page_no FROM layout)),
+t AS (SELECT doc_id, round_even((size + line_no % 5 * 0.13) * 2, 0) / 2 AS size, sum(length(trim(text))) AS chars, min(line_no) AS first FROM layout JOIN p USING (doc_id, page_no) WHERE r % step = 0 AND r < 2 * step AND length(trim(text)) > 0 GROUP BY ALL)
+SELECT doc_id, size AS body_size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chars DESC, first) AS rn FROM t) WHERE rn = 1
+""")
+def sampled_body_size(spark, sf_dir):
+    """By half points, over two pages a document."""
+    lines = _layout(spark, sf_dir).withColumn("size", F.col("size") + F.col("line_no") % 5 * 0.13)
+    return T.sampled_body_size(lines, 2)
+
+
 # sizes of heading lines: by line, some so near that they are thinned out, one too rare to count
 _SIZES = [20.0, 19.6, 19.4, 15.0, 14.8, 12.0, 10.5]
 

@@ -11,16 +11,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quirelake.operators.render import zip_bundles
 
 
 def write_json_lines(df: DataFrame, path: str) -> int:
-    """Write df as JSON lines; returns how many rows."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-    return df.sparkSession.read.text(path).count()
+    """Write df as JSON lines; returns how many rows, counted as they are written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return seen.get["n"]
 
 
 def _writer(folder: str):

@@ -273,6 +273,11 @@ def test_convert_strips_running_text(spark):
     got = {r.doc_id: r for r in C.convert(spans, pages).collect()}
     assert got["d"].markdown == "\n\n".join(f"Body of page {p} has enough words to be text." for p in range(4)) + "\n"
     assert got["e"].warnings == ["no text"] and got["d"].warnings == [] and got["d"].stats.pages == 4
+    total = C.summary(C.convert(spans, pages).withColumn("error", F.when(F.col("doc_id") == "e", "open"))).first()
+    assert (total.files, total.done, total.failed, total.pages) == (2, 1, 1, 4)
+    meta = spark.createDataFrame([("d", 'A "title"', " ")], "doc_id string, title string, author string")
+    told = C.convert(spans, pages, meta=meta, options=C.ConvertOptions(front_matter=True)).where("doc_id = 'd'").first().markdown
+    assert told.startswith('---\nsource: "d"\ntitle: "A \\"title\\""\npages: 4\n---\n')
     kept = C.convert(spans, pages, options=C.ConvertOptions(strip_header_footer=False, page_separator=True, page_comment=True, front_matter=True)).where("doc_id = 'd'").first().markdown
     assert kept.startswith('---\nsource: "d"\npages: 4\n---\n\n<!-- page 1 -->\n\nReport 2024') and kept.count("\n---\n") == 4
 
@@ -592,3 +597,16 @@ def test_odd_rows(spark):
     assert [r[0] for r in grids.select(R.table_markdown(F.col("r"))).collect()] == ["", "", "| 열1 | a\\|b |\n| --- | --- |\n|  | c |"]
     htmls = spark.createDataFrame([(None,), ("",), ("*" * 5000,)], "t string").select(R.render_html(F.col("t")).alias("h"), R.tidy_markdown(F.col("t")).alias("m")).collect()
     assert [r.h for r in htmls[:2]] == ["", ""] and htmls[0].m is None
+
+
+def test_assets_move_with_their_document(spark):
+    from quirelake.operators import running as U
+
+    images = spark.createDataFrame([("d", 0, 0, "h", b"x"), ("d", 1, 0, "h", b"x"), ("d", 2, 0, "i", b"y")], "doc_id string, page_no int, img_no int, hash string, data binary")
+    assert sorted((r.name, bytes(r.content)) for r in U.asset_files(images, "a").collect()) == [("a.assets/a-p1-1.png", b"x"), ("a.assets/a-p3-3.png", b"y")]
+    rows = [("z", d, k, n, c) for d in (0, 1, 2) for k, (n, c) in enumerate([("a.md", b"![i](a.assets/a-p1-1.png)"), ("a.assets/a-p1-1.png", b"x")])] + [("z", 3, 0, "a-2.md", b"")]
+    got = [(r.name, bytes(r.content)) for r in R.named_documents(spark.createDataFrame(rows, "bundle string, doc int, seq int, name string, content binary")).orderBy("seq").collect()]
+    want = []
+    for stem in ("a", "a-2", "a-3"):
+        want += [(f"{stem}.md", f"![i]({stem}.assets/a-p1-1.png)".encode()), (f"{stem}.assets/a-p1-1.png", b"x")]
+    assert got == [*want, ("a-2-2.md", b"")]
