@@ -6,8 +6,8 @@ whole; two estimate resemblance and containment, one the number of distinct shin
 no more than k distinct shingles all of these are exact.
 
 The edited-text query needs each document's neighbour in descending order of id. Rows are dealt into slices of that
-order, so many that a slice has some `rows_per_slice` rows and `bytes_per_slice` bytes. The slices' bounds are keys
-from a sample of bounded size: id, hash of the text, and a random number, so that null, equal and repeated ids are split as
+order, so many that a slice has no more than some `rows_per_slice` rows and `bytes_per_slice` bytes. The slices' bounds are keys
+from a sample of bounded size, drawn by weight: id, hash of the text, and a random number, so that null, equal and repeated ids are split as
 well. The bounds of up to 256 ranges are literals; of more slices, each range's own bounds come from a sample that is
 grouped by range (256 rows of at most 4,095 bounds). Within a slice the neighbour is the next row; the last row of a slice
 gets the first row of the next slice that has any, by a join of one row a slice. So texts are shuffled once, no
@@ -101,14 +101,16 @@ def _below(bounds: Column, key: Column, most: int) -> Column:
 
 def _sliced(rows: DataFrame, rows_per_slice: int, bytes_per_slice: int) -> DataFrame:
     """rows (id, text, th, rn) with slice, a number that rises as keys fall."""
-    n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
-    wanted = min(max(1, -(-n // rows_per_slice), -(-(size or 0) // bytes_per_slice)), RANGES * FINE)
+    # a row weighs its bytes and its share of a slice's rows, so that a slice of full weight exceeds neither bound
+    weight = F.octet_length("text") + F.lit(bytes_per_slice // rows_per_slice)
+    total = rows.agg(F.sum(weight)).first()[0] or 0
+    wanted = min(max(1, -(-total // bytes_per_slice)), RANGES * FINE)
     if wanted == 1:
         return rows.withColumn("slice", F.lit(0).cast("long"))
     key = F.struct(*KEY)
 
     def sample(bounds: int) -> DataFrame:
-        return rows.where(F.rand(29) < min(1.0, bounds * PER_BOUND / n)).select(*KEY)
+        return rows.where(F.rand(29) < weight * (bounds * PER_BOUND / total)).select(*KEY)
 
     ranges = min(wanted, RANGES)
     found = sample(ranges).orderBy(*KEY).limit(4 * RANGES * PER_BOUND).collect()  # about ranges * PER_BOUND rows
@@ -138,7 +140,7 @@ def _with_next_head(ends: DataFrame, block: int = 2048) -> DataFrame:
     return inside.join(firsts, F.col("block").eqNullSafe(F.col("b"))).select("id", "text", F.coalesce("next_text", "later").alias("next_text"))
 
 
-def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192, bytes_per_slice: int = 64 << 20) -> DataFrame:
+def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 4096, bytes_per_slice: int = 32 << 20) -> DataFrame:
     """id, text, next_text of every row, and fp, next_fp, the sketches of the two, where the next is
     by descending id and that of the last is the first."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("th", F.xxhash64("text")).withColumn("rn", F.rand(17))
@@ -155,7 +157,7 @@ def neighbours(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return inner.select(*names).unionByName(ends.select(*names))
 
 
-def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 8192, bytes_per_slice: int = 64 << 20) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rows_per_slice: int = 4096, bytes_per_slice: int = 32 << 20) -> DataFrame:
     rows = neighbours(docs, id_col=id_col, text_col=text_col, rows_per_slice=rows_per_slice, bytes_per_slice=bytes_per_slice)
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("half", F.floor(F.col("n_chars") / 2).cast("int"))
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - F.col("half")).cast("int")), F.substring("next_text", F.lit(1), F.col("half")))

@@ -241,17 +241,17 @@ def test_neighbours_of_hot_ids(spark, monkeypatch):
     for ranges, fine, per_slice in ((256, 4096, 8192), (256, 4096, 40), (4, 64, 40), (2, 4, 300)):
         monkeypatch.setattr(fingerprint, "RANGES", ranges)
         monkeypatch.setattr(fingerprint, "FINE", fine)
-        got = fingerprint.neighbours(docs, rows_per_slice=per_slice).select("id", "text", "next_text").collect()
+        got = fingerprint.neighbours(docs, rows_per_slice=per_slice, bytes_per_slice=per_slice << 20).select("id", "text", "next_text").collect()
         assert sorted(str(tuple(r)) for r in got) == want
         rows_ = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text")).withColumn("rn", F.rand(1))
-        most = fingerprint._sliced(rows_, per_slice, 1 << 40).groupBy("slice").count().agg(F.max("count")).first()[0]
+        most = fingerprint._sliced(rows_, per_slice, per_slice << 20).groupBy("slice").count().agg(F.max("count")).first()[0]
         assert most <= max(2.5 * per_slice, 6 * 3000 / (ranges * fine)) or per_slice > 3000
 
 
 def test_fingerprint(spark, rows, none):
     """Sketches of texts, edited texts and next texts against full sets."""
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = fingerprint.edited_fingerprints(docs, rows_per_slice=6).collect()
+    got = fingerprint.edited_fingerprints(docs, rows_per_slice=6, bytes_per_slice=6 << 10).collect()
     order = keyed_texts(spark, [(r[0], r[1]) for r in rows])
     want = {}
     for k, (i, t) in enumerate(order):
@@ -620,6 +620,26 @@ def test_ngram_join(spark, rows, block):
     assert sorted(r.doc_id for r in left.collect()) == sorted({min(reach(i)) for i in range(len(texts))})
 
 
+def test_components_of_stars_and_chains(spark):
+    rnd = random.Random(7)
+    edges = [(f"s{0:04}", f"s{k:04}") for k in range(1, 400)] + [(f"c{k:04}", f"c{k + 1:04}") for k in range(300)]
+    edges += [(f"r{rnd.randrange(300):04}", f"r{rnd.randrange(300):04}") for _ in range(220)] + [("s0399", "t0000"), ("a", "a")]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    df = spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "u binary, v binary").repartition(3)
+    got = {bytes(r.node).decode(): bytes(r.root).decode() for r in ngram_join.components(df).collect()}
+    assert got == {x: find(x) for x in root}
+
+
 def test_ngram_join_odd_ids(docs, rows, none):
     got = ngram_join.near_duplicates(docs).collect()
     assert len(got) == len(rows)
