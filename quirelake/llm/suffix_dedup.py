@@ -397,7 +397,10 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200
     # grams of several contexts one of which is met once are all that can bring something new
     width = keep.where("asked").groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("news")).where("news and n > 1")
     wide = (F.col("n") > group_limit).alias("wide")
-    asked = keep.where("asked").join(width.select("gram", wide), "gram").select(*TEXT, F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone", "wide").alias("w"))
+    of, wide_grams = keep.where("asked"), width.select("gram", wide)
+    # the width of hot grams, less than hot_share of them, is broadcast, so that their rows don't meet in a task
+    asked = of.where(is_hot).join(F.broadcast(wide_grams.where(is_hot)), "gram").unionByName(of.where(~is_hot).join(wide_grams.where(~is_hot), "gram"))
+    asked = asked.select(*TEXT, F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone", "wide").alias("w"))
     asked = asked.groupBy(*TEXT).agg(F.collect_set("w").alias("wanted"))
     one = keyed.select(*TEXT, "text").join(asked, TEXT).dropDuplicates(TEXT)
     contexts = one.mapInArrow(_emit_contexts(length, gram), CONTEXT)
