@@ -156,7 +156,7 @@ def collapse(t: Column) -> Column:
 def repaired(text: Column, rules: Rules = P.TEXTBOOK) -> Column:
     """struct<t, c>: the repaired text of a line, and its changes in order of steps and places."""
     steps = [
-        (P.char_class([a for a, _ in P.MNEMONIC_PAIRS]), lambda s: mnemonic_brackets(s, rules)), (P.char_class(sorted({c for t in (*P.NOISE_STRINGS, *P.NOISE_TOKENS) for c in t})), noise),
+        (P.char_class([a for a, _ in P.MNEMONIC_PAIRS]), lambda s: mnemonic_brackets(s, rules)), (P.char_class(sorted({t[0] for t in (*P.NOISE_STRINGS, *P.NOISE_TOKENS)})), noise),
         (f"(?U)[0-9]\\s*(?:{rules.suffixes})\\s*[0-9]", lambda s: case_numbers(s, rules)), ("제", lambda s: _line(articles(s["t"]), s["c"])), ("[0-9]{4}\\.", lambda s: dates(s, rules)),
     ]
 
@@ -167,8 +167,14 @@ def repaired(text: Column, rules: Rules = P.TEXTBOOK) -> Column:
         # the hint is a cheap test that most lines fail
         return _let(F.when(s["t"].rlike(hint), step(s)).otherwise(s), lambda x: after(x, left[1:]))
 
-    start = _line(widths(nfc(F.coalesce(text, F.lit("")))), F.array().cast(f"array<{CHANGE}>"))
-    return _let(start, lambda s: after(s, steps))
+    none = F.array().cast(f"array<{CHANGE}>")
+    # a line without any hint is left as it is by all steps
+    some = "|".join(f"(?:{hint})" for hint, _ in steps)
+    # in ASCII only a brace or a date can be one, and a case number if a suffix is ASCII
+    ascii_hints = "[{]|[0-9]{4}\\." + (f"|(?:{steps[2][0]})" if any(x.isascii() for x in rules.case_suffixes) else "")
+    hinted = lambda t: F.when(F.octet_length(t) == F.char_length(t), t.rlike(ascii_hints)).otherwise(t.rlike(some))
+    text = widths(nfc(F.coalesce(text, F.lit(""))))
+    return _let(text, lambda t: F.when(hinted(t), _let(_line(t, none), lambda s: after(s, steps))).otherwise(_line(collapse(t), none)))
 
 
 def normalize_lines(lines: DataFrame, rules: Rules = P.TEXTBOOK, *, text_col: str = "text", log: bool = True) -> DataFrame:

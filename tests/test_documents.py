@@ -388,6 +388,14 @@ def test_change_log_equals_a_scan(spark):
         assert (r.r.t, [(c.kind, c.before, c.after) for c in r.r.c]) == scan(r.text), r.text
 
 
+def test_profiles_with_other_suffixes(spark):
+    import dataclasses
+
+    rules = dataclasses.replace(P.TEXTBOOK, case_suffixes=("Da",), known_suffixes=("Da",))
+    df = spark.createDataFrame([("see 91 Da 43695 and 2011.4.6",), ("plain",), ("{확객시전}",)], "text string")
+    assert [r.text for r in normalize.normalize_lines(df, rules).collect()] == ["see 91Da43695 and 2011. 4. 6.", "plain", "[확객시전]"]
+
+
 def test_pdf_parts(spark, monkeypatch):
     """The scans for metadata, bookmarks, links, images and rules, on a stand-in for the library."""
     import sys
