@@ -17,7 +17,7 @@ extension, left and right, reaches `length` bytes. Nothing is lost by it.
    multikey quicksort on 8-byte symbols to `shallow` bytes, then a blind trie for each
    group with a longer common prefix. Over the intervals of common prefixes the
    left extensions are compared, which gives the repeated window ranges of each anchor.
-4. Ranges are joined to the texts, merged and cut out.
+4. Ranges are joined to the texts, merged and cut out. The texts are shuffled once, for steps 3 and 4.
 
 A gram with more than `group_limit` distinct contexts is not collected in a task:
 its windows are hashed and counted by (gram, offset, hash) instead, an exact way too.
@@ -367,7 +367,8 @@ def _merge_and_cut(length: int):
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keyed = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("sha", F.sha2("text", 256))
-    half = lambda k: F.conv(F.substring("sha", k, 16), 16, -10).cast("long")
+    # never null, so that no join puts a filter of its own before the exchange
+    half = lambda k: F.coalesce(F.conv(F.substring("sha", k, 16), 16, -10).cast("long"), F.lit(0))
     return keyed.withColumn("k1", half(1)).withColumn("k2", half(17)).drop("sha")
 
 
@@ -380,7 +381,10 @@ def _hot_grams(texts: DataFrame, emit, hot_share: int) -> list[int]:
 
 def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000, hot_share: int = 1000) -> DataFrame:
     """k1, k2 (128 bits of the text's SHA-256), ranges: array of (lo, hi), which may overlap and reach beyond the text."""
-    keyed = _keyed(docs.select(text_col), text_col, text_col)
+    return _spans(_keyed(docs.select(text_col), text_col, text_col).drop("id"), length, gram, group_limit, hot_share)
+
+
+def _spans(keyed: DataFrame, length: int, gram: int, group_limit: int, hot_share: int) -> DataFrame:
     texts, emit = keyed.where(F.octet_length("text") >= length).select(*TEXT, "text"), _emit_anchors(length, gram)
     hot = F.array(*[F.lit(g).cast("long") for g in _hot_grams(texts, emit, hot_share)]).cast("array<bigint>")
     is_hot = F.array_contains(hot, F.col("gram"))
@@ -402,7 +406,8 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200
     asked = of.where(is_hot).join(F.broadcast(wide_grams.where(is_hot)), "gram").unionByName(of.where(~is_hot).join(wide_grams.where(~is_hot), "gram"))
     asked = asked.select(*TEXT, F.struct(F.get("pos", F.lit(0)).alias("pos"), "gram", "alone", "wide").alias("w"))
     asked = asked.groupBy(*TEXT).agg(F.collect_set("w").alias("wanted"))
-    one = keyed.select(*TEXT, "text").join(asked, TEXT).dropDuplicates(TEXT)
+    # all columns go on, unread ones too: with the columns of the join in remove_repeats Spark shuffles the texts once for both
+    one = keyed.join(asked, TEXT).dropDuplicates(TEXT)
     contexts = one.mapInArrow(_emit_contexts(length, gram), CONTEXT)
     cold = contexts.where("not wide").repartition("gram").sortWithinPartitions("gram").mapInArrow(_ranges_of_groups(length, gram), RANGE)
     one_range = F.array(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("r")
@@ -419,9 +424,8 @@ def repeated_spans(docs: DataFrame, *, text_col: str = "text", length: int = 200
 
 def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, gram: int = 64, group_limit: int = 100_000, hot_share: int = 1000) -> DataFrame:
     """Id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spans = repeated_spans(docs, text_col=text_col, length=length, gram=gram, group_limit=group_limit, hot_share=hot_share)
-    kind = docs.schema[id_col].dataType.simpleString()
-    joined = _keyed(docs, id_col, text_col).join(spans, TEXT, "left").select("id", "text", "ranges")
+    keyed, kind = _keyed(docs, id_col, text_col), docs.schema[id_col].dataType.simpleString()
+    joined = keyed.join(_spans(keyed, length, gram, group_limit, hot_share), TEXT, "left").select("id", "text", "ranges")
     return joined.mapInArrow(_merge_and_cut(length), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
 
 

@@ -714,5 +714,20 @@ def test_hot_grams_are_few(spark):
     assert 0 < len(suffix_dedup._hot_grams(keyed, suffix_dedup._emit_anchors(40, 16), 50)) < 50
 
 
+@pytest.mark.parametrize("limit", [100_000, 2])
+def test_suffix_dedup_shuffles_texts_once(spark, docs, rows, tmp_path, limit):
+    docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # else so small a table is broadcast
+    try:
+        got = suffix_dedup.remove_repeats(spark.read.parquet(str(tmp_path / "documents")), length=40, gram=16, group_limit=limit)
+        assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == sorted(brute_cut([r[1] for r in rows], 40))
+        plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "== Final Plan ==" in plan
+    assert plan.count("FileScan parquet") == 1  # reused exchanges are named without what is below them
+
+
 def test_suffix_dedup_empty(none):
     assert suffix_dedup.remove_repeats(none).count() == 0
