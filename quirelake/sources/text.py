@@ -25,8 +25,11 @@ BLOCKS_JSON = (
 )
 
 
-def split_lines(text: Column) -> Column:
-    """Lines of a text at any line break; a final break opens no empty line."""
+def split_lines(text: Column, *, feeds: bool = False) -> Column:
+    """Lines of a text at any line break; a final break opens no empty line. feeds: at line feeds only, and what follows the last
+    one is a line too, also if it is empty; a null text has none."""
+    if feeds:
+        return F.split(text, "\n", -1)
     body = F.regexp_replace(text, f"(?:{P.LINE_BREAK})\\z", "")
     return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(body, P.LINE_BREAK))
 
@@ -42,9 +45,10 @@ def text_pages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).alias("doc_id"), F.explode(pages).alias("p")).select("doc_id", "p.page_no", "p.text")
 
 
-def page_lines(pages: DataFrame, *, keep_empty: bool = True) -> DataFrame:
-    """Lines of pages, right-trimmed, numbered from 0 in each page."""
-    out = pages.select("doc_id", "page_no", F.posexplode(split_lines(F.col("text"))).alias("line_no", "text")).withColumn("text", F.regexp_replace("text", r"(?U)\s+$", ""))
+def page_lines(pages: DataFrame, *, keep_empty: bool = True, feeds: bool = False) -> DataFrame:
+    """Lines of pages, right-trimmed, numbered from 0 in each page. feeds: as in split_lines, and whole, spaces at their ends too."""
+    out = pages.select("doc_id", "page_no", F.posexplode(split_lines(F.col("text"), feeds=feeds)).alias("line_no", "text"))
+    out = out if feeds else out.withColumn("text", F.regexp_replace("text", r"(?U)\s+$", ""))
     return out if keep_empty else out.where(F.trim("text") != "")
 
 
