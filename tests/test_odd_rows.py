@@ -31,6 +31,6 @@ def agrees(spark, tmp_path):
     return check
 
 
-@pytest.mark.parametrize("name", ["doc_lines"])
+@pytest.mark.parametrize("name", ["doc_lines", "change_log"])
 def test_blank_lines(agrees, name):
     agrees(name, BLANK)
