@@ -31,6 +31,6 @@ def agrees(spark, tmp_path):
     return check
 
 
-@pytest.mark.parametrize("name", ["doc_lines", "change_log", "empty_sections", "heading_jumps", "escape_leading", "strip_outer_emphasis", "yaml_and_html", "escape_md", "fingerprint_lines", "normalize_whitespace", "join_hyphens"])
+@pytest.mark.parametrize("name", ["doc_lines", "change_log", "empty_sections", "heading_jumps", "escape_leading", "strip_outer_emphasis", "yaml_and_html", "escape_md", "fingerprint_lines", "normalize_whitespace", "join_hyphens", "list_markers", "title_functions", "footnote_numbers", "footnote_text"])
 def test_blank_lines(agrees, name):
     agrees(name, BLANK)
