@@ -43,6 +43,6 @@ def test_blank_lines(agrees, name):
     agrees(name, BLANK)
 
 
-@pytest.mark.parametrize("name", ["footnotes_of_plain_pages", "casebook_structure", "textbook_structure"])
+@pytest.mark.parametrize("name", ["footnotes_of_plain_pages", "casebook_structure", "textbook_structure", "front_matter", "split_chapters", "part_files"])
 def test_starts_of_lines(agrees, name):
     agrees(name, STARTS)
