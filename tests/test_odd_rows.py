@@ -46,3 +46,7 @@ def test_blank_lines(agrees, name):
 @pytest.mark.parametrize("name", ["footnotes_of_plain_pages", "casebook_structure", "textbook_structure", "front_matter", "split_chapters", "part_files"])
 def test_starts_of_lines(agrees, name):
     agrees(name, STARTS)
+
+
+def test_body_size_of_equal_shares(agrees):
+    agrees("convert_layout", ["Enverkeitheit.\nChpfzu ertete." for _ in range(20)] + ["Abc.\n\nxyz."])
