@@ -15,6 +15,7 @@ from quirelake.functions.text import is_body_colour, rgb_parts, to_hex
 
 LINE = ["doc_id", "page_no", "line_no"]
 SIDE_NOTE = "^s[A-Z]-[0-9]{1,3}$"
+SUPERSCRIPT = "^[0-9]{1,4}$"
 
 
 def palette(spans: DataFrame, distance: float = 60.0) -> DataFrame:
@@ -49,20 +50,20 @@ def palette_samples(spans: DataFrame, distance: float = 60.0, most: int = 5) ->
     return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).select("doc_id", "hex", "page_no", F.trim("text").alias("text"))
 
 
-def margin_notes(spans: DataFrame, width: float, ratio: float = 0.78) -> tuple[DataFrame, DataFrame]:
+def margin_notes(spans: DataFrame, width: float, ratio: float = 0.78, pattern: str = SIDE_NOTE) -> tuple[DataFrame, DataFrame]:
     """(spans without margin notes, notes: doc_id, page_no, note_no, text, y)."""
-    note = (F.col("x0") >= width * ratio) & F.trim("text").rlike(SIDE_NOTE)
+    note = (F.col("x0") >= width * ratio) & F.trim("text").rlike(pattern)
     notes = spans.where(note).select("doc_id", "page_no", F.col("line_no").alias("note_no"), F.trim("text").alias("text"), F.bround("y0", 1).alias("y"))
     return spans.where(~note), notes
 
 
-def marked_lines(spans: DataFrame, bodies: DataFrame, *, emphasis: bool = True, overrides: dict[str, str] | None = None, distance: float = 60.0, ratio: float = 0.82, rise: float = 0.12) -> DataFrame:
+def marked_lines(spans: DataFrame, bodies: DataFrame, *, emphasis: bool = True, overrides: dict[str, str] | None = None, distance: float = 60.0, ratio: float = 0.82, rise: float = 0.12, superscript: str = SUPERSCRIPT) -> DataFrame:
     """doc_id, page_no, line_no, text, size, bold, box, sup_numbers. Spans of one mark are wrapped together, spaces at
     their ends outside the mark; small raised digits become references. overrides: a mark by colour."""
     rows = spans.where(F.trim("text") != "").join(bodies, "doc_id", "left").join(palette(spans, distance), ["doc_id", "rgb"], "left")
     body = F.coalesce("body_size", F.lit(10.0))
     base = F.max("origin_y").over(Window.partitionBy(*LINE))
-    rows = rows.withColumn("sup", (F.col("size") < body * ratio) & (base - F.col("origin_y") > body * rise) & F.trim("text").rlike("^[0-9]{1,4}$"))
+    rows = rows.withColumn("sup", (F.col("size") < body * ratio) & (base - F.col("origin_y") > body * rise) & F.trim("text").rlike(superscript))
     mark = F.when(F.lit(not emphasis) | F.col("sup"), "")
     for colour, m in (overrides or {}).items():
         mark = mark.when(F.col("hex") == colour, m)

@@ -202,6 +202,10 @@ def zip_bundle(spark, sf_dir):
 _COLOURS = [0x1F4E9C, 0x2050A0, 0x808080, 0xD02020, 0]
 
 
+#: Notes and raised numbers are line numbers here, of as many digits as the longest document needs.
+_NOTE, _RAISED = "^s[A-Z]-[0-9]+$", "^[0-9]+$"
+
+
 def _spans(spark, sf_dir):
     """Each line as spans: its text in a colour, a word, a small raised number, and on some lines a margin note."""
     lines = _layout(spark, sf_dir).withColumn("rgb", in_turn(F.col("doc_id") + F.col("line_no"), _COLOURS))
@@ -231,7 +235,7 @@ def palette_counts(spark, sf_dir):
 
 @query(f"WITH {LAYOUT_SQL} SELECT doc_id, page_no, line_no AS note_no, 'sE-' || (line_no + 1) AS text, y0 AS y FROM layout WHERE line_no % 4 = 1")
 def margin_notes(spark, sf_dir):
-    return L.margin_notes(_spans(spark, sf_dir), 595.0)[1].select("doc_id", "page_no", "note_no", "text", "y")
+    return L.margin_notes(_spans(spark, sf_dir), 595.0, pattern=_NOTE)[1].select("doc_id", "page_no", "note_no", "text", "y")
 
 
 @query(f"""
@@ -240,8 +244,8 @@ SELECT doc_id, page_no, line_no, shown || ' 본문**굵게** [^' || (line_no + 1
 """)
 def marked_lines(spark, sf_dir):
     spans = _spans(spark, sf_dir)
-    kept, _ = L.margin_notes(spans, 595.0)
-    return L.marked_lines(kept, spans.select("doc_id").distinct().withColumn("body_size", F.lit(10.0))).select("doc_id", "page_no", "line_no", "text", "sup_numbers", "bold")
+    kept, _ = L.margin_notes(spans, 595.0, pattern=_NOTE)
+    return L.marked_lines(kept, spans.select("doc_id").distinct().withColumn("body_size", F.lit(10.0)), superscript=_RAISED).select("doc_id", "page_no", "line_no", "text", "sup_numbers", "bold")
 
 
 @query(f"""
