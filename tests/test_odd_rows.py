@@ -52,6 +52,6 @@ def test_body_size_of_equal_shares(agrees):
     agrees("convert_layout", ["Enverkeitheit.\nChpfzu ertete." for _ in range(20)] + ["Abc.\n\nxyz."])
 
 
-@pytest.mark.parametrize("name", ["margin_notes"])
+@pytest.mark.parametrize("name", ["margin_notes", "marked_lines"])
 def test_lines_beyond_three_and_four_digits(agrees, name):
     agrees(name, ["\n".join(f"Line {k}." for k in range(1010)), "\n".join("w" for _ in range(10005)), "short"])
