@@ -67,3 +67,23 @@ def test_bookmarks_meet_lines_by_their_start(spark):
     levels = G.toc_levels(lines, toc)
     assert sorted((r.line_no, r.level) for r in levels.collect()) == [(0, 1), (1, 2), (5, 1)]
     assert "head" in levels._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_footnotes_are_tallied_once(spark):
+    """The checks of the tally don't read the files again."""
+    from quirelake.operators import validate as V
+
+    files = spark.createDataFrame([("a", "x[^1] y[^2]\n[^2]: n\nno mark\n[^4]: n"), ("b", None)], "name string, text string")
+    found = V.check_footnotes(files)
+    assert "split(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.message for r in found.collect()) == ["definitions without a reference (1): 4", "numbers left out (1): 3", "references without a definition (1): 1"]
+
+
+def test_noise_is_counted_beyond_ascii(spark):
+    from pyspark.sql import functions as F
+
+    from quirelake.operators import normalize as N
+
+    t = spark.createDataFrame([("a\x01b é\té\r\n ※ 가\x7f ¤ \x1c",), ("plain",), ("",)], "t string")
+    counts = t.select(N.residual_noise_count(F.col("t")), F.size(N.residual_noise(F.col("t")))).collect()
+    assert [tuple(r) for r in counts] == [(6, 6), (0, 0), (0, 0)]
