@@ -27,7 +27,7 @@ _HALF = "".join(chr(ord(c) - 0xFEE0) for c in _FULL)
 
 def widths(t: Column) -> Column:
     """Full-width letters and digits to ASCII, ideographic space to space, full-width square brackets."""
-    return F.translate(t, _FULL + "　［］", _HALF + " []")
+    return F.when(t.rlike("[\\x{3000}\\x{ff01}-\\x{ff5e}]"), F.translate(t, _FULL + "　［］", _HALF + " []")).otherwise(t)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -172,7 +172,10 @@ def repaired(text: Column, rules: Rules = P.TEXTBOOK) -> Column:
     some = "|".join(f"(?:{hint})" for hint, _ in steps)
     # in ASCII only a brace or a date can be one, and a case number if a suffix is ASCII
     ascii_hints = "[{]|[0-9]{4}\\." + (f"|(?:{steps[2][0]})" if any(x.isascii() for x in rules.case_suffixes) else "")
-    hinted = lambda t: F.when(F.octet_length(t) == F.char_length(t), t.rlike(ascii_hints)).otherwise(t.rlike(some))
+    # below U+0100 also a noise character, and a case number if a suffix is
+    latin = "".join(sorted({t[0] for t in (*P.NOISE_STRINGS, *P.NOISE_TOKENS) if t[0] < "\u0100"}))
+    latin_hints = f"[{{{latin}]|[0-9]{{4}}\\." + (f"|(?:{steps[2][0]})" if any(min(x) < "\u0100" for x in rules.case_suffixes) else "")
+    hinted = lambda t: F.when(F.octet_length(t) == F.char_length(t), t.rlike(ascii_hints)).when(~t.rlike("[^\\x00-\\xff]"), t.rlike(latin_hints)).otherwise(t.rlike(some))
     text = widths(nfc(F.coalesce(text, F.lit(""))))
     return _let(text, lambda t: F.when(hinted(t), _let(_line(t, none), lambda s: after(s, steps))).otherwise(_line(collapse(t), none)))
 

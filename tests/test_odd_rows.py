@@ -87,3 +87,14 @@ def test_noise_is_counted_beyond_ascii(spark):
     t = spark.createDataFrame([("a\x01b é\té\r\n ※ 가\x7f ¤ \x1c",), ("plain",), ("",)], "t string")
     counts = t.select(N.residual_noise_count(F.col("t")), F.size(N.residual_noise(F.col("t")))).collect()
     assert [tuple(r) for r in counts] == [(6, 6), (0, 0), (0, 0)]
+
+
+def test_lines_of_latin_letters_skip_the_steps(spark):
+    from pyspark.sql import functions as F
+
+    from quirelake.operators import normalize as N
+
+    texts = ["é plain  ü", "é ¤ b", "é 2011.4.6 ü", "é ° ü", "é {x}", "é 91 다 5", "é　Ａ"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert r"[^\x00-\xff]" in df.select(N.repaired(F.col("t")))._jdf.queryExecution().analyzed().toString()
+    assert [r.t for r in N.normalize_lines(df, text_col="t", log=False).collect()] == ["é plain ü", "é b", "é 2011. 4. 6. ü", "é ü", "é {x}", "é 91다5", "é A"]
